@@ -1,0 +1,8 @@
+SELECT
+  pickup_date,
+  COUNT(*) AS trip_count,
+  CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
+  CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
+FROM silver_trips
+WHERE pickup_date = :pickup_date
+GROUP BY pickup_date
