@@ -24,8 +24,11 @@ _DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024 * 1024),
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Listing thousands of date directories: a few dozen listing tasks, not one per path.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
