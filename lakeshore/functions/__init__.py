@@ -21,3 +21,14 @@ def exact_avg(col: str | Column) -> Column:
     """Average = exact sum / count of non-NULL values (NULL for an empty group)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.try_divide(exact_sum(c), F.count(c).cast("double"))
+
+
+def round_half_up(col: str | Column, scale: int) -> Column:
+    """Round to ``scale`` decimals, half away from zero, on the decimal value.
+
+    Going through DECIMAL(38,9) first absorbs binary noise (12.3454999999 vs 12.3455000001
+    from two interpolation formulas round the same way), so the result does not depend on
+    the engine's double arithmetic.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(c.cast("decimal(38,9)"), scale).cast("double")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from lakeshore.plans import oracle_sql, trip_queries
+from lakeshore.plans import bench_oracle, bench_queries, oracle_sql, trip_queries
 
 
 def all_queries() -> dict:
     out = {}
     out.update(trip_queries.QUERIES)
+    out.update(bench_queries.QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict[str, str]:
     out = {}
     out.update(oracle_sql.TRIP_ORACLE)
+    out.update(bench_oracle.BENCH_ORACLE)
     return out
