@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from lakeshore.plans import bench_oracle, bench_queries, oracle_sql, trip_queries
+from lakeshore.plans import (
+    bench_oracle,
+    bench_queries,
+    media_oracle,
+    media_queries,
+    oracle_sql,
+    trip_queries,
+)
 
 
 def all_queries() -> dict:
     out = {}
     out.update(trip_queries.QUERIES)
     out.update(bench_queries.QUERIES)
+    out.update(media_queries.QUERIES)
     return out
 
 
@@ -16,4 +24,5 @@ def all_oracle_sql() -> dict[str, str]:
     out = {}
     out.update(oracle_sql.TRIP_ORACLE)
     out.update(bench_oracle.BENCH_ORACLE)
+    out.update(media_oracle.MEDIA_ORACLE)
     return out
