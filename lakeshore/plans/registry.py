@@ -5,6 +5,8 @@ from __future__ import annotations
 from lakeshore.plans import (
     bench_oracle,
     bench_queries,
+    inventory_oracle,
+    inventory_queries,
     media_oracle,
     media_queries,
     oracle_sql,
@@ -17,6 +19,7 @@ def all_queries() -> dict:
     out.update(trip_queries.QUERIES)
     out.update(bench_queries.QUERIES)
     out.update(media_queries.QUERIES)
+    out.update(inventory_queries.QUERIES)
     return out
 
 
@@ -25,4 +28,5 @@ def all_oracle_sql() -> dict[str, str]:
     out.update(oracle_sql.TRIP_ORACLE)
     out.update(bench_oracle.BENCH_ORACLE)
     out.update(media_oracle.MEDIA_ORACLE)
+    out.update(inventory_oracle.INVENTORY_ORACLE)
     return out
