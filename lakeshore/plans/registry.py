@@ -9,6 +9,7 @@ from lakeshore.plans import (
     inventory_queries,
     media_oracle,
     media_queries,
+    misc_queries,
     oracle_sql,
     trip_queries,
 )
@@ -20,6 +21,7 @@ def all_queries() -> dict:
     out.update(bench_queries.QUERIES)
     out.update(media_queries.QUERIES)
     out.update(inventory_queries.QUERIES)
+    out.update(misc_queries.QUERIES)
     return out
 
 
@@ -29,4 +31,5 @@ def all_oracle_sql() -> dict[str, str]:
     out.update(bench_oracle.BENCH_ORACLE)
     out.update(media_oracle.MEDIA_ORACLE)
     out.update(inventory_oracle.INVENTORY_ORACLE)
+    out.update(misc_queries.ORACLE)
     return out
