@@ -2,18 +2,22 @@
 cross-layout consistency join (A15, J3), storage-operation summary (A16), exact
 percentiles (A17).
 
-Exact percentiles use Spark's ``percentile`` (linear interpolation on rank
-``(n-1)*p``, the same rule as the reference).  Its buffer is a value -> count map that
-is merged map-side, so memory per group grows with the number of *distinct* values
-(durations are recorded to the millisecond), not with the number of rows.
+Percentiles are exact, with linear interpolation on rank ``(n-1)*p`` (the reference's
+rule and Spark's).  Spark's own ``percentile`` keeps all distinct values of a group in
+one aggregation buffer, i.e. one task per group; ``exact_percentiles`` computes the same
+numbers without that: a group holding a third of all rows is range-split over many
+tasks and only (group, bucket)-sized pieces are ever co-located.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshore.functions import round_half_up
+from lakeshore.session import ensure_checkpoint_dir
 
 
 def percentile_value(col: str | Column, p: float) -> Column:
@@ -24,13 +28,114 @@ def percentile_value(col: str | Column, p: float) -> Column:
     return F.percentile(c, F.lit(p / 100.0))
 
 
-def _duration_stats(col: str = "duration_seconds") -> list[Column]:
-    return [
+def exact_percentiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ps: Sequence[float],
+    buckets: int | None = None,
+) -> DataFrame:
+    """A17 at scale: one row per group of ``keys`` that has a non-NULL ``value``, with
+    ``n`` (non-NULL values) and one column ``p<p>`` per requested percentile.
+
+    1. ``(keys, value) -> count``: a hash aggregate, partial map-side, so repeated values
+       (a hot group of identical durations) shrink before the shuffle;
+    2. range partitioning on ``(keys, value)`` into ``buckets`` tasks: a group with many
+       distinct values spans many buckets.  The bucketed table is checkpointed to the
+       session's checkpoint folder so bucket numbers are fixed for both uses below;
+    3. rows per (group, bucket) -> each bucket's rank offset within its group and the
+       group size (windows over at most ``buckets`` rows per group);
+    4. each wanted rank (two per percentile) is located in its bucket by a join on the
+       group keys with the bucket's rank range, then in the bucket by an equi join on
+       (keys, bucket) with a running count inside the bucket -- bucket-sized pieces only.
+    """
+    for p in ps:
+        if p < 0 or p > 100:
+            raise ValueError("percentile must be between 0 and 100")
+    keys = list(keys)
+    spark = df.sparkSession
+    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    counted = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    bucketed = (
+        counted.repartitionByRange(n_buckets, *keys, "_v")
+        .withColumn("_b", F.spark_partition_id())
+        .checkpoint(eager=True)
+    )
+    per_bucket = bucketed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bn"))
+    by_group = Window.partitionBy(*keys)
+    per_bucket = per_bucket.select(
+        *keys, "_b",
+        (F.sum("_bn").over(by_group.orderBy("_b")) - F.col("_bn")).alias("_off"),
+        (F.col("_bn")).alias("_bn"),
+        F.sum("_bn").over(by_group).alias("n"),
+    )
+    groups = per_bucket.select(*keys, "n").distinct()
+
+    # Two ranks per (group, percentile): floor and ceil of (n-1)*p.
+    targets = groups.select(
+        *keys, "n",
+        F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("_p"),
+    ).withColumn("_pos", (F.col("n") - 1) * (F.col("_p") / 100.0))
+    ranks = targets.select(
+        *keys, "_p", "_pos",
+        F.explode(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))).alias("_rank"),
+    ).distinct()
+    located = ranks.join(per_bucket.select(*keys, "_b", "_off", "_bn"), keys, "inner").where(
+        (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_bn"))
+    ).select(*keys, "_p", "_pos", "_rank", "_b", (F.col("_rank") - F.col("_off")).alias("_local"))
+
+    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = bucketed.select(*keys, "_b", "_v", "_c", F.sum("_c").over(in_bucket).alias("_end"))
+    found = located.join(running, [*keys, "_b"], "inner").where(
+        (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
+    ).select(*keys, "_p", "_pos", "_rank", "_v")
+
+    lo, hi = F.floor("_pos"), F.ceil("_pos")
+    v_lo = F.max(F.when(F.col("_rank") == lo, F.col("_v")))
+    v_hi = F.max(F.when(F.col("_rank") == hi, F.col("_v")))
+    pos = F.first("_pos")
+    # Same arithmetic as Spark's percentile: (hi - pos) * v_lo + (pos - lo) * v_hi.
+    interp = F.when((F.first(lo) == F.first(hi)) | (v_lo == v_hi), v_lo).otherwise(
+        (F.first(hi) - pos) * v_lo + (pos - F.first(lo)) * v_hi
+    )
+    per_p = found.groupBy(*keys, "_p").agg(interp.alias("_val"))
+    wide = per_p.groupBy(*keys).pivot("_p", [float(p) for p in ps]).agg(F.first("_val"))
+    renamed = wide.select(*keys, *[F.col(f"`{float(p)}`").alias(f"p{_label(p)}") for p in ps])
+    out = groups.join(renamed, keys, "left")
+    return out.select(*keys, "n", *[f"p{_label(p)}" for p in ps])
+
+
+def _label(p: float) -> str:
+    return str(int(p)) if float(p).is_integer() else str(p).replace(".", "_")
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys that may be NULL (a NULL query name is still a group)."""
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[k])
+        cond = c if cond is None else cond & c
+    return left.join(right, cond, "left").select(left["*"], *[right[c] for c in right.columns if c not in keys])
+
+
+def _with_duration_stats(measured: DataFrame, keys: Sequence[str], counts: list[Column],
+                         col: str = "duration_seconds") -> DataFrame:
+    base = measured.groupBy(*keys).agg(
+        *counts,
         round_half_up(F.min(col), 3).alias("min_seconds"),
-        round_half_up(percentile_value(col, 50), 3).alias("median_seconds"),
-        round_half_up(percentile_value(col, 95), 3).alias("p95_seconds"),
         round_half_up(F.max(col), 3).alias("max_seconds"),
-    ]
+    )
+    pct = exact_percentiles(measured, keys, col, (50, 95)).select(
+        *keys,
+        round_half_up("p50", 3).alias("median_seconds"),
+        round_half_up("p95", 3).alias("p95_seconds"),
+    )
+    return _null_safe_join(base, pct, keys)
 
 
 def _rows_returned() -> Column:
@@ -46,9 +151,10 @@ def measured_successes(records: DataFrame) -> DataFrame:
 
 def run_summary(records: DataFrame) -> DataFrame:
     """Per query over measured, successful runs."""
-    return measured_successes(records).groupBy("query_name").agg(
-        F.count(F.lit(1)).alias("runs"), _rows_returned(), *_duration_stats()
+    out = _with_duration_stats(
+        measured_successes(records), ["query_name"], [F.count(F.lit(1)).alias("runs"), _rows_returned()]
     )
+    return out.select("query_name", "runs", "rows_returned", "min_seconds", "median_seconds", "p95_seconds", "max_seconds")
 
 
 def layout_summary(records: DataFrame) -> DataFrame:
@@ -61,8 +167,8 @@ def layout_summary(records: DataFrame) -> DataFrame:
     per_query = measured.groupBy("query_name").agg(
         (F.count_distinct("result_sha256") == 1).alias("result_consistent")
     )
-    per_layout = measured.groupBy("layout", "query_name").agg(
-        F.count(F.lit(1)).alias("runs"), _rows_returned(), *_duration_stats()
+    per_layout = _with_duration_stats(
+        measured, ["layout", "query_name"], [F.count(F.lit(1)).alias("runs"), _rows_returned()]
     )
     return per_layout.join(per_query, "query_name", "left").select(
         "layout", "query_name", "runs", "rows_returned", "result_consistent",
@@ -87,10 +193,16 @@ def storage_summary(records: DataFrame) -> DataFrame:
         F.count_if(ok).alias("successes"),
         F.coalesce(F.max("phase_elapsed_seconds"), F.lit(0.0)).alias("total"),
         F.coalesce(F.sum(F.when(ok, F.col("logical_bytes"))), F.lit(0)).alias("bytes"),
-        percentile_value(F.when(ok, F.col("latency_seconds")), 50).alias("p50"),
-        percentile_value(F.when(ok, F.col("latency_seconds")), 95).alias("p95"),
-        percentile_value(F.when(ok, F.col("latency_seconds")), 99).alias("p99"),
     )
+    keys = ["operation", "object_size_bytes", "concurrency"]
+    successes = measured.where(ok).select(
+        F.col("scenario_operation").alias("operation"),
+        F.col("object_size_bytes").cast("bigint").alias("object_size_bytes"),
+        F.col("concurrency").cast("bigint").alias("concurrency"),
+        "latency_seconds",
+    )
+    pct = exact_percentiles(successes, keys, "latency_seconds", (50, 95, 99)).drop("n")
+    agg = _null_safe_join(agg, pct, keys)
     total = F.col("total")
     has_time = total > 0
 
@@ -110,8 +222,8 @@ def storage_summary(records: DataFrame) -> DataFrame:
 
 
 def percentile_table(df: DataFrame, group: str, value: str, ps=(50, 95, 99)) -> DataFrame:
-    """A17 over a table: exact percentiles of ``value`` per ``group``."""
-    return df.groupBy(group).agg(
-        F.count(value).alias("n"),
-        *[round_half_up(percentile_value(value, p), 6).alias(f"p{p}") for p in ps],
-    )
+    """A17 over a table: exact percentiles of ``value`` per ``group`` (distributed)."""
+    counts = df.groupBy(group).agg(F.count(value).alias("n"))
+    pct = exact_percentiles(df, [group], value, ps).drop("n")
+    out = _null_safe_join(counts, pct, [group])
+    return out.select(group, "n", *[round_half_up(f"p{_label(p)}", 6).alias(f"p{_label(p)}") for p in ps])
