@@ -108,18 +108,23 @@ def first_seen(candidates: DataFrame, limit: int, order_cols=("query_idx", "pos"
     """W2 + O5: keep the first occurrence of each title in (query, position) order, then
     the first ``limit`` candidates (the limit is the feature: a download budget).
 
-    The per-title window is partitioned by title; ``orderBy(...).limit`` is a distributed
-    top-k (``TakeOrderedAndProject``), so only ``limit`` rows meet in one task.
+    First occurrence per title is ``min_by(row, (query_idx, pos))``, a hash aggregate with
+    map-side partials: a title repeated across a third of all search hits reaches the
+    shuffle as one row per map task.  ``orderBy(...).limit`` is a distributed top-k
+    (``TakeOrderedAndProject``), so only ``limit`` rows meet in one task.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
-    w = Window.partitionBy("title").orderBy(*order_cols)
-    firsts = candidates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return firsts.orderBy(*order_cols).limit(limit)
+    rest = [c for c in candidates.columns if c != "title"]
+    firsts = candidates.groupBy("title").agg(
+        F.min_by(F.struct(*rest), F.struct(*order_cols)).alias("_first")
+    ).select("title", *[F.col(f"_first.{c}").alias(c) for c in rest])
+    return firsts.select(*candidates.columns).orderBy(*order_cols).limit(limit)
 
 
 def assign_image_ids(candidates: DataFrame, order_cols=("query_idx", "pos")) -> DataFrame:
-    """``img_0001``... in candidate order, over an already limited candidate set."""
+    """``img_0001``... in candidate order, over an already limited candidate set
+    (at most the download budget of rows, so the single ordered window is bounded)."""
     w = Window.orderBy(*order_cols)
     return candidates.withColumn("image_id", F.format_string("img_%04d", F.row_number().over(w)))
 
