@@ -135,3 +135,27 @@ def test_run_pipeline_writes_metrics_and_runs_every_query(spark, scratch):
     m = pipeline.read_metrics(spark, pipeline.metrics_path(os.path.join(scratch, "m"), "bronze_to_silver", "1995-01"))
     row = m.first()
     assert row["output_rows"] == out["bronze_to_silver"]["output_rows"]
+
+
+def test_query_benchmark_records_feed_the_run_summary(spark, scratch):
+    from lakeshore.operators import stats
+    from lakeshore.plans import SQL_DIR
+    from lakeshore.plans.runner import benchmark_queries, load_sql_queries, query_parameters
+    from lakeshore.sources.records import RUN_RECORD_SCHEMA, records_frame
+    import pytest
+
+    uris = _bronze(spark, scratch)
+    lake = os.path.join(scratch, "lake")
+    pipeline.run_pipeline(spark, uris, lake)
+    frames = pipeline.register_tables(spark, os.path.join(lake, "silver", "trips"), os.path.join(lake, "gold"))
+    params = query_parameters(frames["silver_trips"], frames["daily_trip_metrics"])
+    files = load_sql_queries(SQL_DIR)
+    with pytest.raises(ValueError):
+        benchmark_queries(spark, files, params, iterations=0)
+    recs = benchmark_queries(spark, files, params, iterations=2, warmup=1)
+    assert len(recs) == 3 * len(files)
+    assert all(r["status"] == "success" for r in recs)
+    summary = {r["query_name"]: r for r in stats.run_summary(records_frame(spark, recs, RUN_RECORD_SCHEMA)).collect()}
+    assert set(summary) == {p.stem for p in files}
+    assert all(r["runs"] == 2 and r["rows_returned"] != "inconsistent" for r in summary.values())
+    assert all(r["min_seconds"] <= r["median_seconds"] <= r["p95_seconds"] <= r["max_seconds"] for r in summary.values())
