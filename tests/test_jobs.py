@@ -115,3 +115,23 @@ def test_layout_benchmark_results_are_consistent(spark, scratch, comparison, coa
     assert len(out["summary"]) == 2 * len(silver_files)
     assert all(r["result_consistent"] for r in out["summary"])
     assert {r["layout"] for r in out["summary"]} == {name for name, _, _ in out["layouts"]}
+
+
+def test_generated_batch_manifest(spark, scratch):
+    import hashlib
+    from lakeshore.plans.generated_batch import write_generated_batch
+    root = os.path.join(scratch, "gen")
+    m = write_generated_batch(spark, 500, 3, 42, root, "2025-01-01T00:00:00+00:00", files_per_format=2)
+    assert sum(m["quality_counts"].values()) == 500
+    assert {f["format"] for f in m["files"]} == {"jsonl", "csv"} and len(m["files"]) == 4
+    for f in m["files"]:
+        path = os.path.join(root, f"records_{f['format']}", f["file_name"])
+        data = open(path, "rb").read()
+        assert len(data) == f["size_bytes"] and hashlib.sha256(data).hexdigest() == f["checksum_sha256"]
+    back = spark.read.json(os.path.join(root, "records_jsonl"))
+    assert back.count() == 500
+    csv = spark.read.option("header", True).csv(os.path.join(root, "records_csv"))
+    assert csv.count() == 500
+    assert spark.read.json(os.path.join(root, "manifest")).first()["rows"] == 500
+    with pytest.raises(ValueError):
+        write_generated_batch(spark, 0, 3, 42, root, "x")
