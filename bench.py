@@ -8,7 +8,11 @@ Steps (mirroring the reference's published timings):
 * ingest (untimed): the two raw trip sources are written as bronze Parquet files;
 * bronze_to_silver / silver_to_gold: the pipeline jobs, timed end to end;
 * q01..q06: each SQL file over the written silver/gold tables, executed through the
-  ``noop`` sink; 1 warm-up + 3 measured runs, median reported.
+  ``noop`` sink; 1 warm-up + 3 measured runs, median reported;
+* layouts (reported separately, not in the total): the layout benchmark's three
+  comparisons (date-partitioned vs flat silver, small files vs compacted, CSV vs
+  Parquet; compaction to one file per core) on q04..q06 with result fingerprints;
+  1 warm-up + 2 measured runs, median.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lakeshore.plans import SQL_DIR  # noqa: E402
+from lakeshore.plans.layouts import benchmark_layouts  # noqa: E402
 from lakeshore.plans.pipeline import bronze_to_silver, register_tables, silver_to_gold  # noqa: E402
 from lakeshore.plans.runner import execute_timed, load_sql_queries, query_parameters, run_sql  # noqa: E402
 from lakeshore.session import build_session  # noqa: E402
@@ -75,6 +80,17 @@ def main() -> None:
         timings[name] = round(statistics.median(runs), 3)
         rows[name] = n
 
+    layout_files = [p for p in load_sql_queries(SQL_DIR) if p.name[:2] in ("04", "05", "06")]
+    layouts = {}
+    for comparison, coalesce in (("partition", 0), ("compaction", int(cpus)), ("format", 0)):
+        out = benchmark_layouts(spark, silver_uri, layout_files, os.path.join(scratch, "layouts"),
+                                comparison=comparison, coalesce=coalesce, iterations=2, warmup=1)
+        per = {}
+        for r in out["summary"]:
+            per.setdefault(r["layout"], {})["q" + r["query_name"][:2]] = r["median_seconds"]
+        per["result_consistent"] = all(r["result_consistent"] for r in out["summary"])
+        layouts[comparison] = per
+
     print(json.dumps({
         "metric": "pipeline_plus_queries_total",
         "value": round(sum(timings.values()), 3),
@@ -85,6 +101,7 @@ def main() -> None:
                  "daily": b2["daily_rows"], "location": b2["location_rows"],
                  "payment": b2["payment_rows"], **rows},
         "cpus": int(cpus),
+        "layouts": layouts,
     }))
     spark.stop()
 

@@ -24,6 +24,7 @@ def write_partitioned(
     layout: str = "rebalance",
     tasks: int | None = None,
     observation: Observation | None = None,
+    range_cols: tuple[str, ...] = (),
 ) -> None:
     """K1: ``overwrite`` replaces only the partitions present in ``df`` (dynamic overwrite,
     T11: stale dates survive a rerun); ``append`` adds files (a rerun duplicates rows).
@@ -36,6 +37,11 @@ def write_partitioned(
       one file per date and spreads the many small files over ``tasks`` writers, each with a
       contiguous date range.  (A hash ``repartition`` on the grouping key would be folded
       into the aggregate's own exchange, which AQE then coalesces into a single writer.)
+      ``range_cols`` extend the range key below the date (e.g. ``pickup_datetime``) so a
+      date holding a third of all rows is split by time of day over many writers, while
+      every writer still covers a contiguous slice of dates (files ~ dates + tasks).
+      The explicit task count is not coalesced by AQE, so a small batch spread over
+      thousands of dates is still written by ``tasks`` writers, not by one.
 
     ``observation`` receives ``rows`` = rows written, counted by the write job itself
     (placed above the repartition so the range-sampling job does not count too).
@@ -46,7 +52,7 @@ def write_partitioned(
         out = df.hint("rebalance", partition_col)
     elif layout == "range":
         n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartitionByRange(n, partition_col)
+        out = df.repartitionByRange(n, partition_col, *range_cols)
     elif layout == "none":
         out = df
     else:

@@ -159,3 +159,13 @@ def test_query_benchmark_records_feed_the_run_summary(spark, scratch):
     assert set(summary) == {p.stem for p in files}
     assert all(r["runs"] == 2 and r["rows_returned"] != "inconsistent" for r in summary.values())
     assert all(r["min_seconds"] <= r["median_seconds"] <= r["p95_seconds"] <= r["max_seconds"] for r in summary.values())
+
+
+def test_range_write_keeps_writer_count_and_rows(spark, scratch):
+    base = silver.silver_trips([_window(df) for df in raw_sources(spark, SF001)])
+    uri = os.path.join(scratch, "ranged")
+    write_partitioned(base, uri, layout="range", range_cols=("pickup_datetime",), tasks=4)
+    back = spark.read.parquet(uri)
+    assert _same_rows(back, base)
+    writers = back.select(F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).alias("w")).distinct()
+    assert writers.count() == 4
