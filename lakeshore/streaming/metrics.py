@@ -120,3 +120,32 @@ def stream_rates(spark: SparkSession, source_dir: str, window: str, by: str, wat
     stream = spark.readStream.schema(schema).parquet(source_dir) if schema else spark.readStream.parquet(source_dir)
     inc = stream_window_increases(stream.withWatermark("ts", watermark), window)
     return inc.select("window_start", "metric", "series_label", "increase")
+
+
+def start_rate_stream(
+    spark: SparkSession,
+    source_dir: str,
+    sink_dir: str,
+    checkpoint_dir: str,
+    window: str = "5 minutes",
+    watermark: str = "10 minutes",
+    schema: T.StructType | None = None,
+    available_now: bool = False,
+    processing_time: str = "1 minute",
+):
+    """Run :func:`stream_rates` into a Parquet sink.
+
+    ``checkpoint_dir`` must be on a shared, reliable file system: offsets, the window
+    state and the sink's commit log live there, so a restarted query (lost driver or
+    executors) resumes from the last committed micro-batch and the file sink writes
+    every window exactly once.  ``available_now`` processes what has arrived and stops.
+    """
+    rates = stream_rates(spark, source_dir, window, by="series_label", watermark=watermark, schema=schema)
+    writer = (
+        rates.writeStream.format("parquet")
+        .option("path", sink_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .outputMode("append")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    return writer.start()
