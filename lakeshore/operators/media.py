@@ -104,22 +104,28 @@ def flatten_api_payload(df: DataFrame, payload_col: str = "payload", keep: tuple
     return flat.where(F.col("direct_url").isNotNull() & accepted)
 
 
-def first_seen(candidates: DataFrame, limit: int, order_cols=("query_idx", "pos")) -> DataFrame:
-    """W2 + O5: keep the first occurrence of each title in (query, position) order, then
-    the first ``limit`` candidates (the limit is the feature: a download budget).
+def first_occurrences(candidates: DataFrame, order_cols=("query_idx", "pos")) -> DataFrame:
+    """The first occurrence of each title in (query, position) order.
 
-    First occurrence per title is ``min_by(row, (query_idx, pos))``, a hash aggregate with
-    map-side partials: a title repeated across a third of all search hits reaches the
-    shuffle as one row per map task.  ``orderBy(...).limit`` is a distributed top-k
-    (``TakeOrderedAndProject``), so only ``limit`` rows meet in one task.
+    ``min_by(row, (query_idx, pos))`` is a hash aggregate with map-side partials: a title
+    repeated across a third of all search hits reaches the shuffle as one row per map
+    task, where a window per title would sort the whole group in one task.
     """
-    if limit <= 0:
-        raise ValueError("limit must be positive")
     rest = [c for c in candidates.columns if c != "title"]
     firsts = candidates.groupBy("title").agg(
         F.min_by(F.struct(*rest), F.struct(*order_cols)).alias("_first")
     ).select("title", *[F.col(f"_first.{c}").alias(c) for c in rest])
-    return firsts.select(*candidates.columns).orderBy(*order_cols).limit(limit)
+    return firsts.select(*candidates.columns)
+
+
+def first_seen(candidates: DataFrame, limit: int, order_cols=("query_idx", "pos")) -> DataFrame:
+    """W2 + O5: first occurrences, then the first ``limit`` candidates (the limit is the
+    feature: a download budget).  ``orderBy(...).limit`` is a distributed top-k
+    (``TakeOrderedAndProject``), so only ``limit`` rows meet in one task.
+    """
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    return first_occurrences(candidates, order_cols).orderBy(*order_cols).limit(limit)
 
 
 def assign_image_ids(candidates: DataFrame, order_cols=("query_idx", "pos")) -> DataFrame:

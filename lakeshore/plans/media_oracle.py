@@ -74,6 +74,10 @@ MEDIA_ORACLE = {
     "categories": f"SELECT doc_id, {_CATEGORY.format(c='text')} AS category FROM documents",
     "json_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "image_flatten": f"WITH {HITS.strip()} SELECT pos, title, direct_url, mime, width, height FROM accepted",
+    "first_seen": f"""WITH {HITS.strip()}
+SELECT title, query_idx, pos, direct_url
+FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY query_idx, pos) AS rn FROM accepted)
+WHERE rn = 1""",
     "image_metadata": f"""WITH {HITS.strip()},
 firsts AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY query_idx, pos) AS rn FROM accepted)

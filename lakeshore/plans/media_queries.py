@@ -41,6 +41,12 @@ def q_image_flatten(spark, sf_dir):
     return _flattened(spark, sf_dir).select("pos", "title", "direct_url", "mime", "width", "height")
 
 
+def q_first_seen(spark, sf_dir):
+    """W2 over every accepted hit (no budget): one row per distinct title."""
+    firsts = media.first_occurrences(_flattened(spark, sf_dir))
+    return firsts.select("title", "query_idx", "pos", "direct_url")
+
+
 def q_image_metadata(spark, sf_dir):
     """F8-F13 + W2 + W3: first-seen candidates within the budget, with metadata records."""
     cands = media.with_category(_flattened(spark, sf_dir))
@@ -53,5 +59,6 @@ QUERIES = {
     "categories": q_categories,
     "json_props": q_json_props,
     "image_flatten": q_image_flatten,
+    "first_seen": q_first_seen,
     "image_metadata": q_image_metadata,
 }
