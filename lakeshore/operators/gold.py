@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.functions import exact_avg, exact_sum
+from lakeshore.functions import MONEY_DECIMAL, exact_avg, exact_sum
 
 
 def daily_trip_metrics(silver: DataFrame) -> DataFrame:
@@ -47,6 +47,75 @@ def payment_metrics(silver: DataFrame) -> DataFrame:
     )
 
 
+GROUPING_KEYS = ("pickup_date", "pu_location_id", "do_location_id", "payment_type")
+# grouping_id of each table's grouping set over GROUPING_KEYS (first key = highest bit,
+# 1 = rolled up): daily keeps only the date, location the date and the location pair,
+# payment the date and the payment type.
+GROUPING_IDS = {
+    "daily_trip_metrics": 0b0111,
+    "location_metrics": 0b0001,
+    "payment_metrics": 0b0110,
+}
+
+
+def gold_measures(silver: DataFrame) -> DataFrame:
+    """The measures of all three gold tables in one scan and one shuffle.
+
+    ``GROUPING SETS ((date), (date, pickup, dropoff), (date, payment))`` with exact
+    DECIMAL sums and non-NULL counts; every gold column is a sum or a ratio of these, so
+    the tables split off by ``gid`` equal the three separate aggregates bit for bit.
+    A ``NULL`` payment type stays its own group (``gid`` tells it from a rolled-up key).
+    """
+    def dsum(c: str):
+        return F.sum(F.col(c).cast(MONEY_DECIMAL))
+
+    return silver.groupingSets(
+        [["pickup_date"], ["pickup_date", "pu_location_id", "do_location_id"], ["pickup_date", "payment_type"]],
+        *GROUPING_KEYS,
+    ).agg(
+        F.grouping_id().alias("gid"),
+        F.count(F.lit(1)).alias("trip_count"),
+        dsum("total_amount").alias("s_total"),
+        dsum("fare_amount").alias("s_fare"),
+        dsum("tip_amount").alias("s_tip"),
+        dsum("trip_distance").alias("s_dist"),
+        F.count("trip_distance").alias("n_dist"),
+        F.count("tip_amount").alias("n_tip"),
+        F.sum("passenger_count").alias("s_pass"),
+        F.count("passenger_count").alias("n_pass"),
+    )
+
+
+def split_gold(measures: DataFrame) -> dict[str, DataFrame]:
+    """The three gold tables from :func:`gold_measures`, in their column order."""
+    def dbl(c: str):
+        return F.col(c).cast("double")
+
+    def ratio(a: str, b: str):
+        return F.try_divide(dbl(a), dbl(b))
+
+    def part(name: str) -> DataFrame:
+        return measures.where(F.col("gid") == GROUPING_IDS[name])
+
+    return {
+        "daily_trip_metrics": part("daily_trip_metrics").select(
+            "pickup_date", "trip_count",
+            dbl("s_total").alias("total_revenue"), dbl("s_fare").alias("fare_revenue"),
+            dbl("s_tip").alias("total_tip"), ratio("s_dist", "n_dist").alias("avg_trip_distance"),
+            ratio("s_pass", "n_pass").alias("avg_passenger_count"),
+        ),
+        "location_metrics": part("location_metrics").select(
+            "pickup_date", "pu_location_id", "do_location_id", "trip_count",
+            dbl("s_total").alias("total_revenue"), ratio("s_dist", "n_dist").alias("avg_trip_distance"),
+        ),
+        "payment_metrics": part("payment_metrics").select(
+            "pickup_date", "payment_type", "trip_count",
+            dbl("s_total").alias("total_revenue"), dbl("s_fare").alias("fare_revenue"),
+            dbl("s_tip").alias("total_tip"), ratio("s_tip", "n_tip").alias("avg_tip_amount"),
+        ),
+    }
+
+
 GOLD_TABLES = {
     "daily_trip_metrics": daily_trip_metrics,
     "location_metrics": location_metrics,
