@@ -77,6 +77,40 @@ def bronze_to_silver(
     }
 
 
+def bronze_to_silver_from_manifest(
+    spark: SparkSession,
+    manifest_path: str,
+    silver_bucket: str,
+    mode: str = "overwrite",
+    bronze_root: str | None = None,
+    silver_root: str | None = None,
+) -> dict[str, Any]:
+    """B1 driven by an ingest manifest (S5): exactly one batch per manifest; an unsupported
+    dataset or an empty file list is an error.  Sources are the manifest's files in
+    order; silver goes to the batch's ``year=/month=`` prefix (the batch, not trip dates,
+    T9/T10).
+
+    ``bronze_root`` / ``silver_root`` replace the object-store buckets by folders (for
+    local runs); by default the ``s3a://bucket/key`` URIs of the manifest are used.
+    """
+    from lakeshore.operators.inventory import batch_descriptors, read_manifests, require_batch
+
+    batches = require_batch(batch_descriptors(read_manifests(spark, manifest_path), silver_bucket))
+    if len(batches) != 1:
+        raise ValueError(f"expected one manifest batch, found {len(batches)}")
+    batch = batches[0]
+    if bronze_root:
+        files = read_manifests(spark, manifest_path).select(F.explode("files.bronze_key").alias("k"))
+        keys = [r["k"] for r in files.collect()]  # one entry per source file (control plane)
+        sources = [os.path.join(bronze_root, k) for k in keys]
+    else:
+        sources = list(batch["source_uris"])
+    silver_uri = os.path.join(silver_root, batch["silver_prefix"]) if silver_root else batch["silver_uri"]
+    metrics = bronze_to_silver(spark, sources, silver_uri, mode)
+    metrics.update(batch_year=batch["year"], batch_month=batch["month"], taxi_type=batch["taxi_type"])
+    return metrics
+
+
 def gold_uris(gold_root: str) -> dict[str, str]:
     return {name: os.path.join(gold_root, name) for name in gold.GOLD_TABLES}
 

@@ -179,3 +179,30 @@ def test_grouping_sets_gold_equals_separate_aggregates(spark):
         assert split[name].columns == build(s).columns
         assert _same_rows(split[name], build(s)), name
     assert split["payment_metrics"].where(F.col("payment_type").isNull()).count() > 0
+
+
+def test_bronze_to_silver_from_manifest(spark, scratch):
+    import json
+    import pytest
+    uris = _bronze(spark, scratch)
+    root = os.path.join(scratch, "bronze")
+    files = [{"role": "source", "format": "parquet", "file_name": os.path.basename(u),
+              "bronze_key": os.path.relpath(u, root), "row_count": spark.read.parquet(u).count()} for u in uris]
+    manifest = {"manifest_version": "v1", "dataset": "nyc_taxi", "taxi_type": "yellow", "year": "1995",
+                "month": "01", "bronze_bucket": "bronze", "files": files}
+    mpath = os.path.join(scratch, "manifest.json")
+    with open(mpath, "w") as fh:
+        json.dump(manifest, fh, indent=2)
+    out_root = os.path.join(scratch, "silver_root")
+    m = pipeline.bronze_to_silver_from_manifest(spark, mpath, "silver", bronze_root=root, silver_root=out_root)
+    assert m["input_rows"] == sum(f["row_count"] for f in files)
+    assert m["silver_uri"].endswith(os.path.join("year=1995", "month=01"))
+    written = spark.read.parquet(m["silver_uri"])
+    assert written.count() == m["output_rows"]
+    assert "year" not in written.columns and "month" not in written.columns  # T10
+    manifest["dataset"] = "other"
+    bad = os.path.join(scratch, "bad.json")
+    with open(bad, "w") as fh:
+        json.dump(manifest, fh)
+    with pytest.raises(ValueError, match="Unsupported dataset"):
+        pipeline.bronze_to_silver_from_manifest(spark, bad, "silver", bronze_root=root, silver_root=out_root)
