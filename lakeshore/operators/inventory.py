@@ -149,6 +149,20 @@ def ingest_plan(expected: DataFrame, actual: DataFrame, force: bool = False, key
     return joined.select(key, "file_name", "size_bytes", "checksum_sha256", "actual_checksum", action.alias("action"))
 
 
+def require_no_conflicts(plan: DataFrame, key: str = "bronze_key", shown: int = 20) -> None:
+    """An unforced plan with conflicts is an error naming the conflicting keys.
+
+    One count plus a top-``shown`` of the sorted keys for the message (the cap only
+    shortens the message; the count is exact).
+    """
+    conflicts = plan.where(F.col("action") == "conflict")
+    n = conflicts.count()
+    if n:
+        keys = [r[0] for r in conflicts.select(key).orderBy(key).limit(shown).collect()]
+        more = f" (and {n - len(keys)} more)" if n > len(keys) else ""
+        raise ValueError(f"{n} object(s) differ from the manifest: " + ", ".join(keys) + more)
+
+
 def manifest_differences(left: DataFrame, right: DataFrame, ignore=("generated_at",)) -> DataFrame:
     """Rows present on one side only (bag difference both ways), ignoring ``ignore``.
 
@@ -166,6 +180,16 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+def require_unique(df: DataFrame, key: str, shown: int = 20) -> None:
+    """Error listing the duplicated values of ``key`` in sorted order."""
+    dups = duplicate_keys(df, key)
+    n = dups.count()
+    if n:
+        keys = [str(r[0]) for r in dups.select(key).orderBy(key).limit(shown).collect()]
+        more = f" (and {n - len(keys)} more)" if n > len(keys) else ""
+        raise ValueError("Duplicate values: " + ", ".join(keys) + more)
+
+
 def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Name, size and SHA-256 per file (each file is one binary row; < 2 GiB per file)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)

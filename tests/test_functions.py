@@ -156,3 +156,37 @@ def test_batch_descriptor_rejects_other_dataset(spark, scratch):
                    "bronze_bucket": "b"}, fh)
     with pytest.raises(ValueError, match="Unsupported dataset"):
         inventory.require_batch(inventory.batch_descriptors(inventory.read_manifests(spark, path), "s"))
+
+
+def _files(spark, rows):
+    return spark.createDataFrame(rows, "bronze_key string, file_name string, size_bytes long, checksum_sha256 string")
+
+
+def test_ingest_plan_actions_and_conflicts(spark):
+    expected = _files(spark, [("k/a", "a", 10, "h1"), ("k/b", "b", 20, "h2"), ("k/c", "c", 30, "h3"),
+                              ("k/d", "d", 40, "h4")])
+    actual = _files(spark, [("k/b", "b", 20, "h2"), ("k/c", "c", 30, "zz"), ("k/d", "d", 41, "h4")])
+    plan = {r["bronze_key"]: r["action"] for r in inventory.ingest_plan(expected, actual).collect()}
+    assert plan == {"k/a": "upload", "k/b": "exists", "k/c": "conflict", "k/d": "conflict"}
+    forced = {r["bronze_key"]: r["action"] for r in inventory.ingest_plan(expected, actual, force=True).collect()}
+    assert forced["k/c"] == forced["k/d"] == "overwrite"
+    with pytest.raises(ValueError, match="2 object\\(s\\) differ from the manifest: k/c, k/d"):
+        inventory.require_no_conflicts(inventory.ingest_plan(expected, actual))
+    inventory.require_no_conflicts(inventory.ingest_plan(expected, actual, force=True))
+
+
+def test_manifest_equality_ignores_generated_at(spark):
+    schema = "file_name string, size_bytes long, generated_at string"
+    a = spark.createDataFrame([("a", 1, "2025-01-01"), ("b", 2, "2025-01-01")], schema)
+    b = spark.createDataFrame([("b", 2, "2025-02-01"), ("a", 1, "2025-02-01")], schema)
+    assert inventory.manifest_differences(a, b).count() == 0
+    c = spark.createDataFrame([("a", 1, "x"), ("b", 3, "x")], schema)
+    diff = {(r["file_name"], r["side"]) for r in inventory.manifest_differences(a, c).collect()}
+    assert diff == {("b", "left"), ("b", "right")}
+
+
+def test_require_unique_lists_sorted_duplicates(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("a",)], "name string")
+    with pytest.raises(ValueError, match="Duplicate values: a, b$"):
+        inventory.require_unique(df, "name")
+    inventory.require_unique(df.distinct(), "name")
