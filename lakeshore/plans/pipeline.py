@@ -111,8 +111,10 @@ def bronze_to_silver_from_manifest(
     return metrics
 
 
-def gold_uris(gold_root: str) -> dict[str, str]:
-    return {name: os.path.join(gold_root, name) for name in gold.GOLD_TABLES}
+def gold_uris(gold_root: str, year: str | None = None, month: str | None = None) -> dict[str, str]:
+    """``<gold root>/<table>``, or ``<gold root>/<table>/year=YYYY/month=MM`` for one batch."""
+    batch = [f"year={year}", f"month={month}"] if year and month else []
+    return {name: os.path.join(gold_root, name, *batch) for name in gold.GOLD_TABLES}
 
 
 GOLD_LAYOUTS = ("clustered", "partitioned")
@@ -203,9 +205,9 @@ def query_smoke(
     }
 
 
-def metrics_path(output_dir: str, job_name: str, batch: str) -> str:
-    """K7: ``<output>/<job>/batch=<id>/metrics.json``."""
-    return os.path.join(output_dir, job_name, f"batch={batch}", "metrics.json")
+def metrics_path(output_dir: str, job_name: str, year: str, month: str) -> str:
+    """K7: ``<output>/<job>/year=YYYY/month=MM/metrics.json`` (the batch, not trip dates)."""
+    return os.path.join(output_dir, job_name, f"year={year}", f"month={month}", "metrics.json")
 
 
 def write_metrics(spark: SparkSession, path: str, metrics: dict[str, Any]) -> None:
@@ -224,11 +226,15 @@ def run_pipeline(
     source_uris: Sequence[str],
     lake_root: str,
     metrics_dir: str | None = None,
-    batch: str = "batch",
+    year: str | None = None,
+    month: str | None = None,
     mode: str = "overwrite",
     gold_layout: str = "clustered",
 ) -> dict[str, dict[str, Any]]:
-    """Bronze -> silver -> gold -> query smoke, in that order."""
+    """Bronze -> silver -> gold -> query smoke, in that order; with ``metrics_dir``
+    one metrics record per job under the batch's ``year=/month=`` (both required)."""
+    if metrics_dir and not (year and month):
+        raise ValueError("metrics need the batch year and month")
     silver_uri = os.path.join(lake_root, "silver", "trips")
     gold_root = os.path.join(lake_root, "gold")
     out = {
@@ -238,5 +244,5 @@ def run_pipeline(
     }
     if metrics_dir:
         for name, m in out.items():
-            write_metrics(spark, metrics_path(metrics_dir, name, batch), m)
+            write_metrics(spark, metrics_path(metrics_dir, name, year, month), m)
     return out

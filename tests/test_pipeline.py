@@ -126,13 +126,13 @@ def test_external_gold_tables_need_partition_sync(spark, scratch):
 def test_run_pipeline_writes_metrics_and_runs_every_query(spark, scratch):
     uris = _bronze(spark, scratch)
     out = pipeline.run_pipeline(spark, uris, os.path.join(scratch, "lake"), metrics_dir=os.path.join(scratch, "m"),
-                                batch="1995-01")
+                                year="1995", month="01")
     smoke = out["query_smoke"]
     assert smoke["query_count"] == 6
     rows = {q["query_name"]: q["rows_returned"] for q in smoke["queries"]}
     assert rows["04_hourly_distance_fare"] <= 24 and rows["05_selective_pickup_date"] == 1
     assert all(len(q["sample_rows"]) == min(5, q["rows_returned"]) for q in smoke["queries"])
-    m = pipeline.read_metrics(spark, pipeline.metrics_path(os.path.join(scratch, "m"), "bronze_to_silver", "1995-01"))
+    m = pipeline.read_metrics(spark, pipeline.metrics_path(os.path.join(scratch, "m"), "bronze_to_silver", "1995", "01"))
     row = m.first()
     assert row["output_rows"] == out["bronze_to_silver"]["output_rows"]
 
@@ -206,3 +206,11 @@ def test_bronze_to_silver_from_manifest(spark, scratch):
         json.dump(manifest, fh)
     with pytest.raises(ValueError, match="Unsupported dataset"):
         pipeline.bronze_to_silver_from_manifest(spark, bad, "silver", bronze_root=root, silver_root=out_root)
+
+
+def test_batch_paths():
+    assert pipeline.metrics_path("/out", "job", "2025", "01") == "/out/job/year=2025/month=01/metrics.json"
+    uris = pipeline.gold_uris("s3a://datalake-gold", "2025", "01")
+    assert uris["daily_trip_metrics"] == "s3a://datalake-gold/daily_trip_metrics/year=2025/month=01"
+    assert uris["location_metrics"] == "s3a://datalake-gold/location_metrics/year=2025/month=01"
+    assert uris["payment_metrics"] == "s3a://datalake-gold/payment_metrics/year=2025/month=01"
