@@ -190,3 +190,27 @@ def test_require_unique_lists_sorted_duplicates(spark):
     with pytest.raises(ValueError, match="Duplicate values: a, b$"):
         inventory.require_unique(df, "name")
     inventory.require_unique(df.distinct(), "name")
+
+
+def test_sql_file_set_covers_the_four_views_and_binds_parameters(spark, tmp_path):
+    import re
+    from lakeshore.plans import SQL_DIR
+    from lakeshore.plans.runner import load_sql_queries, referenced_parameters, run_sql
+    files = load_sql_queries(SQL_DIR)
+    assert [p.name[:2] for p in files] == ["01", "02", "03", "04", "05", "06"]
+    text = " ".join(p.read_text() for p in files)
+    views = set(re.findall(r"\bFROM\s+(\w+)", text))
+    assert views == {"silver_trips", "daily_trip_metrics", "location_metrics", "payment_metrics"}
+    assert referenced_parameters("WHERE d BETWEEN :start_date AND :end_date AND x = '::text'") == ["end_date", "start_date"]
+    with pytest.raises(ValueError, match="missing parameters pickup_date"):
+        run_sql(spark, files[4], {})
+    with pytest.raises(ValueError, match="No SQL files"):
+        load_sql_queries(tmp_path)
+
+
+def test_layout_benchmark_rejects_bad_arguments(spark, tmp_path):
+    from lakeshore.plans.layouts import benchmark_layouts
+    for kwargs in ({"iterations": 0}, {"warmup": -1}, {"comparison": "zorder"},
+                   {"comparison": "compaction", "coalesce": 0}, {"coalesce": -1}):
+        with pytest.raises(ValueError):
+            benchmark_layouts(spark, str(tmp_path / "none"), [], str(tmp_path), **kwargs)
