@@ -58,17 +58,24 @@ def build_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder, setting a scratch one only where none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object-store) folder and is
-    used as is; only local runs without it get a fresh temporary folder.
+    used as is; only local runs without it get a fresh temporary folder.  A Spark Connect
+    session has no driver-side context: its server's own checkpoint setting applies.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
