@@ -34,6 +34,22 @@ def _observed_source(df: DataFrame, idx: int) -> tuple[DataFrame, Observation]:
     return labelled.observe(obs, *metrics), obs
 
 
+def group_sources_by_schema(spark: SparkSession, source_uris: Sequence[str]) -> list[list[str]]:
+    """Source files grouped by their Parquet schema, groups in first-seen order.
+
+    Files of one schema are read by a single scan, so a batch of thousands of monthly or
+    hourly files becomes a handful of scans (one per schema variant) instead of a
+    thousands-way union; the drifted variants are normalised separately before the union
+    (T12).  Only footers are read here (metadata, on a small driver thread pool).
+    """
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(source_uris)))) as pool:
+        schemas = list(pool.map(lambda u: spark.read.parquet(u).schema.json(), source_uris))
+    groups: dict[str, list[str]] = {}
+    for uri, schema in zip(source_uris, schemas):
+        groups.setdefault(schema, []).append(uri)
+    return list(groups.values())
+
+
 def bronze_to_silver(
     spark: SparkSession,
     source_uris: Sequence[str],
@@ -51,7 +67,8 @@ def bronze_to_silver(
     if not source_uris:
         raise ValueError("At least one trip source URI is required")
     started = time.perf_counter()
-    observed = [_observed_source(spark.read.parquet(u), i) for i, u in enumerate(source_uris)]
+    groups = group_sources_by_schema(spark, source_uris)
+    observed = [_observed_source(spark.read.parquet(*g), i) for i, g in enumerate(groups)]
     valid = [df.where(F.col("reason").isNull()).drop("reason") for df, _ in observed]
     result = silver.deduplicate(silver.union_sources(valid))
     out_obs = Observation("silver_out")
@@ -66,6 +83,7 @@ def bronze_to_silver(
         "job_name": "bronze_to_silver",
         "source_uris": list(source_uris),
         "source_file_count": len(source_uris),
+        "source_schema_count": len(groups),
         "silver_uri": silver_uri,
         "input_rows": input_rows,
         "output_rows": output_rows,

@@ -214,3 +214,20 @@ def test_batch_paths():
     assert uris["daily_trip_metrics"] == "s3a://datalake-gold/daily_trip_metrics/year=2025/month=01"
     assert uris["location_metrics"] == "s3a://datalake-gold/location_metrics/year=2025/month=01"
     assert uris["payment_metrics"] == "s3a://datalake-gold/payment_metrics/year=2025/month=01"
+
+
+def test_sources_with_one_schema_share_a_scan(spark, scratch):
+    a, b = raw_sources(spark, SF001)
+    root = os.path.join(scratch, "bronze")
+    uris = []
+    for name, df in (("a1", a.where("PULocationID % 2 = 0")), ("b", b), ("a2", a.where("PULocationID % 2 = 1"))):
+        uri = os.path.join(root, f"{name}.parquet")
+        write_parquet(_window(df), uri)
+        uris.append(uri)
+    groups = pipeline.group_sources_by_schema(spark, uris)
+    assert groups == [[uris[0], uris[2]], [uris[1]]]
+    m = pipeline.bronze_to_silver(spark, uris, os.path.join(scratch, "silver"))
+    assert m["source_schema_count"] == 2 and m["source_file_count"] == 3
+    assert m["input_rows"] == sum(spark.read.parquet(u).count() for u in uris)
+    expected = silver.silver_trips([spark.read.parquet(u) for u in uris])
+    assert _same_rows(spark.read.parquet(os.path.join(scratch, "silver")), expected)
