@@ -11,10 +11,21 @@ from pyspark.sql import functions as F
 MONEY_DECIMAL = "decimal(18,4)"
 
 
+def finite_or(exact: Column, plain: Column) -> Column:
+    """``plain`` (a double sum) when it is NaN or infinite, else ``exact``.
+
+    NaN and +-Inf pass the silver filter (NaN >= 0 is true, T5) but become NULL when cast
+    to DECIMAL; a double sum propagates them, and does so in any summation order, so the
+    non-finite result is as deterministic as the exact one.
+    """
+    return F.when(F.isnan(plain) | (F.abs(plain) == F.lit(float("inf"))), plain).otherwise(exact)
+
+
 def exact_sum(col: str | Column) -> Column:
-    """Order-independent sum of a double column, returned as DOUBLE."""
+    """Order-independent sum of a double column, returned as DOUBLE (NaN / Inf propagate
+    as in a plain double sum)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(MONEY_DECIMAL)).cast("double")
+    return finite_or(F.sum(c.cast(MONEY_DECIMAL)).cast("double"), F.sum(c))
 
 
 def exact_avg(col: str | Column) -> Column:

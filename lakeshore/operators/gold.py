@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.functions import MONEY_DECIMAL, exact_avg, exact_sum
+from lakeshore.functions import MONEY_DECIMAL, exact_avg, exact_sum, finite_or
 
 
 def daily_trip_metrics(silver: DataFrame) -> DataFrame:
@@ -62,7 +62,8 @@ def gold_measures(silver: DataFrame) -> DataFrame:
     """The measures of all three gold tables in one scan and one shuffle.
 
     ``GROUPING SETS ((date), (date, pickup, dropoff), (date, payment))`` with exact
-    DECIMAL sums and non-NULL counts; every gold column is a sum or a ratio of these, so
+    DECIMAL sums (plus plain double sums, used only when NaN / Inf make them non-finite)
+    and non-NULL counts; every gold column is a sum or a ratio of these, so
     the tables split off by ``gid`` equal the three separate aggregates bit for bit.
     A ``NULL`` payment type stays its own group (``gid`` tells it from a rolled-up key).
     """
@@ -79,6 +80,10 @@ def gold_measures(silver: DataFrame) -> DataFrame:
         dsum("fare_amount").alias("s_fare"),
         dsum("tip_amount").alias("s_tip"),
         dsum("trip_distance").alias("s_dist"),
+        F.sum("total_amount").alias("f_total"),
+        F.sum("fare_amount").alias("f_fare"),
+        F.sum("tip_amount").alias("f_tip"),
+        F.sum("trip_distance").alias("f_dist"),
         F.count("trip_distance").alias("n_dist"),
         F.count("tip_amount").alias("n_tip"),
         F.sum("passenger_count").alias("s_pass"),
@@ -89,6 +94,9 @@ def gold_measures(silver: DataFrame) -> DataFrame:
 def split_gold(measures: DataFrame) -> dict[str, DataFrame]:
     """The three gold tables from :func:`gold_measures`, in their column order."""
     def dbl(c: str):
+        # s_* are exact DECIMAL sums; f_* the plain double sums that carry NaN / Inf.
+        if c.startswith("s_") and c != "s_pass":
+            return finite_or(F.col(c).cast("double"), F.col("f_" + c[2:]))
         return F.col(c).cast("double")
 
     def ratio(a: str, b: str):

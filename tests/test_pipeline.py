@@ -231,3 +231,22 @@ def test_sources_with_one_schema_share_a_scan(spark, scratch):
     assert m["input_rows"] == sum(spark.read.parquet(u).count() for u in uris)
     expected = silver.silver_trips([spark.read.parquet(u) for u in uris])
     assert _same_rows(spark.read.parquet(os.path.join(scratch, "silver")), expected)
+
+
+def test_non_finite_amounts_propagate_like_a_double_sum(spark):
+    rows = [("2025-01-01 10:00:00", "2025-01-01 10:10:00", 1, 1.0, 1, 2, 1, 10.0, 1.0, 12.0),
+            ("2025-01-01 11:00:00", "2025-01-01 11:10:00", 1, 2.0, 1, 2, 1, float("nan"), 1.0, 12.0),
+            ("2025-01-02 11:00:00", "2025-01-02 11:10:00", 1, 2.0, 1, 2, 1, float("inf"), 1.5, 13.0)]
+    schema = ("tpep_pickup_datetime string, tpep_dropoff_datetime string, passenger_count int, trip_distance double, "
+              "PULocationID int, DOLocationID int, payment_type int, fare_amount double, tip_amount double, "
+              "total_amount double")
+    raw = spark.createDataFrame(rows, schema)
+    s = silver.silver_trips([raw])
+    assert s.count() == 3  # NaN >= 0 and Inf >= 0 pass the filter (T5)
+    by_day = {r["pickup_date"].isoformat(): r for r in gold.daily_trip_metrics(s).collect()}
+    split = {r["pickup_date"].isoformat(): r for r in gold.split_gold(gold.gold_measures(s))["daily_trip_metrics"].collect()}
+    import math
+    for table in (by_day, split):
+        assert math.isnan(table["2025-01-01"]["fare_revenue"])
+        assert table["2025-01-02"]["fare_revenue"] == float("inf")
+        assert table["2025-01-01"]["total_revenue"] == 24.0 and table["2025-01-01"]["total_tip"] == 2.0
