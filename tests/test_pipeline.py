@@ -250,3 +250,28 @@ def test_non_finite_amounts_propagate_like_a_double_sum(spark):
         assert math.isnan(table["2025-01-01"]["fare_revenue"])
         assert table["2025-01-02"]["fare_revenue"] == float("inf")
         assert table["2025-01-01"]["total_revenue"] == 24.0 and table["2025-01-01"]["total_tip"] == 2.0
+
+
+def test_job_cli_runs_the_chain(spark, scratch, capsys):
+    import json
+    from lakeshore import jobs
+    uris = _bronze(spark, scratch)
+    root = os.path.join(scratch, "bronze")
+    files = [{"bronze_key": os.path.relpath(u, root)} for u in uris]
+    mpath = os.path.join(scratch, "m.json")
+    with open(mpath, "w") as fh:
+        json.dump({"dataset": "nyc_taxi", "taxi_type": "yellow", "year": "1995", "month": "01",
+                   "bronze_bucket": "bronze", "files": files}, fh)
+    lake, mdir = os.path.join(scratch, "lake"), os.path.join(scratch, "metrics")
+    assert jobs.main(["--metrics-dir", mdir, "bronze-to-silver", "--manifest", mpath, "--silver-bucket", "silver",
+                      "--bronze-root", root, "--silver-root", lake]) == 0
+    silver_uri = os.path.join(lake, "nyc-taxi", "year=1995", "month=01")
+    assert jobs.main(["silver-to-gold", "--silver-uri", silver_uri, "--gold-root", os.path.join(lake, "gold")]) == 0
+    assert jobs.main(["query-benchmark", "--silver-uri", silver_uri, "--gold-root", os.path.join(lake, "gold"),
+                      "--iterations", "1", "--warmup", "0"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert len(json.loads(out[-1])["summary"]) == 6
+    m = pipeline.read_metrics(spark, pipeline.metrics_path(mdir, "bronze_to_silver", "1995", "01")).first()
+    assert m["output_rows"] > 0
+    assert jobs.main(["silver-to-gold", "--silver-uri", os.path.join(scratch, "missing"),
+                      "--gold-root", os.path.join(lake, "g2")]) == 1
