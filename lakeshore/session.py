@@ -11,22 +11,29 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Defaults that only apply when the caller (spark-submit / cluster config) has not set them.
+# Runtime SQL defaults; each applies only when the cluster configuration (spark-defaults,
+# ``spark-submit --conf``) has not set the key, so a cluster's tuning always wins.
 _DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # ~128 MiB input splits and ~64 MiB post-shuffle partitions keep tasks spill-free
-    # on a 4-8 GiB executor heap at any scale factor.
+    # ~128 MiB input splits; 64 MiB is the target when AQE splits a skewed partition
+    # (and when it coalesces, on clusters that set parallelismFirst=false).
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024 * 1024),
     "spark.sql.parquet.aggregatePushdown": "true",
     # Listing thousands of date directories: a few dozen listing tasks, not one per path.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# Settings that change results: always applied (T8 zone, T11 overwrite semantics).
+_PINNED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# Static settings that must exist before the context starts (no web UI server).
+_STATIC_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -42,7 +49,8 @@ def build_session(
 
     ``master`` / ``shuffle_partitions`` fall back to ``LAKESHORE_MASTER`` /
     ``LAKESHORE_SHUFFLE_PARTITIONS`` and then to Spark's own defaults, so the
-    same code runs under ``spark-submit`` on a cluster and in local tests.
+    same code runs under ``spark-submit`` on a cluster and in local tests.  ``extra``
+    settings are explicit and always applied; the SQL defaults above only fill gaps.
     """
     builder = SparkSession.builder.appName(app_name)
     master = master or os.environ.get("LAKESHORE_MASTER")
@@ -51,13 +59,32 @@ def build_session(
     parts = shuffle_partitions or os.environ.get("LAKESHORE_SHUFFLE_PARTITIONS")
     if parts:
         builder = builder.config("spark.sql.shuffle.partitions", str(parts))
-    for key, value in {**_DEFAULTS, **(extra or {})}.items():
+    for key, value in {**_STATIC_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    for key, value in _PINNED.items():
+        spark.conf.set(key, value)
+    apply_defaults(spark, _DEFAULTS, explicit=extra or {})
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def apply_defaults(spark: SparkSession, defaults: dict[str, str], explicit: dict[str, str] | None = None) -> list[str]:
+    """Set each default the cluster configuration leaves unset; returns the keys set."""
+    try:
+        cluster = spark.sparkContext.getConf()
+        configured = {k for k, _ in cluster.getAll()}
+    except Exception:  # Spark Connect: only the session's own values are visible
+        configured = set()
+    applied = []
+    for key, value in defaults.items():
+        if key in configured or key in (explicit or {}):
+            continue
+        spark.conf.set(key, value)
+        applied.append(key)
+    return applied
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder, setting a scratch one only where none is configured.
 

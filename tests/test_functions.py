@@ -214,3 +214,11 @@ def test_layout_benchmark_rejects_bad_arguments(spark, tmp_path):
                    {"comparison": "compaction", "coalesce": 0}, {"coalesce": -1}):
         with pytest.raises(ValueError):
             benchmark_layouts(spark, str(tmp_path / "none"), [], str(tmp_path), **kwargs)
+
+
+def test_cluster_settings_win_over_session_defaults(spark):
+    from lakeshore.session import apply_defaults
+    spark.sparkContext.getConf().get("spark.driver.memory")  # set by the test session
+    applied = apply_defaults(spark, {"spark.driver.memory": "1g", "spark.sql.shuffle.partitions": "8"})
+    assert "spark.driver.memory" not in applied
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
