@@ -85,13 +85,13 @@ def exact_percentiles(
         *keys, "_p", "_pos",
         F.explode(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))).alias("_rank"),
     ).distinct()
-    located = ranks.join(per_bucket.select(*keys, "_b", "_off", "_bn"), keys, "inner").where(
+    located = _null_safe_join(ranks, per_bucket.select(*keys, "_b", "_off", "_bn"), keys, "inner").where(
         (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_bn"))
     ).select(*keys, "_p", "_pos", "_rank", "_b", (F.col("_rank") - F.col("_off")).alias("_local"))
 
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = bucketed.select(*keys, "_b", "_v", "_c", F.sum("_c").over(in_bucket).alias("_end"))
-    found = located.join(running, [*keys, "_b"], "inner").where(
+    found = _null_safe_join(located, running, [*keys, "_b"], "inner").where(
         (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
     ).select(*keys, "_p", "_pos", "_rank", "_v")
 
@@ -106,7 +106,7 @@ def exact_percentiles(
     per_p = found.groupBy(*keys, "_p").agg(interp.alias("_val"))
     wide = per_p.groupBy(*keys).pivot("_p", [float(p) for p in ps]).agg(F.first("_val"))
     renamed = wide.select(*keys, *[F.col(f"`{float(p)}`").alias(f"p{_label(p)}") for p in ps])
-    out = groups.join(renamed, keys, "left")
+    out = _null_safe_join(groups, renamed, keys, "left")
     return out.select(*keys, "n", *[f"p{_label(p)}" for p in ps])
 
 
@@ -114,13 +114,17 @@ def _label(p: float) -> str:
     return str(int(p)) if float(p).is_integer() else str(p).replace(".", "_")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be NULL (a NULL query name is still a group)."""
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on keys that may be NULL (a NULL query name is still a group): ``<=>`` on
+    every key, which the planner still executes as an equi join.  The right side's keys
+    are renamed first, so frames that share lineage cannot resolve ambiguously."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(right[k])
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         cond = c if cond is None else cond & c
-    return left.join(right, cond, "left").select(left["*"], *[right[c] for c in right.columns if c not in keys])
+    joined = left.join(renamed, cond, how)
+    return joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def _with_duration_stats(measured: DataFrame, keys: Sequence[str], counts: list[Column],
@@ -170,7 +174,7 @@ def layout_summary(records: DataFrame) -> DataFrame:
     per_layout = _with_duration_stats(
         measured, ["layout", "query_name"], [F.count(F.lit(1)).alias("runs"), _rows_returned()]
     )
-    return per_layout.join(per_query, "query_name", "left").select(
+    return _null_safe_join(per_layout, per_query, ["query_name"], "left").select(
         "layout", "query_name", "runs", "rows_returned", "result_consistent",
         "min_seconds", "median_seconds", "p95_seconds", "max_seconds",
     )
