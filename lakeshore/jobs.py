@@ -2,12 +2,14 @@
 
     spark-submit lakeshore/jobs.py bronze-to-silver --manifest s3a://.../manifest.json \
         --silver-bucket datalake-silver --metrics-dir s3a://.../metrics
-    spark-submit lakeshore/jobs.py silver-to-gold --silver-uri ... --gold-root ... --year 2025 --month 01
+    spark-submit lakeshore/jobs.py --year 2025 --month 01 silver-to-gold --silver-uri ... --gold-root ...
     spark-submit lakeshore/jobs.py query-smoke --silver-uri ... --gold-root ...
     spark-submit lakeshore/jobs.py query-benchmark --silver-uri ... --gold-root ... --iterations 3 --warmup 1
     spark-submit lakeshore/jobs.py layout-benchmark --silver-uri ... --scratch ... --comparison partition
     spark-submit lakeshore/jobs.py generate --rows 100000 --days 7 --seed 42 --output ...
 
+``--year/--month`` (before the subcommand) name the batch: gold tables then live under
+``<gold root>/<table>/year=/month=`` and metrics under ``<metrics>/<job>/year=/month=``.
 Every subcommand builds (or reuses) the session, runs one plan function and, with
 ``--metrics-dir``, writes its metrics record through Spark.  Exit code 0 on success,
 1 on failure (the message goes to stderr).
@@ -94,12 +96,14 @@ def run(args: argparse.Namespace) -> dict[str, Any]:
         args.year, args.month = args.year or out["batch_year"], args.month or out["batch_month"]
         return out
     if args.job == "silver-to-gold":
-        return pipeline.silver_to_gold(spark, args.silver_uri, args.gold_root, args.mode, args.layout)
+        return pipeline.silver_to_gold(spark, args.silver_uri, args.gold_root, args.mode, args.layout,
+                                       args.year, args.month)
     if args.job == "query-smoke":
         from pathlib import Path
-        return pipeline.query_smoke(spark, args.silver_uri, args.gold_root, Path(args.sql_dir), args.sample_limit)
+        return pipeline.query_smoke(spark, args.silver_uri, args.gold_root, Path(args.sql_dir), args.sample_limit,
+                                    args.year, args.month)
     if args.job == "query-benchmark":
-        frames = pipeline.register_tables(spark, args.silver_uri, args.gold_root)
+        frames = pipeline.register_tables(spark, args.silver_uri, args.gold_root, args.year, args.month)
         params = query_parameters(frames["silver_trips"], frames["daily_trip_metrics"])
         records = benchmark_queries(spark, load_sql_queries(args.sql_dir), params,
                                     args.iterations, args.warmup, args.run_id)

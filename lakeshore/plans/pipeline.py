@@ -144,6 +144,8 @@ def silver_to_gold(
     gold_root: str,
     mode: str = "overwrite",
     layout: str = "clustered",
+    year: str | None = None,
+    month: str | None = None,
 ) -> dict[str, Any]:
     """B2: the three gold tables from one scan of silver, each written with an observed
     row count.
@@ -165,7 +167,7 @@ def silver_to_gold(
     started = time.perf_counter()
     ensure_checkpoint_dir(spark)
     silver_df = read_parquet(spark, silver_uri)
-    uris = gold_uris(gold_root)
+    uris = gold_uris(gold_root, year, month)
     measures = gold.gold_measures(silver_df).checkpoint(eager=True)
     tables = gold.split_gold(measures)
 
@@ -184,7 +186,7 @@ def silver_to_gold(
     return {
         "job_name": "silver_to_gold",
         "silver_uri": silver_uri,
-        **{f"{k}_uri": v for k, v in gold_uris(gold_root).items()},
+        **{f"{k}_uri": v for k, v in uris.items()},
         "daily_rows": rows["daily_trip_metrics"],
         "location_rows": rows["location_metrics"],
         "payment_rows": rows["payment_metrics"],
@@ -194,10 +196,11 @@ def silver_to_gold(
     }
 
 
-def register_tables(spark: SparkSession, silver_uri: str, gold_root: str) -> dict[str, DataFrame]:
+def register_tables(spark: SparkSession, silver_uri: str, gold_root: str,
+                    year: str | None = None, month: str | None = None) -> dict[str, DataFrame]:
     """K9: the four views the SQL files query."""
     frames = {"silver_trips": read_parquet(spark, silver_uri)}
-    frames.update({name: read_parquet(spark, uri) for name, uri in gold_uris(gold_root).items()})
+    frames.update({name: read_parquet(spark, uri) for name, uri in gold_uris(gold_root, year, month).items()})
     register_views(spark, frames)
     return frames
 
@@ -208,10 +211,12 @@ def query_smoke(
     gold_root: str,
     sql_dir: Path = SQL_DIR,
     sample_limit: int = 5,
+    year: str | None = None,
+    month: str | None = None,
 ) -> dict[str, Any]:
     """Run every SQL file once, recording rows, seconds and a short sample."""
     started = time.perf_counter()
-    frames = register_tables(spark, silver_uri, gold_root)
+    frames = register_tables(spark, silver_uri, gold_root, year, month)
     params = query_parameters(frames["silver_trips"], frames["daily_trip_metrics"])
     results = run_query_set(spark, load_sql_queries(sql_dir), params, sample_limit)
     return {

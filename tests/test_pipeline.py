@@ -266,8 +266,10 @@ def test_job_cli_runs_the_chain(spark, scratch, capsys):
     assert jobs.main(["--metrics-dir", mdir, "bronze-to-silver", "--manifest", mpath, "--silver-bucket", "silver",
                       "--bronze-root", root, "--silver-root", lake]) == 0
     silver_uri = os.path.join(lake, "nyc-taxi", "year=1995", "month=01")
-    assert jobs.main(["silver-to-gold", "--silver-uri", silver_uri, "--gold-root", os.path.join(lake, "gold")]) == 0
-    assert jobs.main(["query-benchmark", "--silver-uri", silver_uri, "--gold-root", os.path.join(lake, "gold"),
+    batch = ["--year", "1995", "--month", "01"]
+    assert jobs.main([*batch, "silver-to-gold", "--silver-uri", silver_uri, "--gold-root", os.path.join(lake, "gold")]) == 0
+    assert os.path.isdir(os.path.join(lake, "gold", "daily_trip_metrics", "year=1995", "month=01"))
+    assert jobs.main([*batch, "query-benchmark", "--silver-uri", silver_uri, "--gold-root", os.path.join(lake, "gold"),
                       "--iterations", "1", "--warmup", "0"]) == 0
     out = capsys.readouterr().out.strip().splitlines()
     assert len(json.loads(out[-1])["summary"]) == 6
