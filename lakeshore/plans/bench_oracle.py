@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lakeshore.plans.oracle_sql import TRIP_ORACLE
+
 
 _R3 = "CAST(ROUND(CAST({} AS DECIMAL(38,9)), 3) AS DOUBLE)"
 
@@ -85,6 +87,17 @@ SELECT event_type, COUNT(value) AS n,
   CAST(ROUND(CAST(quantile_cont(value, 0.99) AS DECIMAL(38,9)), 6) AS DOUBLE) AS p99
 FROM events GROUP BY event_type""",
     "table_fingerprint": None,
-    "result_fingerprint": None,
+    # A18/P12 on q04: the same normalised JSON lines (keys sorted, numbers rounded to 6
+    # places), sorted, newline-terminated and hashed.
+    "result_fingerprint": f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows_returned,
+  sha256(string_agg(j, chr(10) ORDER BY j) || chr(10)) AS result_sha256
+FROM (
+  SELECT to_json(json_object(
+    'avg_fare_amount', round(avg_fare_amount, 6), 'avg_total_amount', round(avg_total_amount, 6),
+    'avg_trip_distance', round(avg_trip_distance, 6), 'pickup_hour', pickup_hour, 'trip_count', trip_count
+  ))::VARCHAR AS j
+  FROM ({TRIP_ORACLE["q04_hourly_distance_fare"]}) q04
+) lines""",
 }
 BENCH_ORACLE = {k: v for k, v in BENCH_ORACLE.items() if v is not None}
