@@ -65,7 +65,6 @@ def build_session(
     for key, value in _PINNED.items():
         spark.conf.set(key, value)
     apply_defaults(spark, _DEFAULTS, explicit=extra or {})
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -89,8 +88,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder, setting a scratch one only where none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object-store) folder and is
-    used as is; only local runs without it get a fresh temporary folder.  A Spark Connect
-    session has no driver-side context: its server's own checkpoint setting applies.
+    used as is (a cluster without it is an error); only ``local[...]`` runs without it
+    get a fresh temporary folder.  Called by the jobs that checkpoint, not at session
+    start.  A Spark Connect session has no driver-side context: its server's own
+    checkpoint setting applies.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -103,6 +104,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        # executors on other machines cannot read a folder local to this one
+        raise ValueError("spark.checkpoint.dir must name a shared folder (HDFS / object store) on a cluster")
     path = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -3,6 +3,7 @@
 import hashlib
 import html
 import json
+import tempfile
 import os
 
 import pytest
@@ -222,3 +223,35 @@ def test_cluster_settings_win_over_session_defaults(spark):
     applied = apply_defaults(spark, {"spark.driver.memory": "1g", "spark.sql.shuffle.partitions": "8"})
     assert "spark.driver.memory" not in applied
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_checkpoint_folder_rules():
+    from lakeshore.session import ensure_checkpoint_dir
+
+    class _Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    class _Ctx:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class _Session:
+        def __init__(self, master, configured=None):
+            self.conf, self.sparkContext = _Conf(configured), _Ctx(master)
+
+    shared = _Session("spark://cluster:7077", "hdfs://nn/checkpoints")
+    assert ensure_checkpoint_dir(shared) == "hdfs://nn/checkpoints" == shared.sparkContext.dir
+    with pytest.raises(ValueError, match="shared folder"):
+        ensure_checkpoint_dir(_Session("yarn"))
+    local = _Session("local[8]")
+    assert ensure_checkpoint_dir(local).startswith(tempfile.gettempdir())
