@@ -59,10 +59,10 @@ def bronze_to_silver(
     """B1: read every source, normalise + validate, union by name, dedup, write by date.
 
     The write goes through ``REBALANCE(pickup_date)``: no extra pass over the data, AQE
-    sizes the writers and splits a hot date.  (A batch of only a few MiB spread over
-    thousands of dates is coalesced to a single writer; ``layout="range"`` with
-    ``range_cols=("pickup_datetime",)`` keeps a fixed writer count for such batches at
-    the price of a range-sampling pass over the deduplicated rows.)
+    sizes the writers and splits a hot date.  The session's 64 KiB coalescing floor keeps
+    about one writer per core even for a batch of ~1 MiB spread over thousands of dates;
+    ``layout="range"`` with ``range_cols=("pickup_datetime",)`` fixes the writer count
+    exactly, at the price of a range-sampling pass over the deduplicated rows.
     """
     if not source_uris:
         raise ValueError("At least one trip source URI is required")

@@ -22,6 +22,10 @@ _DEFAULTS = {
     # (and when it coalesces, on clusters that set parallelismFirst=false).
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024 * 1024),
+    # Floor for AQE coalescing.  A small batch spread over thousands of dates (a ~1 MiB
+    # REBALANCE by pickup_date) keeps about one writer per core instead of collapsing to
+    # a single writer of every date file; large shuffles are far above the floor.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.parquet.aggregatePushdown": "true",
     # Listing thousands of date directories: a few dozen listing tasks, not one per path.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
