@@ -16,31 +16,33 @@ from lakeshore.sources.tables import read_table
 
 #: White space of the contract, as a character class body.
 SPACE = r"\x20\x09-\x0D"
-#: Regular expressions of the character classes besides white space and symbols.
-CLASSES = {"digit": r"[0-9]+", "stop": r"""[.,;:!?'"()\-]+""", "upper": r"\p{Lu}+", "lower": r"[\p{Ll}\p{Lo}]+"}
+#: Character classes counted by pattern, besides white space, lower case and the rest.
+CLASSES = (r"[#*$%&|<>]+", r"[0-9]+", r"""[.,;:!?'"()\-]+""", r"\p{Lu}+")
+CHAR_BINS = len(CLASSES) + 3
+#: Lower case and white space: Latin-1 only, which the pattern engine looks up in a table.
+USUAL = rf"[{SPACE}a-z\u00df-\u00f6\u00f8-\u00ff]+"
 #: Frequent function words of the languages compared.
-COMMON_WORDS = (
-    "the", "of", "and", "to", "in", "is", "that", "for",
-    "der", "die", "und", "den", "von", "ist", "nicht", "ein",
-    "le", "la", "les", "et", "des", "que", "dans", "du",
-    "el", "los", "en", "un", "una", "por", "con", "se",
-)
+COMMON_WORDS = {
+    "en": ("the", "of", "and", "to", "in", "is", "that", "for"),
+    "de": ("der", "die", "und", "den", "von", "ist", "nicht", "ein"),
+    "fr": ("le", "la", "les", "et", "des", "que", "dans", "du"),
+    "es": ("el", "los", "en", "que", "una", "por", "con", "se"),
+}
+WORD_BINS = 8
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: Repeated windows of a text that are looked up one by one.
+FEW_REPEATED = 48
 #: Guards: fewer words, or fewer common words, than these are not judged by divergence.
 GUARD_WORDS = 50
 GUARD_COMMON = 40
 #: Jensen-Shannon distances (base 2, 0 to 1) above which a text is rejected.
 MAX_CHAR_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.85
+MAX_WORD_DISTANCE = 0.5
 
 
-def _without(text: Column, pattern: str) -> Column:
-    return F.length(F.regexp_replace(text, pattern, ""))
-
-
-def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+def base_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with the base counts, ``base_failed`` and the two histograms as arrays.
 
     A null text counts as empty; every column of ``docs`` that clashes with an added one
@@ -51,57 +53,66 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumns({
         "__words": F.array_remove(F.split(body, f"[{SPACE}]+"), ""),
         "__lines": lines,
+        # what is neither lower case nor white space: a tenth of a usual text, so that
+        # the counts by class run over little
+        "__marked": F.regexp_replace(body, USUAL, ""),
         "__chars": F.length(body).cast("long"),
     })
+    out = out.withColumns({
+        "__classes": F.array(*[(F.length("__marked") - F.length(F.regexp_replace("__marked", c, ""))).cast("long") for c in CLASSES]),
+        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+    })
     out = out.withColumns({
         "n_words": F.size("__words").cast("long"),
         "word_chars": F.length(F.array_join("__words", "")).cast("long"),
-        "n_symbols": (F.col("__chars") - _without(body, r"[#*$%&|<>]+")).cast("long"),
-        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-        "__windows": _window_hashes(F.col("__words")),
+        "n_symbols": F.col("__classes")[0],
+        "__hashes": F.transform("__words", lambda w: F.xxhash64(w)),
     })
     out = _repeat_words(out).withColumn(
         "base_failed",
         (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    return _histograms(out, body).drop("__words", "__lines", "__chars", "__windows", "__ordered", "__pairs")
-
-
-def _window_hashes(words: Column) -> Column:
-    n = F.size(words) - 2
-    windows = F.arrays_zip(F.slice(words, 1, n), F.slice(words, 2, n), F.slice(words, 3, n))
-    return F.when(n > 1, F.transform(windows, lambda w: F.xxhash64(w["0"], w["1"], w["2"])))
+    out = _histograms(out, lang)
+    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in docs.columns])
 
 
 def _repeat_words(df: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words``: words inside three-word windows that occur twice or more.
 
-    Texts without such a window stop at the distinct count; in the others equal windows
-    meet as neighbours of the sorted (hash, place) pairs.
+    The windows' hashes are sorted as plain numbers; equal neighbours are the repeated
+    ones.  Their places are found by looking each window up among the repeated values, or,
+    where those are many, by sorting (hash, place) pairs.
     """
-    windows, ordered = F.col("__windows"), F.col("__ordered")
-    df = df.withColumn("__ordered", F.when(
-        F.size(F.array_distinct(windows)) < F.size(windows),
-        F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    n = F.size(ordered) - 1
-    df = df.withColumn("__pairs", F.zip_with(
-        F.slice(ordered, 1, n), F.slice(ordered, 2, n),
-        lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))))
-    places = F.array_distinct(F.flatten(F.filter("__pairs", lambda p: p.isNotNull())))
-    covered = F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(i, i + 1, i + 2))))
-    return df.withColumn("n_repeat_words", F.coalesce(F.size(covered), F.lit(0)).cast("long"))
-
-
-def _histograms(df: DataFrame, body: Column) -> DataFrame:
-    """Adds ``char_bins`` and ``word_bins``: integer counts of the character classes, and of
-    each common word between two blanks (blanks are not shared by two matches)."""
-    chars = F.col("__chars")
-    classes = [chars - _without(body, pattern) for pattern in CLASSES.values()]
-    df = df.withColumn("char_bins", F.array(chars - F.col("word_chars"), F.col("n_symbols"), *classes))
-    rest = F.aggregate("char_bins", chars, lambda left, x: left - x)
-    size = F.octet_length(body)
-    words = [((size - F.octet_length(F.replace(body, F.lit(f" {w} "), F.lit("")))) / F.lit(len(w) + 2)).cast("long")
-             for w in COMMON_WORDS]
-    return df.withColumns({"char_bins": F.concat("char_bins", F.array(rest)), "word_bins": F.array(*words)})
+    hashes, windows, repeated, ordered = (F.col(c) for c in ("__hashes", "__windows", "__repeated", "__ordered"))
+    n = F.size(hashes) - 2
+    df = df.withColumn("__windows", F.when(n > 1, F.transform(
+        F.slice(hashes, 1, n), lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2)))))
+    df = df.withColumn("__sorted", F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.sort_array(windows)))
+    df = df.withColumn("__repeated", F.array_distinct(F.filter("__sorted", lambda h, i: h == F.get("__sorted", i - 1))))
+    few = F.size(repeated) <= FEW_REPEATED
+    df = df.withColumn("__ordered", F.when(~few, F.sort_array(
+        F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    by_value = F.filter(F.transform(windows, lambda h, i: F.when(F.array_contains(repeated, h), i)), lambda i: i.isNotNull())
+    by_order = F.transform(
+        F.filter(ordered, lambda p, i: (p["h"] == F.get(ordered, i - 1)["h"]) | (p["h"] == F.get(ordered, i + 1)["h"])),
+        lambda p: p["i"])
+    df = df.withColumn("__places", F.when(few, by_value).otherwise(by_order))
+    covered = F.array_distinct(F.flatten(F.transform("__places", lambda i: F.array(i, i + 1, i + 2))))
+    return df.withColumn("n_repeat_words", F.when(repeated.isNotNull(), F.size(covered)).otherwise(0).cast("long"))
+
+
+def _histograms(df: DataFrame, lang: str) -> DataFrame:
+    """Adds ``char_bins`` (white space, lower case, the classes, the rest) and ``word_bins``
+    (each common word of the text's language; null for a language without common words), as integer counts."""
+    marked = F.length("__marked").cast("long")
+    rest = F.aggregate("__classes", marked, lambda left, x: left - x)
+    spaces = F.col("__chars") - F.col("word_chars")
+    char_bins = F.concat(F.array(spaces, F.col("word_chars") - marked), "__classes", F.array(rest))
+    size = F.size("__words")
+    word_bins = F.lit(None).cast("array<bigint>")
+    for name, words in COMMON_WORDS.items():
+        counts = [(size - F.size(F.array_remove("__words", w))).cast("long") for w in words]
+        word_bins = F.when(F.col(f"`{lang}`") == name, F.array(*counts)).otherwise(word_bins)
+    return df.withColumns({"char_bins": char_bins, "word_bins": word_bins})
 
 
 def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
@@ -111,7 +122,7 @@ def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
         return F.array(*[F.sum(F.col(name)[i]) for i in range(n)]).alias(f"r_{name}")
 
     return (counted.where(~F.col("base_failed")).groupBy(F.col(f"`{lang}`").alias("r_lang"))
-            .agg(sums("char_bins", len(CLASSES) + 3), sums("word_bins", len(COMMON_WORDS))))
+            .agg(sums("char_bins", CHAR_BINS), sums("word_bins", WORD_BINS)))
 
 
 def _total(bins: Column) -> Column:

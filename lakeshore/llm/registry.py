@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from lakeshore.llm.bpe import op9_byte_level_bpe
+from lakeshore.llm.ngram_join import op2_ngram_jaccard_join
+from lakeshore.llm.packing import op7_best_fit_packing
 from lakeshore.llm.quality import op6_quality_rules
+from lakeshore.llm.tokens import op1_token_counts
+from lakeshore.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_byte_level_bpe": op9_byte_level_bpe,
 }
 
 ORACLE: dict[str, str] = {}
