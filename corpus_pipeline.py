@@ -1,26 +1,55 @@
 """Corpus pipeline: quality rules, toxicity, near duplicates, packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
-Parquet and read again as the next stage's ``docs``.
+Parquet and read again as the next stage's ``docs``.  All but the last return the columns
+that they are given; the last returns the packed pieces.  Rows without doc_id cannot be
+told apart and are dropped by the first stage; rows that repeat a doc_id share its fate.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeshore.llm import toxicity
 from lakeshore.llm.common import saved, work_folder
+from lakeshore.llm.ngram_join import near_duplicates
+from lakeshore.llm.packing import pack_documents
 from lakeshore.llm.quality import base_counts, judge
 from lakeshore.sources.tables import read_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules (operator 6) keep, with their columns as they were."""
+    """Documents that the quality rules (operator 6) keep; the references are those of the
+    documents given.  Null and empty texts go."""
     counted = saved(base_counts(docs.select("doc_id", "text", "lang")).drop("text"), work_folder(spark, "quality"))
-    kept = judge(counted).where("kept").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return docs.join(judge(counted).where("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
 
 
-STAGES = [("quality", quality_stage)]
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5 (operator 5); the model is trained on the labelled
+    ones of the documents given."""
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where("score < 0.5").select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate class (operator 2) the document of the smallest doc_id; of
+    rows that repeat it, one."""
+    kept = near_duplicates(docs).where("component_id = doc_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces, packed best fit (operator 7)."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("packing", packing_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

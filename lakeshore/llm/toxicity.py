@@ -33,9 +33,11 @@ PREFIXES = (4, 5, 6)
 #: Bounds of the training sample (rows of each label) and of the lexicon.
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 1000
-#: A lexicon entry occurs in so many toxic texts, and so many times as often as in others.
+#: A lexicon entry occurs in so many toxic texts, and its odds ratio, at the lower end of a
+#: one-sided 95 % interval, reaches so much.
 MIN_SUPPORT = 4
-MIN_ODDS = 30.0
+MIN_ODDS = 8.0
+INTERVAL = 1.645
 #: An exception phrase occurs in so many texts that are not toxic, and in fewer toxic ones.
 MIN_EXCEPTION = 3
 RIDGE = 0.05
@@ -169,7 +171,9 @@ def _words_and_beginnings():
 def _lexicon(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     """The entries by log-odds; of an entry and longer ones that begin with it, the first."""
     odds = ((F.col("pos") + 0.5) / F.lit(toxic + 1.0)) / ((F.col("neg") + 0.5) / F.lit(clean + 1.0))
-    best = (counts.where(F.col("pos") >= MIN_SUPPORT).withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
+    spread = INTERVAL * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    best = (counts.where(F.col("pos") >= MIN_SUPPORT).withColumn("odds", odds)
+            .where(F.log("odds") - spread >= math.log(MIN_ODDS))
             .orderBy(F.desc("pos"), "feature").limit(LEXICON_SIZE).collect())
     kept: dict[str, float] = {}
     for row in sorted(best, key=lambda r: (len(r["feature"].rstrip()), r["feature"])):
