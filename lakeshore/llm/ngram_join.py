@@ -7,7 +7,8 @@ ceil(t n) of them with any partner, so
 
 * a document with fewer n-grams that occur elsewhere has no partner and leaves the matrix;
 * of the rest, ordered from rare to frequent, the first ones that a partner cannot all miss
-  are the only columns that need to be multiplied out.
+  are the only columns that need to be multiplied out, and in each only rows whose sizes
+  and places in that order leave room for the overlap that the pair needs.
 
 A column's rows are not paired with each other: each is multiplied with the column's
 leader only, whose links merge rows into classes; what is left are rows of different
@@ -37,7 +38,8 @@ BLOCK_ENTRIES = 2_000_000
 BLOCKS_PER_PARTITION = 8
 #: Bits of an n-gram's hash below those that its block implies.
 REST_BITS = 40
-#: Star rounds go on while the pairs left exceed this many per posting.
+#: Star rounds go on while the pairs left exceed this many per posting, as long as a round
+#: takes a quarter of them away.
 PAIRS_PER_POSTING = 4
 
 _SPACE = np.zeros(256, bool)
@@ -270,55 +272,82 @@ def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             .where(DENOMINATOR * both >= NUMERATOR * (F.col("n_a") + F.col("n_b") - both)).select("a", "b"))
 
 
-def _sizes_fit(n: str, k: str):
-    return F.expr(f"{DENOMINATOR} * least({n}, {k}) >= {NUMERATOR} * greatest({n}, {k})")
+def _postings(rows: DataFrame) -> DataFrame:
+    """``row, n, gram, most``: the columns in which a row may meet its partners first.
+
+    A pair that shares its first column at place p of a row of n can overlap in n - p
+    columns at most, and needs t / (1 + t) of both sizes together; ``most`` is the largest
+    partner that this allows.  Places from which not even the smallest partner (t n) is
+    within reach are left out.
+    """
+    place = F.col("n") - F.col("m") + F.col("at")
+    most = F.expr(f"({DENOMINATOR} * n - {NUMERATOR + DENOMINATOR} * place) div {NUMERATOR}")
+    return (rows.select("row", "n", "m", F.posexplode("grams").alias("at", "gram"))
+            .withColumn("place", place).withColumn("most", most)
+            .where(DENOMINATOR * F.col("most") >= NUMERATOR * F.col("n")).select("row", "n", "gram", "most"))
+
+
+def _fit(n: str, most: str, other_n: str, other_most: str):
+    """Whether two rows of a column can be partners: each is within the other's reach."""
+    return (F.col(other_n) <= F.col(most)) & (F.col(n) <= F.col(other_most))
+
+
+#: A row that reaches partners of its own size; of two rows that can be partners one does.
+_LEADS = "most >= n"
 
 
 def _classes(postings: DataFrame, links: DataFrame) -> DataFrame:
-    """Postings with the class of their row: the smallest row that links lead to."""
-    found = components(links)
-    return (postings.join(found.withColumnRenamed("node", "row"), "row", "left")
-            .withColumn("label", F.coalesce("component", "row")).drop("component"))
+    """Postings with a label of their row: a row that links lead to.  Two rounds of minima
+    over neighbours give all rows of a star the same one."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    one = both.groupBy("u").agg(F.min("v").alias("label")).select("u", F.least("u", "label").alias("label"))
+    two = both.join(one.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("label"))
+    return (postings.join(two.select(F.col("u").alias("row"), F.col("label").alias("l")), "row", "left")
+            .withColumn("label", F.least("row", F.coalesce("l", "row"))).drop("l"))
+
+
+def _pairs(joined: DataFrame, other: str) -> DataFrame:
+    return joined.select(F.least("row", other).alias("a"), F.greatest("row", other).alias("b")).distinct()
 
 
 def link_rows(rows: DataFrame, folder: str) -> DataFrame:
     """Links (a, b) between matrix rows that connect all that the similarity connects."""
-    prefix = F.slice("grams", 1, F.greatest(F.lit(0), F.col("m") - _least("n") + 1).cast("int"))
-    postings = saved(rows.select("row", "n", F.explode(prefix).alias("gram")), f"{folder}/postings")
-    total = postings.count()
-    links, labelled, step = None, postings.withColumn("label", F.col("row")), 0
+    every = saved(_postings(rows), f"{folder}/postings-all")
+    shared = every.groupBy("gram").agg(F.count("*").alias("k"), F.count_if(F.expr(_LEADS)).alias("lead")).where("k > 1 AND lead > 0")
+    postings = saved(every.join(shared.select("gram"), "gram", "left_semi"), f"{folder}/postings")
+    total, left, step = postings.count(), None, 0
+    links, labelled = None, postings.withColumn("label", F.col("row"))
     while True:
         # leaders: the column's first row by a fresh random order each round
-        order = F.struct(F.xxhash64(F.col("row"), F.lit(step)).alias("h"), "row", "n", "label")
+        order = F.when(F.expr(_LEADS), F.struct(F.xxhash64(F.col("row"), F.lit(step)).alias("h"), "row", "n", "most", "label"))
         columns = (labelled.groupBy("gram").agg(F.min(order).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high"))
                    .where("low < high").select("gram", "lead.*").drop("h")
-                   .toDF("gram", "leader", "n_leader", "label_leader"))
-        pairs = (labelled.join(columns, "gram")
-                 .where((F.col("label") != F.col("label_leader")) & _sizes_fit("n", "n_leader"))
-                 .select(F.least("row", "leader").alias("a"), F.greatest("row", "leader").alias("b")).distinct())
+                   .toDF("gram", "leader", "n_leader", "most_leader", "label_leader"))
+        pairs = _pairs(labelled.join(columns, "gram").where(
+            (F.col("label") != F.col("label_leader")) & _fit("n", "most", "n_leader", "most_leader")), "leader")
         step += 1
         new = saved(_links(pairs, rows), f"{folder}/star-{step}")
         links = new if links is None else links.unionByName(new)
-        merged = not new.isEmpty()
-        if merged:
-            labelled = saved(_classes(postings, links), f"{folder}/classes-{step}")
-        left, columns = _open_columns(labelled)
-        if not merged or left <= PAIRS_PER_POSTING * total:
+        labelled = saved(_classes(postings, links), f"{folder}/labels-{step}")
+        before, (left, columns) = left, _open_columns(labelled)
+        if left <= PAIRS_PER_POSTING * total or (before is not None and 4 * left > 3 * before):
             break
     if not left:
         return links
     rest = saved(labelled.join(columns, "gram", "left_semi"), f"{folder}/open")
-    other = rest.toDF(*[f"{c}_2" if c != "gram" else c for c in rest.columns])
-    pairs = (rest.join(other, "gram").where((F.col("label") < F.col("label_2")) & _sizes_fit("n", "n_2"))
-             .select(F.least("row", "row_2").alias("a"), F.greatest("row", "row_2").alias("b")).distinct())
-    return links.unionByName(saved(_links(pairs, rows), f"{folder}/rest"))
+    other = rest.where(_LEADS).toDF(*[f"{c}_2" if c != "gram" else c for c in rest.columns])
+    cross = rest.join(other, "gram").where((F.col("label") != F.col("label_2")) & _fit("n", "most", "n_2", "most_2"))
+    return links.unionByName(saved(_links(_pairs(cross, "row_2"), rows), f"{folder}/rest"))
 
 
 def _open_columns(labelled: DataFrame) -> tuple[int, DataFrame]:
-    """The pairs of rows of different classes in one column, and those columns."""
-    each = labelled.groupBy("gram", "label").agg(F.count("*").alias("k"))
-    columns = each.groupBy("gram").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same")).where("n * n > same")
-    left = columns.agg(F.sum(((F.col("n") * F.col("n") - F.col("same")) / 2).cast("decimal(38,0)"))).first()[0]
+    """A bound of the pairs of rows of different labels that can be partners, and the
+    columns that hold them."""
+    each = labelled.groupBy("gram", "label").agg(F.count("*").alias("k"), F.count_if(F.expr(_LEADS)).alias("lead"))
+    columns = each.groupBy("gram").agg(
+        (F.sum("k") * F.sum("lead") - F.sum(F.col("k") * F.col("lead"))).alias("pairs")).where("pairs > 0")
+    left = columns.agg(F.sum(F.col("pairs").cast("decimal(38,0)"))).first()[0]
     return int(left or 0), columns.select("gram")
 
 

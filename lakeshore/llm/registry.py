@@ -6,6 +6,7 @@ from lakeshore.llm.bpe import op9_byte_level_bpe
 from lakeshore.llm.html_text import op10_html_extraction
 from lakeshore.llm.inverted_index import op3_embedding_near_dedup
 from lakeshore.llm.ngram_join import op2_ngram_jaccard_join
+from lakeshore.llm.oracle import ORACLE
 from lakeshore.llm.packing import op7_best_fit_packing
 from lakeshore.llm.quality import op6_quality_rules
 from lakeshore.llm.tokens import op1_token_counts
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
