@@ -63,7 +63,7 @@ def main() -> None:
     b1 = bronze_to_silver(spark, bronze, silver_uri)
     timings["bronze_to_silver"] = round(time.perf_counter() - t, 3)
     t = time.perf_counter()
-    b2 = silver_to_gold(spark, silver_uri, gold_root)
+    b2 = silver_to_gold(spark, silver_uri, gold_root, layout="clustered")
     timings["silver_to_gold"] = round(time.perf_counter() - t, 3)
 
     frames = register_tables(spark, silver_uri, gold_root)

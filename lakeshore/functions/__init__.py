@@ -5,33 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money and distances carry at most 4 decimals; summing them as DECIMAL(18,4) makes every
-# sum exact and therefore independent of partitioning and summation order (double sums
-# change in the last bits from run to run on a cluster).
-MONEY_DECIMAL = "decimal(18,4)"
+# Sums of doubles depend on the order of addition in their last bits.  A value that this
+# type holds without loss (at most ten decimals, below 1e28: all money and distances) is
+# summed in it, which is the same in any order; a group with any other value (more decimals,
+# larger, NaN, infinite) is summed as plain doubles, so no digit and no job is ever lost.
+WIDE_DECIMAL = "decimal(38,10)"
 
 
-def finite_or(exact: Column, plain: Column) -> Column:
-    """``plain`` (a double sum) when it is NaN or infinite, else ``exact``.
+def _column(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def wide(col: str | Column) -> Column:
+    """The value as a wide decimal; NULL where it does not fit."""
+    return _column(col).try_cast(WIDE_DECIMAL)
+
+
+def is_lossy(col: str | Column) -> Column:
+    """Whether a non-NULL value is changed by the wide decimal."""
+    return _column(col).isNotNull() & ~wide(col).cast("double").eqNullSafe(_column(col))
 
-    NaN and +-Inf pass the silver filter (NaN >= 0 is true, T5) but become NULL when cast
-    to DECIMAL; a double sum propagates them, and does so in any summation order, so the
-    non-finite result is as deterministic as the exact one.
-    """
-    return F.when(F.isnan(plain) | (F.abs(plain) == F.lit(float("inf"))), plain).otherwise(exact)
+
+def choose_sum(total: Column, lossy: Column, plain: Column) -> Column:
+    """The decimal total as a double, unless a value was lossy or the total overflowed."""
+    return F.coalesce(F.when(lossy == 0, total.cast("double")), plain)
 
 
 def exact_sum(col: str | Column) -> Column:
-    """Order-independent sum of a double column, returned as DOUBLE (NaN / Inf propagate
-    as in a plain double sum)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return finite_or(F.sum(c.cast(MONEY_DECIMAL)).cast("double"), F.sum(c))
+    """Sum of a double column as DOUBLE, independent of the order where the values allow."""
+    return choose_sum(F.try_sum(wide(col)), F.count_if(is_lossy(col)), F.sum(_column(col)))
+
+
+def exact_sum_sql(column: str) -> str:
+    """:func:`exact_sum` as the SQL text that the query files hold."""
+    cast = f"TRY_CAST({column} AS DECIMAL(38,10))"
+    return (f"COALESCE(CASE WHEN COUNT_IF({column} IS NOT NULL AND NOT CAST({cast} AS DOUBLE) <=> {column}) = 0 "
+            f"THEN CAST(TRY_SUM({cast}) AS DOUBLE) END, SUM({column}))")
 
 
 def exact_avg(col: str | Column) -> Column:
     """Average = exact sum / count of non-NULL values (NULL for an empty group)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.try_divide(exact_sum(c), F.count(c).cast("double"))
+    return F.try_divide(exact_sum(col), F.count(_column(col)).cast("double"))
 
 
 def round_half_up(col: str | Column, scale: int) -> Column:

@@ -8,8 +8,6 @@ helpers that check a bounded, already-aggregated list on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,6 +168,3 @@ def first_non_empty(*cols: str | Column) -> Column:
     """first value that is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(_c(c), F.lit("")) for c in cols], F.lit(""))
 
-
-def unit_names() -> Iterable[str]:
-    return SIZE_UNITS.keys()

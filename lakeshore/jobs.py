@@ -32,12 +32,16 @@ from lakeshore.plans import pipeline  # noqa: E402
 from lakeshore.plans.generated_batch import write_generated_batch  # noqa: E402
 from lakeshore.plans.layouts import COMPARISONS, benchmark_layouts  # noqa: E402
 from lakeshore.plans.runner import benchmark_queries, load_sql_queries, query_parameters  # noqa: E402
+from lakeshore.operators.stats import run_summary  # noqa: E402
 from lakeshore.session import build_session  # noqa: E402
+from lakeshore.sinks.parquet import write_json  # noqa: E402
+from lakeshore.sources.records import RUN_RECORD_SCHEMA, records_frame  # noqa: E402
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakeshore-jobs")
     p.add_argument("--metrics-dir", default=None)
+    p.add_argument("--records-dir", default=None, help="benchmarks: append the run records there as JSON lines")
     p.add_argument("--year", default=None, help="batch year for metrics paths")
     p.add_argument("--month", default=None, help="batch month for metrics paths")
     sub = p.add_subparsers(dest="job", required=True)
@@ -48,12 +52,14 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
     s.add_argument("--bronze-root", default=None, help="folder replacing the bronze bucket")
     s.add_argument("--silver-root", default=None, help="folder replacing the silver bucket")
+    s.add_argument("--passthrough", nargs="*", default=None, help="untyped source columns to carry (default: all)")
 
     g = sub.add_parser("silver-to-gold")
     g.add_argument("--silver-uri", required=True)
     g.add_argument("--gold-root", required=True)
     g.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
-    g.add_argument("--layout", choices=pipeline.GOLD_LAYOUTS, default="clustered")
+    g.add_argument("--layout", choices=pipeline.GOLD_LAYOUTS, default="partitioned")
+    g.add_argument("--replace-all", action="store_true", help="clustered overwrite: the silver given is all there is")
 
     q = sub.add_parser("query-smoke")
     q.add_argument("--silver-uri", required=True)
@@ -92,12 +98,12 @@ def run(args: argparse.Namespace) -> dict[str, Any]:
     spark = build_session(f"lakeshore-{args.job}")
     if args.job == "bronze-to-silver":
         out = pipeline.bronze_to_silver_from_manifest(
-            spark, args.manifest, args.silver_bucket, args.mode, args.bronze_root, args.silver_root)
+            spark, args.manifest, args.silver_bucket, args.mode, args.bronze_root, args.silver_root, args.passthrough)
         args.year, args.month = args.year or out["batch_year"], args.month or out["batch_month"]
         return out
     if args.job == "silver-to-gold":
         return pipeline.silver_to_gold(spark, args.silver_uri, args.gold_root, args.mode, args.layout,
-                                       args.year, args.month)
+                                       args.year, args.month, args.replace_all)
     if args.job == "query-smoke":
         from pathlib import Path
         return pipeline.query_smoke(spark, args.silver_uri, args.gold_root, Path(args.sql_dir), args.sample_limit,
@@ -107,13 +113,15 @@ def run(args: argparse.Namespace) -> dict[str, Any]:
         params = query_parameters(frames["silver_trips"], frames["daily_trip_metrics"])
         records = benchmark_queries(spark, load_sql_queries(args.sql_dir), params,
                                     args.iterations, args.warmup, args.run_id)
-        from lakeshore.operators.stats import run_summary
-        from lakeshore.sources.records import RUN_RECORD_SCHEMA, records_frame
         summary = run_summary(records_frame(spark, records, RUN_RECORD_SCHEMA)).collect()
+        if args.records_dir:
+            write_json(records_frame(spark, records, RUN_RECORD_SCHEMA), args.records_dir, 1, "append")
         return {"job_name": "query_benchmark", "records": records, "summary": [r.asDict() for r in summary]}
     if args.job == "layout-benchmark":
         out = benchmark_layouts(spark, args.silver_uri, load_sql_queries(args.sql_dir), args.scratch,
                                 args.comparison, args.coalesce, args.iterations, args.warmup, args.keep_layout)
+        if args.records_dir:
+            write_json(records_frame(spark, out["records"], RUN_RECORD_SCHEMA), args.records_dir, 1, "append")
         return {"job_name": "layout_benchmark", **out}
     if args.job == "generate":
         stamp = dt.datetime.now(dt.timezone.utc).replace(microsecond=0).isoformat()
@@ -125,10 +133,11 @@ def run(args: argparse.Namespace) -> dict[str, Any]:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     try:
+        # a manifest names its batch; the other jobs need it before they begin
+        if args.metrics_dir and args.job != "bronze-to-silver" and not (args.year and args.month):
+            raise ValueError("--metrics-dir needs --year and --month")
         out = run(args)
         if args.metrics_dir:
-            if not (args.year and args.month):
-                raise ValueError("--metrics-dir needs --year and --month")
             spark = build_session(f"lakeshore-{args.job}")
             name = args.job.replace("-", "_")
             pipeline.write_metrics(spark, pipeline.metrics_path(args.metrics_dir, name, args.year, args.month), out)

@@ -1,13 +1,14 @@
 """Order-insensitive result fingerprints.
 
 * ``normalized_json``: the row normaliser -- floats/decimals rounded to 6 places, dates
-  as ISO text, keys in sorted order -- rendered as compact JSON per row.
+  and timestamps as ISO text, also inside arrays, structs and maps, keys in sorted order
+  -- rendered as compact JSON per row.
 * ``result_fingerprint``: SHA-256 over the sorted normalised rows, each followed by a
-  newline, plus the row count.  Meant for result-sized tables (it gathers the rows of
-  the result into one aggregate buffer).
-* ``table_fingerprint``: for tables of any size: row count plus an additive 64-bit hash
-  sum (as DECIMAL(38,0), so it cannot overflow); it is a plain partial+final aggregate,
-  insensitive to order and partitioning.
+  newline, plus the row count.  For result-sized tables: SHA-256 is sequential, so the
+  rows of the result meet in one aggregate buffer.
+* ``table_fingerprint``: for tables of any size: row count plus the sum of a 60-bit
+  SHA-256 part of each row (as DECIMAL(38,0), so it cannot overflow); it is a plain
+  partial+final aggregate, insensitive to order and partitioning.
 """
 
 from __future__ import annotations
@@ -19,16 +20,30 @@ from pyspark.sql import types as T
 FINGERPRINT_DECIMALS = 6
 
 
+def _iso(c: Column) -> Column:
+    micros = F.date_format(c, "SSSSSS")
+    return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(""))
+
+
+def _normal(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return F.round(c.cast("double"), FINGERPRINT_DECIMALS)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return _iso(c)
+    if isinstance(kind, T.DateType):
+        return c.cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _normal(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _, v: _normal(v, kind.valueType))
+    if isinstance(kind, T.StructType):
+        parts = [_normal(c[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    return c
+
+
 def _normalized(df: DataFrame) -> list[Column]:
-    cols = []
-    for field in sorted(df.schema.fields, key=lambda f: f.name):
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), FINGERPRINT_DECIMALS)
-        elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            c = c.cast("string")
-        cols.append(c.alias(field.name))
-    return cols
+    return [_normal(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in sorted(df.schema.fields, key=lambda f: f.name)]
 
 
 def normalized_json(df: DataFrame) -> Column:
@@ -49,7 +64,23 @@ def result_fingerprint(df: DataFrame) -> DataFrame:
     )
 
 
+def _plain_text(df: DataFrame) -> Column:
+    """One text per row that any engine can write: numbers with fractions to 6 places."""
+    parts = []
+    for f in sorted(df.schema.fields, key=lambda f: f.name):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+            text = F.coalesce(c.try_cast(f"decimal(38,{FINGERPRINT_DECIMALS})").cast("string"), c.cast("string"))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(_normal(c, f.dataType).alias("v")))
+        else:
+            text = _normal(c, f.dataType).cast("string")
+        parts.append(F.coalesce(text, F.lit("~")))
+    return F.concat_ws("|", *parts)
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """A18 at scale: (row_count, hash_sum) with an order-insensitive additive hash."""
-    h = F.xxhash64(*_normalized(df)).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"))
+    h = F.conv(F.substring(F.sha2(_plain_text(df), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.select(h.alias("h")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("h"), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"))

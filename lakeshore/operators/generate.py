@@ -59,7 +59,7 @@ def generate_from_index(index: DataFrame, days: int, seed: int, index_col: str =
     # Duplicates re-draw the previous record's trip, making them key-duplicates.
     src = F.when(case == "duplicate_candidate", i - 1).otherwise(i)
     pickup = (
-        F.to_timestamp(F.lit(BASE_TIMESTAMP))
+        F.lit(BASE_TIMESTAMP).cast("timestamp_ntz")
         + F.make_dt_interval(src % days, F.lit(0), (src * 17) % 1440, _randrange(seed, src, "sec", 0, 60))
     )
     dropoff = pickup + F.make_dt_interval(F.lit(0), F.lit(0), _randrange(seed, src, "dur", 4, 61), F.lit(0))

@@ -2,7 +2,8 @@
 
 Each is one hash aggregate with partial (map-side) aggregation, so a hot
 ``pickup_date`` holding a third of the trips is reduced before the shuffle.  Sums are
-exact (DECIMAL) so gold is reproducible bit for bit; averages are exact sum / count.
+decimal wherever that loses nothing (see ``exact_sum``), so gold is reproducible bit for
+bit on money values; averages are that sum / count.
 No ``orderBy`` before the write (T15): row order is not a property of a stored table.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.functions import MONEY_DECIMAL, exact_avg, exact_sum, finite_or
+from lakeshore.functions import choose_sum, exact_avg, exact_sum, is_lossy, wide
 
 
 def daily_trip_metrics(silver: DataFrame) -> DataFrame:
@@ -61,14 +62,15 @@ GROUPING_IDS = {
 def gold_measures(silver: DataFrame) -> DataFrame:
     """The measures of all three gold tables in one scan and one shuffle.
 
-    ``GROUPING SETS ((date), (date, pickup, dropoff), (date, payment))`` with exact
-    DECIMAL sums (plus plain double sums, used only when NaN / Inf make them non-finite)
-    and non-NULL counts; every gold column is a sum or a ratio of these, so
+    ``GROUPING SETS ((date), (date, pickup, dropoff), (date, payment))`` with wide decimal
+    sums, the number of values that those would change, plain double sums (used where there
+    are such values) and non-NULL counts; every gold column is a sum or a ratio of these, so
     the tables split off by ``gid`` equal the three separate aggregates bit for bit.
     A ``NULL`` payment type stays its own group (``gid`` tells it from a rolled-up key).
     """
-    def dsum(c: str):
-        return F.sum(F.col(c).cast(MONEY_DECIMAL))
+    amounts = {"total": "total_amount", "fare": "fare_amount", "tip": "tip_amount", "dist": "trip_distance"}
+    sums = [m for name, c in amounts.items() for m in (
+        F.try_sum(wide(c)).alias(f"s_{name}"), F.count_if(is_lossy(c)).alias(f"l_{name}"), F.sum(c).alias(f"f_{name}"))]
 
     return silver.groupingSets(
         [["pickup_date"], ["pickup_date", "pu_location_id", "do_location_id"], ["pickup_date", "payment_type"]],
@@ -76,14 +78,7 @@ def gold_measures(silver: DataFrame) -> DataFrame:
     ).agg(
         F.grouping_id().alias("gid"),
         F.count(F.lit(1)).alias("trip_count"),
-        dsum("total_amount").alias("s_total"),
-        dsum("fare_amount").alias("s_fare"),
-        dsum("tip_amount").alias("s_tip"),
-        dsum("trip_distance").alias("s_dist"),
-        F.sum("total_amount").alias("f_total"),
-        F.sum("fare_amount").alias("f_fare"),
-        F.sum("tip_amount").alias("f_tip"),
-        F.sum("trip_distance").alias("f_dist"),
+        *sums,
         F.count("trip_distance").alias("n_dist"),
         F.count("tip_amount").alias("n_tip"),
         F.sum("passenger_count").alias("s_pass"),
@@ -94,9 +89,8 @@ def gold_measures(silver: DataFrame) -> DataFrame:
 def split_gold(measures: DataFrame) -> dict[str, DataFrame]:
     """The three gold tables from :func:`gold_measures`, in their column order."""
     def dbl(c: str):
-        # s_* are exact DECIMAL sums; f_* the plain double sums that carry NaN / Inf.
         if c.startswith("s_") and c != "s_pass":
-            return finite_or(F.col(c).cast("double"), F.col("f_" + c[2:]))
+            return choose_sum(F.col(c), F.col("l_" + c[2:]), F.col("f_" + c[2:]))
         return F.col(c).cast("double")
 
     def ratio(a: str, b: str):

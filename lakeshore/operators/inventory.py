@@ -76,6 +76,8 @@ def batch_descriptors(manifests: DataFrame, silver_bucket: str) -> DataFrame:
                F.concat(F.lit("Unsupported dataset: "), F.coalesce(F.col("dataset"), F.lit("None"))))
         .when(F.coalesce(F.size("files"), F.lit(0)) <= 0,
               F.lit("manifest must describe at least one source file"))
+        .when(F.exists(uris, lambda u: u.isNull()), F.lit("every file needs a bucket and a key"))
+        .when(F.length(F.lit(silver_bucket)) == 0, F.lit("a silver bucket is needed"))
     )
     return manifests.select(
         "dataset", "taxi_type", "year", "month", "bronze_bucket",
@@ -107,11 +109,12 @@ def manifest_files(manifests: DataFrame) -> DataFrame:
 def manifest_rollup(files: DataFrame, group_cols=()) -> DataFrame:
     """File count, total bytes / rows, month list and batch id ``first_last_Nfiles``.
 
-    The month list is a per-batch aggregate over files (control-plane sized: one entry
-    per file), never over data rows.
+    Months stand in the manifest's order (``file_no``).  The list is one entry per file of
+    a batch (control-plane sized), never per data row.
     """
-    months = F.sort_array(F.collect_list("month_text"))
-    agg = files.withColumn("month_text", F.concat_ws("-", "year", "month")).groupBy(*group_cols).agg(
+    listed = F.sort_array(F.collect_list(F.struct("file_no", F.concat_ws("-", "year", "month").alias("month"))))
+    months = F.transform(listed, lambda x: x["month"])
+    agg = files.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("file_count"),
         F.sum("size_bytes").alias("total_size_bytes"),
         F.sum("row_count").alias("total_rows"),
@@ -149,18 +152,17 @@ def ingest_plan(expected: DataFrame, actual: DataFrame, force: bool = False, key
     return joined.select(key, "file_name", "size_bytes", "checksum_sha256", "actual_checksum", action.alias("action"))
 
 
-def require_no_conflicts(plan: DataFrame, key: str = "bronze_key", shown: int = 20) -> None:
-    """An unforced plan with conflicts is an error naming the conflicting keys.
+def _refuse(found: DataFrame, key: str, problem: str) -> None:
+    """Raise if ``found`` has rows, naming every key in order.  The message is the whole
+    list; for a list too long to read, write the plan as a table instead."""
+    keys = [str(r[0]) for r in found.select(key).orderBy(key).collect()]
+    if keys:
+        raise ValueError(f"{problem}: {', '.join(keys)}")
 
-    One count plus a top-``shown`` of the sorted keys for the message (the cap only
-    shortens the message; the count is exact).
-    """
-    conflicts = plan.where(F.col("action") == "conflict")
-    n = conflicts.count()
-    if n:
-        keys = [r[0] for r in conflicts.select(key).orderBy(key).limit(shown).collect()]
-        more = f" (and {n - len(keys)} more)" if n > len(keys) else ""
-        raise ValueError(f"{n} object(s) differ from the manifest: " + ", ".join(keys) + more)
+
+def require_no_conflicts(plan: DataFrame, key: str = "bronze_key") -> None:
+    """An unforced plan with conflicts is an error naming the conflicting keys."""
+    _refuse(plan.where(F.col("action") == "conflict"), key, "Objects that differ from the manifest")
 
 
 def manifest_differences(left: DataFrame, right: DataFrame, ignore=("generated_at",)) -> DataFrame:
@@ -180,28 +182,44 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def require_unique(df: DataFrame, key: str, shown: int = 20) -> None:
+def require_unique(df: DataFrame, key: str) -> None:
     """Error listing the duplicated values of ``key`` in sorted order."""
-    dups = duplicate_keys(df, key)
-    n = dups.count()
-    if n:
-        keys = [str(r[0]) for r in dups.select(key).orderBy(key).limit(shown).collect()]
-        more = f" (and {n - len(keys)} more)" if n > len(keys) else ""
-        raise ValueError("Duplicate values: " + ", ".join(keys) + more)
-
-
-def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Name, size and SHA-256 per file (each file is one binary row; < 2 GiB per file)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("checksum_sha256"),
-    )
+    _refuse(duplicate_keys(df, key), key, "Duplicate values")
+
+
+#: Files below this size are read as one binary row each; Spark's rows end at 2 GiB.
+MAX_ROW_BYTES = 2**31 - 1
+
+
+def file_inventory(spark: SparkSession, root: str, glob: str = "*", row_bytes: int = MAX_ROW_BYTES) -> DataFrame:
+    """Path, name, size and SHA-256 per file below ``root``.
+
+    A file of ``row_bytes`` or more does not fit a row.  SHA-256 needs its bytes in order,
+    so it is streamed in small pieces through the driver's file system client, one such file
+    at a time, and joins the others as a row.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
+    rows = found.where(F.col("length") < row_bytes).select(
+        F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("checksum_sha256"))
+    large = found.where(F.col("length") >= row_bytes).select("path", "length").collect()
+    if large:
+        streamed = [(r["path"], r["length"], _streamed_sha256(spark, r["path"])) for r in large]
+        rows = rows.unionByName(spark.createDataFrame(streamed, rows.schema))
+    return rows.select("file_path", F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "checksum_sha256")
+
+
+def _streamed_sha256(spark: SparkSession, uri: str) -> str:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def parquet_row_counts(df: DataFrame) -> DataFrame:
-    """Rows per Parquet file of a table, from the hidden ``_metadata`` column."""
-    return df.select(F.col("_metadata.file_name").alias("file_name")).groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
+    """Rows per Parquet file of a table, by path (files of different folders may share
+    a name), from the hidden ``_metadata`` column."""
+    files = df.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"))
+    return files.groupBy("file_path", "file_name").agg(F.count(F.lit(1)).alias("row_count"))

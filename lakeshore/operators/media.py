@@ -25,24 +25,11 @@ from lakeshore.functions.text import (
 )
 
 TAG_PATTERN = r"<[^>]+>"
-# Named character references decoded by the built-in path; '&amp;' goes
-# last so an escaped reference ('&amp;lt;') is decoded exactly once.
-NAMED_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-# '&amp' without ';' is also a reference in HTML5 (legacy form).
-BARE_AMP_PATTERN = r"&amp(?!;)"
 FILE_PAGE_BASE = "https://commons.wikimedia.org/wiki/"
 
-EXTMETA = T.MapType(T.StringType(), T.StructType([T.StructField("value", T.StringType())]))
+# A metadata value is an object with a ``value`` or a plain text; read as text, an object
+# keeps its JSON form.
+EXTMETA = T.MapType(T.StringType(), T.StringType())
 IMAGEINFO = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("thumburl", T.StringType()),
@@ -60,39 +47,34 @@ API_PAYLOAD = T.StructType([
 ])
 
 
-def _c(col):
-    return F.col(col) if isinstance(col, str) else col
-
-
-def strip_markup(col: str | Column) -> Column:
-    """F8 (built-in): NULL -> '', drop tags, decode the common named references,
-    collapse Unicode whitespace runs to one space, trim."""
-    text = F.regexp_replace(F.coalesce(_c(col), F.lit("")), TAG_PATTERN, "")
-    for entity, char in NAMED_ENTITIES[:-1]:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(F.replace(text, F.lit("&amp;"), F.lit("&")), BARE_AMP_PATTERN, "&")
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+# Candidate order: search query, payload, page within the payload.
+CANDIDATE_ORDER = ("query_idx", "pos", "page_pos")
 
 
 @F.pandas_udf(T.StringType())
-def strip_markup_full(s: pd.Series) -> pd.Series:
-    """F8 with full HTML5 reference decoding (``html.unescape``), Arrow-batched."""
+def strip_markup(s: pd.Series) -> pd.Series:
+    """F8: NULL -> '', tags dropped, every HTML5 character reference decoded once, runs of
+    white space one space, trimmed.  There are some two thousand named references, which no
+    built-in function knows, hence the Arrow-batched ``html.unescape``."""
     tags = s.fillna("").str.replace(TAG_PATTERN, "", regex=True)
     return tags.map(lambda t: " ".join(html.unescape(t).split()))
 
 
 def metadata_value(extmetadata: Column, key: str) -> Column:
-    return strip_markup(extmetadata[key]["value"])
+    """The text of one metadata entry, whichever of its two forms it has."""
+    raw = extmetadata[key]
+    return strip_markup(F.when(raw.startswith("{"), F.get_json_object(raw, "$.value")).otherwise(raw))
 
 
 def flatten_api_payload(df: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
-    """one row per page with its first imageinfo; pages without a URL or with a MIME
-    type other than jpeg/png/webp are dropped."""
+    """one row per page with its first imageinfo and its place in the payload
+    (``page_pos``); pages without a URL or with a MIME type other than jpeg/png/webp are
+    dropped."""
     parsed = df.select(*keep, F.from_json(payload_col, API_PAYLOAD).alias("p"))
-    pages = parsed.select(*keep, F.explode(F.map_values("p.query.pages")).alias("page"))
+    pages = parsed.select(*keep, F.posexplode(F.map_values("p.query.pages")).alias("page_pos", "page"))
     info = F.get(F.col("page.imageinfo"), 0)
     flat = pages.select(
-        *keep,
+        *keep, "page_pos",
         F.coalesce(F.col("page.title"), F.lit("")).alias("title"),
         F.coalesce(F.nullif(info["url"], F.lit("")), F.nullif(info["thumburl"], F.lit(""))).alias("direct_url"),
         F.coalesce(info["mime"], F.lit("")).alias("mime"),
@@ -104,10 +86,11 @@ def flatten_api_payload(df: DataFrame, payload_col: str = "payload", keep: tuple
     return flat.where(F.col("direct_url").isNotNull() & accepted)
 
 
-def first_occurrences(candidates: DataFrame, order_cols=("query_idx", "pos")) -> DataFrame:
-    """The first occurrence of each title in (query, position) order.
+def first_occurrences(candidates: DataFrame, order_cols=CANDIDATE_ORDER) -> DataFrame:
+    """The first occurrence of each title in (query, position, page) order.
 
-    ``min_by(row, (query_idx, pos))`` is a hash aggregate with map-side partials: a title
+    ``min_by(row, order)`` is an aggregate with map-side partials (sort-based, as a struct
+    has no hash buffer): a title
     repeated across a third of all search hits reaches the shuffle as one row per map
     task, where a window per title would sort the whole group in one task.
     """
@@ -118,7 +101,7 @@ def first_occurrences(candidates: DataFrame, order_cols=("query_idx", "pos")) ->
     return firsts.select(*candidates.columns)
 
 
-def first_seen(candidates: DataFrame, limit: int, order_cols=("query_idx", "pos")) -> DataFrame:
+def first_seen(candidates: DataFrame, limit: int, order_cols=CANDIDATE_ORDER) -> DataFrame:
     """W2 + O5: first occurrences, then the first ``limit`` candidates (the limit is the
     feature: a download budget).  ``orderBy(...).limit`` is a distributed top-k
     (``TakeOrderedAndProject``), so only ``limit`` rows meet in one task.
@@ -128,7 +111,7 @@ def first_seen(candidates: DataFrame, limit: int, order_cols=("query_idx", "pos"
     return first_occurrences(candidates, order_cols).orderBy(*order_cols).limit(limit)
 
 
-def assign_image_ids(candidates: DataFrame, order_cols=("query_idx", "pos")) -> DataFrame:
+def assign_image_ids(candidates: DataFrame, order_cols=CANDIDATE_ORDER) -> DataFrame:
     """``img_0001``... in candidate order, over an already limited candidate set
     (at most the download budget of rows, so the single ordered window is bounded)."""
     w = Window.orderBy(*order_cols)

@@ -20,14 +20,6 @@ from lakeshore.functions import round_half_up
 from lakeshore.session import ensure_checkpoint_dir
 
 
-def percentile_value(col: str | Column, p: float) -> Column:
-    """Exact percentile, ``p`` in [0, 100]; NULL for an empty group."""
-    if p < 0 or p > 100:
-        raise ValueError("percentile must be between 0 and 100")
-    c = F.col(col) if isinstance(col, str) else col
-    return F.percentile(c, F.lit(p / 100.0))
-
-
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],

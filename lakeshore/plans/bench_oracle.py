@@ -5,12 +5,18 @@ from __future__ import annotations
 from lakeshore.plans.oracle_sql import TRIP_ORACLE
 
 
+#: The columns of ``lineitem``.
+LINEITEM_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
 _R3 = "CAST(ROUND(CAST({} AS DECIMAL(38,9)), 3) AS DOUBLE)"
 
 RUN_RECORDS = """
 rec AS (
   SELECT
-    CASE WHEN event_id % 4 = 0 THEN 'warmup' ELSE 'measured' END AS phase,
+    event_id, CASE WHEN event_id % 4 = 0 THEN 'warmup' ELSE 'measured' END AS phase,
     event_type AS query_name,
     CASE WHEN event_id % 50 = 0 THEN 'failed' ELSE 'success' END AS status,
     CASE WHEN event_id % 50 = 0 THEN NULL
@@ -42,7 +48,7 @@ _ROWS = ("CASE WHEN COUNT(DISTINCT rows_returned) = 1 THEN CAST(MIN(rows_returne
 STORAGE_RECORDS = """
 st AS (
   SELECT
-    CASE WHEN event_id % 4 = 0 THEN 'warmup' ELSE 'measured' END AS phase,
+    event_id, CASE WHEN event_id % 4 = 0 THEN 'warmup' ELSE 'measured' END AS phase,
     ['put', 'get', 'mixed'][CAST(event_id % 3 + 1 AS INTEGER)] AS scenario_operation,
     CAST(CASE WHEN user_id % 2 = 0 THEN 4096 ELSE 1048576 END AS BIGINT) AS object_size_bytes,
     CAST(CASE WHEN user_id % 4 < 2 THEN 1 ELSE 4 END AS BIGINT) AS concurrency,
@@ -101,3 +107,30 @@ FROM (
 ) lines""",
 }
 BENCH_ORACLE = {k: v for k, v in BENCH_ORACLE.items() if v is not None}
+
+
+def _counts() -> str:
+    names = [n for n in TRIP_ORACLE if n.startswith(("q0", "smoke_"))]
+    return "\nUNION ALL\n".join(f"SELECT '{n}' AS query_name, COUNT(*) AS rows_returned FROM ({TRIP_ORACLE[n]})" for n in names)
+
+
+_LINEITEM_TEXT = """concat_ws('|', {})""".format(", ".join(
+    f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '~')" if c in ("l_discount", "l_extendedprice", "l_quantity", "l_tax")
+    else f"coalesce(strftime({c}, '%Y-%m-%dT%H:%M:%S'), '~')" if c.endswith("date")
+    else f"coalesce(CAST({c} AS VARCHAR), '~')"
+    for c in sorted(LINEITEM_COLUMNS)))
+
+BENCH_ORACLE |= {
+    "run_records": f"""WITH {RUN_RECORDS.strip()}
+SELECT 'events' AS run_id, phase, CAST(event_id % 3 + 1 AS BIGINT) AS iteration, query_name, status,
+  CAST(rows_returned AS BIGINT) AS rows_returned, duration_seconds, CASE WHEN status = 'failed' THEN 'boom' END AS error,
+  layout, result_sha256 FROM rec""",
+    "query_row_counts": _counts(),
+    "gold_daily_from_measures": TRIP_ORACLE["gold_daily"],
+    "gold_location_from_measures": TRIP_ORACLE["gold_location"],
+    "gold_payment_from_measures": TRIP_ORACLE["gold_payment"],
+    "table_fingerprint": f"""
+SELECT COUNT(*) AS row_count,
+  CAST(SUM(CAST(('0x' || substr(sha256({_LINEITEM_TEXT}), 1, 15))::BIGINT AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS hash_sum
+FROM lineitem""",
+}

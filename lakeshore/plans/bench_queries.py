@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from lakeshore.operators import fingerprint, stats
+from lakeshore.operators import fingerprint, gold, stats
 from lakeshore.plans.trip_queries import QUERIES as TRIP_QUERIES
-from lakeshore.sources.records import run_records, storage_records
+from lakeshore.plans.trip_queries import QUERY_FILES, silver_frame
+from lakeshore.sources.records import RUN_RECORD_SCHEMA, run_records, storage_records
 from lakeshore.sources.tables import read_table
 
 
@@ -36,7 +39,32 @@ def q_table_fingerprint(spark, sf_dir):
     return fingerprint.table_fingerprint(read_table(spark, sf_dir, "lineitem"))
 
 
+def q_run_records(spark, sf_dir):
+    """Run records written as JSON lines and read with their schema."""
+    lines = run_records(read_table(spark, sf_dir, "events")).select(F.to_json(F.struct("*")).alias("line"))
+    return lines.select(F.from_json("line", RUN_RECORD_SCHEMA).alias("r")).select("r.*")
+
+
+def q_query_row_counts(spark, sf_dir):
+    """The rows that every file of the query set returns."""
+    counts = [TRIP_QUERIES[name](spark, sf_dir).agg(F.count(F.lit(1)).alias("rows_returned")).select(
+        F.lit(name).alias("query_name"), "rows_returned") for name in QUERY_FILES]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+def _from_measures(table):
+    def run(spark, sf_dir):
+        """B2 as the job runs it: one table split off the grouping-sets measures."""
+        return gold.split_gold(gold.gold_measures(silver_frame(spark, sf_dir)))[table]
+    return run
+
+
 QUERIES = {
+    "run_records": q_run_records,
+    "query_row_counts": q_query_row_counts,
+    "gold_daily_from_measures": _from_measures("daily_trip_metrics"),
+    "gold_location_from_measures": _from_measures("location_metrics"),
+    "gold_payment_from_measures": _from_measures("payment_metrics"),
     "run_summary": q_run_summary,
     "layout_summary": q_layout_summary,
     "storage_summary": q_storage_summary,

@@ -61,6 +61,14 @@ SELECT COUNT(*) AS file_count, CAST(SUM(size_bytes) AS BIGINT) AS total_size_byt
   CAST(SUM(row_count) AS BIGINT) AS total_rows,
   string_agg(year || '-' || month, ',' ORDER BY year || '-' || month) AS months,
   MIN(year || '-' || month) || '_' || MAX(year || '-' || month) || '_' || CAST(COUNT(*) AS VARCHAR) || 'files' AS batch_id
+FROM f""",
+    "manifest_batch": _W + """
+SELECT 'nyc_taxi' AS dataset, 'yellow' AS taxi_type, 'scale' AS year, 'batch' AS month, 'bronze' AS bronze_bucket,
+  'silver' AS silver_bucket, arg_min(bronze_key, file_no) AS source_key,
+  's3a://bronze/' || arg_min(bronze_key, file_no) AS source_uri,
+  string_agg('s3a://bronze/' || bronze_key, ',' ORDER BY file_no) AS source_uris,
+  'nyc-taxi/year=scale/month=batch' AS silver_prefix, 's3a://silver/nyc-taxi/year=scale/month=batch' AS silver_uri,
+  CAST(NULL AS VARCHAR) AS problem
 FROM f""",
     "ingest_plan": _W + """
 SELECT f.bronze_key, f.file_name, f.size_bytes, f.checksum_sha256, a.checksum_sha256 AS actual_checksum,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.functions import text as tx
 from lakeshore.operators import inventory
-from lakeshore.sources.manifest import manifest_file_rows, stored_object_rows
+from lakeshore.sources.manifest import manifest_document, manifest_file_rows, stored_object_rows
 from lakeshore.sources.tables import TABLES, read_table
 
 # Fixed values of the size-text fixture (index = doc_id % 9); 'XB' is not a unit.
@@ -108,16 +108,26 @@ def q_file_name_parse(spark, sf_dir):
 def q_file_row_counts(spark, sf_dir):
     """Rows per Parquet file of every driver table."""
     frames = [inventory.parquet_row_counts(read_table(spark, sf_dir, t)) for t in TABLES]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return reduce(lambda a, b: a.unionByName(b), frames).drop("file_path")
 
 
 def q_file_inventory(spark, sf_dir):
     """Name, size, SHA-256 of every driver Parquet file."""
-    return inventory.file_inventory(spark, sf_dir, "*.parquet")
+    return inventory.file_inventory(spark, sf_dir, "*.parquet").drop("file_path")
+
+
+def q_manifest_batch(spark, sf_dir):
+    """Manifest texts built from ``documents``, parsed and described as batches."""
+    files = _files(spark, sf_dir)
+    texts = manifest_document(files, "2025-01-01T00:00:00+00:00").select(F.to_json(F.struct("*")).alias("manifest"))
+    manifests = texts.select(F.from_json("manifest", inventory.MANIFEST_SCHEMA).alias("m")).select("m.*")
+    batches = inventory.batch_descriptors(manifests, "silver")
+    return batches.withColumn("source_uris", F.array_join("source_uris", ","))
 
 
 QUERIES = {
     "manifest_files": q_manifest_files,
+    "manifest_batch": q_manifest_batch,
     "manifest_rollup": q_manifest_rollup,
     "ingest_plan": q_ingest_plan,
     "manifest_diff": q_manifest_diff,

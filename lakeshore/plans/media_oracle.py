@@ -39,15 +39,23 @@ hits AS (
     ['image/jpeg', 'image/png', 'image/webp', 'image/gif', 'image/jpeg', 'IMAGE/PNG'][CAST(event_id % 6 + 1 AS INTEGER)] AS mime,
     user_id * 8 + 640 AS width,
     user_id * 6 + 480 AS height,
-    CASE WHEN event_id % 4 = 0 THEN '' ELSE '<a href="/wiki/User:U' || CAST(user_id AS VARCHAR) || '">User&nbsp;'
-      || CAST(user_id AS VARCHAR) || '</a>' END AS artist,
-    'Own work &amp; <i>archive</i> ' || CAST(event_id % 3 AS VARCHAR) AS credit
+    CASE WHEN event_id % 4 = 0 THEN '' ELSE 'User ' || CAST(user_id AS VARCHAR) || ' café ’—A' END AS artist,
+    'Own work &amp; archive ' || CAST(event_id % 3 AS VARCHAR) AS credit,
+    user_id
   FROM events
 ),
 accepted AS (
-  SELECT * FROM hits
+  SELECT pos, 0 AS page_pos, query, query_idx, title, direct_url, mime, width, height,
+    'CC BY-SA 4.0' AS license, 'https://creativecommons.org/licenses/by-sa/4.0' AS license_url,
+    CASE WHEN artist = '' THEN credit ELSE artist END AS author
+  FROM hits
   WHERE direct_url IS NOT NULL AND starts_with(mime, 'image/')
     AND lower(mime) IN ('image/jpeg', 'image/png', 'image/webp')
+  UNION ALL
+  SELECT pos, 1, query, query_idx, 'File:Second ' || CAST(user_id % 25 AS VARCHAR) || '.png',
+    'https://upload.example.org/second/' || CAST(pos AS VARCHAR) || '.png', 'image/png', 10, 20,
+    'CC BY-SA 4.0', '', artist
+  FROM hits
 )
 """
 
@@ -73,22 +81,21 @@ MEDIA_ORACLE = {
     "strip_markup": f"SELECT page_id, {strip('html')} AS text FROM pages",
     "categories": f"SELECT doc_id, {_CATEGORY.format(c='text')} AS category FROM documents",
     "json_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
-    "image_flatten": f"WITH {HITS.strip()} SELECT pos, title, direct_url, mime, width, height FROM accepted",
+    "image_flatten": f"WITH {HITS.strip()} SELECT pos, CAST(page_pos AS INTEGER) AS page_pos, title, direct_url, mime, width, height FROM accepted",
     "first_seen": f"""WITH {HITS.strip()}
-SELECT title, query_idx, pos, direct_url
-FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY query_idx, pos) AS rn FROM accepted)
+SELECT title, query_idx, pos, CAST(page_pos AS INTEGER) AS page_pos, direct_url
+FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY query_idx, pos, page_pos) AS rn FROM accepted)
 WHERE rn = 1""",
     "image_metadata": f"""WITH {HITS.strip()},
 firsts AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY query_idx, pos) AS rn FROM accepted)
-  WHERE rn = 1 ORDER BY query_idx, pos LIMIT 100
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY query_idx, pos, page_pos) AS rn FROM accepted)
+  WHERE rn = 1 ORDER BY query_idx, pos, page_pos LIMIT 100
 ),
-ided AS (SELECT *, printf('img_%04d', row_number() OVER (ORDER BY query_idx, pos)) AS image_id,
+ided AS (SELECT *, printf('img_%04d', row_number() OVER (ORDER BY query_idx, pos, page_pos)) AS image_id,
                 {_CATEGORY.format(c='query')} AS category FROM firsts)
 SELECT image_id, image_id || '_' || category || {_ext()} AS file_name, category,
   'https://commons.wikimedia.org/wiki/' || replace(title, ' ', '_') AS source_url, direct_url,
-  'CC BY-SA 4.0' AS license, 'https://creativecommons.org/licenses/by-sa/4.0' AS license_url,
-  coalesce(nullif({strip('artist')}, ''), nullif({strip('credit')}, ''), '') AS author,
+  license, license_url, author,
   mime AS content_type, width, height, title AS commons_title
 FROM ided""",
 }

@@ -38,13 +38,13 @@ def _flattened(spark, sf_dir):
 
 def q_image_flatten(spark, sf_dir):
     """every accepted page of every API payload, flattened."""
-    return _flattened(spark, sf_dir).select("pos", "title", "direct_url", "mime", "width", "height")
+    return _flattened(spark, sf_dir).select("pos", "page_pos", "title", "direct_url", "mime", "width", "height")
 
 
 def q_first_seen(spark, sf_dir):
     """W2 over every accepted hit (no budget): one row per distinct title."""
     firsts = media.first_occurrences(_flattened(spark, sf_dir))
-    return firsts.select("title", "query_idx", "pos", "direct_url")
+    return firsts.select("title", "query_idx", "pos", "page_pos", "direct_url")
 
 
 def q_image_metadata(spark, sf_dir):

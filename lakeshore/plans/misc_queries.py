@@ -11,7 +11,7 @@ from lakeshore.streaming import metrics
 
 GEN_DAYS = 7
 GEN_SEED = 42
-RATE_WINDOW = "1 hour"
+RATE_WINDOW = "5 minutes"
 
 
 def _synthetic(spark, sf_dir):
@@ -29,7 +29,12 @@ def q_quality_counts(spark, sf_dir):
 
 
 def q_latest_gauge(spark, sf_dir):
-    return metrics.latest_values(gauge_samples(read_table(spark, sf_dir, "events")), metric_regex="^(view|click)$")
+    return metrics.latest_values(gauge_samples(read_table(spark, sf_dir, "events")))
+
+
+def q_latest_gauge_by_job(spark, sf_dir):
+    """``{job=~"..."}``: 'view' and 'click' match as a whole, 'iew' is no job."""
+    return metrics.latest_values(gauge_samples(read_table(spark, sf_dir, "events")), job_pattern="view|click|iew|sign")
 
 
 def q_rate_by_label(spark, sf_dir):
@@ -37,48 +42,68 @@ def q_rate_by_label(spark, sf_dir):
     return metrics.rate_by(samples, RATE_WINDOW, "series_label", acc_type="decimal(38,2)")
 
 
+def q_rate_total(spark, sf_dir):
+    samples = counter_samples(read_table(spark, sf_dir, "events"))
+    return metrics.rate_by(samples, RATE_WINDOW, None, acc_type="decimal(38,2)")
+
+
 def q_down_targets(spark, sf_dir):
-    return metrics.down_targets(up_samples(read_table(spark, sf_dir, "events")), "view|click|error")
+    return metrics.down_targets(up_samples(read_table(spark, sf_dir, "events")), "view|click|error|purch")
+
+
+def q_down_targets_all(spark, sf_dir):
+    return metrics.down_targets(up_samples(read_table(spark, sf_dir, "events")), ".*")
 
 
 QUERIES = {
     "synthetic_trips": q_synthetic_trips,
     "quality_counts": q_quality_counts,
     "latest_gauge": q_latest_gauge,
+    "latest_gauge_by_job": q_latest_gauge_by_job,
     "rate_by_label": q_rate_by_label,
+    "rate_total": q_rate_total,
     "down_targets": q_down_targets,
+    "down_targets_all": q_down_targets_all,
 }
 
-ORACLE = {
-    "quality_counts": """
-SELECT CASE WHEN event_id > 0 AND event_id % 25 = 0 THEN 'negative_amount'
-            WHEN event_id > 0 AND event_id % 40 = 0 THEN 'bad_timestamp'
-            WHEN event_id > 0 AND event_id % 55 = 0 THEN 'null_passenger_count'
-            WHEN event_id > 0 AND event_id % 70 = 0 THEN 'duplicate_candidate'
-            ELSE 'valid' END AS quality_case, COUNT(*) AS records
-FROM events GROUP BY 1""",
-    "latest_gauge": """
+_LATEST = """
 SELECT event_type AS metric, CAST(user_id % 5 AS VARCHAR) AS series_label, MAX(ts) AS ts, arg_max(value, ts) AS value
-FROM events WHERE regexp_matches(event_type, '^(view|click)$') GROUP BY 1, 2""",
-    "rate_by_label": """
+FROM events {where} GROUP BY 1, 2"""
+
+_INCREASES = """
 WITH s AS (
-  SELECT event_type AS metric, CAST(user_id % 5 AS VARCHAR) AS series_label, ts, event_id,
+  SELECT event_type AS metric, CAST(user_id % 5 AS VARCHAR) AS series_label, ts,
     SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type, user_id % 5, event_id // 100 ORDER BY event_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
   FROM events
-), w AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS window_start FROM s),
-d AS (SELECT *, lag(v) OVER (PARTITION BY metric, series_label, window_start ORDER BY ts) AS pv FROM w),
-inc AS (
-  SELECT window_start, metric, series_label,
-    SUM(CASE WHEN pv IS NULL THEN 0 WHEN v >= pv THEN v - pv ELSE v END) AS increase
-  FROM d GROUP BY ALL
+), p AS (SELECT *, lag(v) OVER (PARTITION BY metric, series_label ORDER BY ts, v) AS pv FROM s),
+d AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, series_label,
+    CASE WHEN pv IS NULL THEN 0 WHEN v >= pv THEN v - pv ELSE v END AS d
+  FROM p
 )
-SELECT window_start, series_label, CAST(SUM(increase) AS DOUBLE) / 3600.0 AS rate FROM inc GROUP BY ALL""",
-    "down_targets": """
+"""
+
+_DOWN = """
 WITH up AS (
   SELECT event_type AS job, CAST(user_id % 5 AS VARCHAR) AS instance, ts,
     CASE WHEN value < 5 THEN 0.0 ELSE 1.0 END AS value
-  FROM events WHERE regexp_matches(event_type, 'view|click|error')
+  FROM events {where}
 ), l AS (SELECT job, instance, arg_max(value, ts) AS value FROM up GROUP BY ALL)
-SELECT COUNT(*) AS targets, COUNT(*) FILTER (WHERE value = 0) AS down_targets FROM l""",
+SELECT COUNT(*) AS targets, COUNT(*) FILTER (WHERE value = 0) AS down_targets FROM l"""
+
+ORACLE = {
+    "quality_counts": """
+SELECT CASE WHEN event_id > 0 AND event_id % 25 = 0 THEN 'negative_amount'
+            WHEN event_id > 0 AND event_id % 40 = 0 THEN 'bad_timestamp'
+            WHEN event_id > 0 AND event_id % 55 = 0 THEN 'null_passenger_count'
+            WHEN event_id > 0 AND event_id % 70 = 0 THEN 'duplicate_candidate'
+            ELSE 'valid' END AS quality_case, COUNT(*) AS records
+FROM events GROUP BY 1""",
+    "latest_gauge": _LATEST.format(where=""),
+    "latest_gauge_by_job": _LATEST.format(where="WHERE event_type IN ('view', 'click')"),
+    "rate_by_label": _INCREASES + "SELECT window_start, series_label, CAST(SUM(d) AS DOUBLE) / 300.0 AS rate FROM d GROUP BY ALL",
+    "rate_total": _INCREASES + "SELECT window_start, CAST(SUM(d) AS DOUBLE) / 300.0 AS rate FROM d GROUP BY ALL",
+    "down_targets": _DOWN.format(where="WHERE event_type IN ('view', 'click', 'error')"),
+    "down_targets_all": _DOWN.format(where=""),
 }

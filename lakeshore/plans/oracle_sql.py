@@ -71,25 +71,25 @@ silver AS (
 ),
 daily_trip_metrics AS (
   SELECT pickup_date, COUNT(*) AS trip_count,
-    CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-    CAST(SUM(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) AS fare_revenue,
-    CAST(SUM(CAST(tip_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_tip,
-    CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / nullif(COUNT(trip_distance), 0) AS avg_trip_distance,
+    CAST(SUM(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
+    CAST(SUM(CAST(fare_amount AS DECIMAL(38,10))) AS DOUBLE) AS fare_revenue,
+    CAST(SUM(CAST(tip_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_tip,
+    CAST(SUM(CAST(trip_distance AS DECIMAL(38,10))) AS DOUBLE) / nullif(COUNT(trip_distance), 0) AS avg_trip_distance,
     CAST(SUM(passenger_count) AS DOUBLE) / nullif(COUNT(passenger_count), 0) AS avg_passenger_count
   FROM silver GROUP BY pickup_date
 ),
 location_metrics AS (
   SELECT pickup_date, pu_location_id, do_location_id, COUNT(*) AS trip_count,
-    CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-    CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / nullif(COUNT(trip_distance), 0) AS avg_trip_distance
+    CAST(SUM(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
+    CAST(SUM(CAST(trip_distance AS DECIMAL(38,10))) AS DOUBLE) / nullif(COUNT(trip_distance), 0) AS avg_trip_distance
   FROM silver GROUP BY pickup_date, pu_location_id, do_location_id
 ),
 payment_metrics AS (
   SELECT pickup_date, payment_type, COUNT(*) AS trip_count,
-    CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-    CAST(SUM(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) AS fare_revenue,
-    CAST(SUM(CAST(tip_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_tip,
-    CAST(SUM(CAST(tip_amount AS DECIMAL(18,4))) AS DOUBLE) / nullif(COUNT(tip_amount), 0) AS avg_tip_amount
+    CAST(SUM(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
+    CAST(SUM(CAST(fare_amount AS DECIMAL(38,10))) AS DOUBLE) AS fare_revenue,
+    CAST(SUM(CAST(tip_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_tip,
+    CAST(SUM(CAST(tip_amount AS DECIMAL(38,10))) AS DOUBLE) / nullif(COUNT(tip_amount), 0) AS avg_tip_amount
   FROM silver GROUP BY pickup_date, payment_type
 )
 """
@@ -124,7 +124,7 @@ SELECT pickup_date, trip_count, total_revenue, fare_revenue, total_tip FROM dail
 """),
     "q02_top_pickup_locations": _with("""
 SELECT pickup_date, pu_location_id, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
-       CAST(SUM(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue
+       CAST(SUM(CAST(total_revenue AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue
 FROM location_metrics
 WHERE pickup_date BETWEEN (SELECT MIN(pickup_date) FROM silver) AND (SELECT MAX(pickup_date) FROM silver)
 GROUP BY pickup_date, pu_location_id
@@ -133,44 +133,44 @@ LIMIT 10
 """),
     "q03_avg_tip_by_payment": _with("""
 SELECT payment_type, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
-       CAST(SUM(CAST(total_tip AS DECIMAL(18,4))) AS DOUBLE) / CAST(SUM(trip_count) AS BIGINT) AS avg_tip_per_trip,
-       CAST(SUM(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue
+       CAST(SUM(CAST(total_tip AS DECIMAL(38,10))) AS DOUBLE) / CAST(SUM(trip_count) AS BIGINT) AS avg_tip_per_trip,
+       CAST(SUM(CAST(total_revenue AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue
 FROM payment_metrics GROUP BY payment_type ORDER BY payment_type
 """),
     "q04_hourly_distance_fare": _with("""
 SELECT CAST(HOUR(pickup_datetime) AS INTEGER) AS pickup_hour, COUNT(*) AS trip_count,
-       CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance,
-       CAST(SUM(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / COUNT(fare_amount) AS avg_fare_amount,
-       CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) / COUNT(total_amount) AS avg_total_amount
+       CAST(SUM(CAST(trip_distance AS DECIMAL(38,10))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance,
+       CAST(SUM(CAST(fare_amount AS DECIMAL(38,10))) AS DOUBLE) / COUNT(fare_amount) AS avg_fare_amount,
+       CAST(SUM(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) / COUNT(total_amount) AS avg_total_amount
 FROM silver GROUP BY 1 ORDER BY 1
 """),
     "q05_selective_pickup_date": _with("""
 SELECT pickup_date, COUNT(*) AS trip_count,
-       CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-       CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
+       CAST(SUM(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
+       CAST(SUM(CAST(trip_distance AS DECIMAL(38,10))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
 FROM silver WHERE pickup_date = (SELECT MIN(pickup_date) FROM daily_trip_metrics)
 GROUP BY pickup_date
 """),
     "q06_full_scan_location_aggregation": _with("""
 SELECT pu_location_id, do_location_id, COUNT(*) AS trip_count,
-       CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-       CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
+       CAST(SUM(CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) AS total_revenue,
+       CAST(SUM(CAST(trip_distance AS DECIMAL(38,10))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
 FROM silver GROUP BY pu_location_id, do_location_id
 ORDER BY trip_count DESC, pu_location_id, do_location_id
 LIMIT 20
 """),
     "smoke_totals": _with("""
 SELECT COUNT(*) AS daily_rows, CAST(SUM(trip_count) AS BIGINT) AS total_trips,
-       CAST(ROUND(SUM(CAST(total_revenue AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_revenue
+       CAST(ROUND(SUM(CAST(total_revenue AS DECIMAL(38,10))), 2) AS DOUBLE) AS total_revenue
 FROM daily_trip_metrics
 """),
     "smoke_daily": _with("""
-SELECT pickup_date, trip_count, CAST(ROUND(CAST(total_revenue AS DECIMAL(18,4)), 2) AS DOUBLE) AS total_revenue
+SELECT pickup_date, trip_count, CAST(ROUND(CAST(total_revenue AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue
 FROM daily_trip_metrics ORDER BY pickup_date LIMIT 10
 """),
     "smoke_tip": _with("""
 SELECT payment_type, CAST(SUM(trip_count) AS BIGINT) AS trip_count,
-       CAST(ROUND(CAST(CAST(SUM(CAST(total_tip AS DECIMAL(18,4))) AS DOUBLE) / CAST(SUM(trip_count) AS BIGINT)
+       CAST(ROUND(CAST(CAST(SUM(CAST(total_tip AS DECIMAL(38,10))) AS DOUBLE) / CAST(SUM(trip_count) AS BIGINT)
                   AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_tip_per_trip
 FROM payment_metrics GROUP BY payment_type ORDER BY payment_type
 """),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from pathlib import Path
@@ -19,16 +20,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators import gold, silver
+from lakeshore.operators.inventory import TRIP_DATASET, batch_descriptors, read_manifests, require_batch
 from lakeshore.plans import SQL_DIR
 from lakeshore.plans.runner import load_sql_queries, query_parameters, run_query_set
-from lakeshore.sinks.parquet import write_clustered, write_partitioned
+from lakeshore.sinks.parquet import remove_folder, write_clustered, write_partitioned
 from lakeshore.session import ensure_checkpoint_dir
 from lakeshore.sources.tables import read_parquet, register_views
 
 
-def _observed_source(df: DataFrame, idx: int) -> tuple[DataFrame, Observation]:
+def _observed_source(df: DataFrame, idx: int, passthrough: Sequence[str] | None) -> tuple[DataFrame, Observation]:
     obs = Observation(f"source_{idx}")
-    labelled = silver.normalize(df).withColumn("reason", silver.rejection_reason())
+    labelled = silver.normalize(df, passthrough).withColumn("reason", silver.rejection_reason())
     metrics = [F.count(F.lit(1)).alias("input_rows")]
     metrics += [F.count_if(F.col("reason") == r).alias(r) for r in silver.REASONS]
     return labelled.observe(obs, *metrics), obs
@@ -55,9 +57,12 @@ def bronze_to_silver(
     source_uris: Sequence[str],
     silver_uri: str,
     mode: str = "overwrite",
+    passthrough: Sequence[str] | None = None,
 ) -> dict[str, Any]:
     """B1: read every source, normalise + validate, union by name, dedup, write by date.
 
+    All source columns reach silver; ``passthrough`` narrows the untyped ones to those named.
+
     The write goes through ``REBALANCE(pickup_date)``: no extra pass over the data, AQE
     sizes the writers and splits a hot date.  The session's 64 KiB coalescing floor keeps
     about one writer per core even for a batch of ~1 MiB spread over thousands of dates;
@@ -68,7 +73,7 @@ def bronze_to_silver(
         raise ValueError("At least one trip source URI is required")
     started = time.perf_counter()
     groups = group_sources_by_schema(spark, source_uris)
-    observed = [_observed_source(spark.read.parquet(*g), i) for i, g in enumerate(groups)]
+    observed = [_observed_source(spark.read.parquet(*g), i, passthrough) for i, g in enumerate(groups)]
     valid = [df.where(F.col("reason").isNull()).drop("reason") for df, _ in observed]
     result = silver.deduplicate(silver.union_sources(valid))
     out_obs = Observation("silver_out")
@@ -81,6 +86,7 @@ def bronze_to_silver(
     valid_rows = input_rows - sum(invalid.values())
     return {
         "job_name": "bronze_to_silver",
+        "dataset": TRIP_DATASET,
         "source_uris": list(source_uris),
         "source_file_count": len(source_uris),
         "source_schema_count": len(groups),
@@ -102,6 +108,7 @@ def bronze_to_silver_from_manifest(
     mode: str = "overwrite",
     bronze_root: str | None = None,
     silver_root: str | None = None,
+    passthrough: Sequence[str] | None = None,
 ) -> dict[str, Any]:
     """B1 driven by an ingest manifest (S5): exactly one batch per manifest; an unsupported
     dataset or an empty file list is an error.  Sources are the manifest's files in
@@ -111,8 +118,6 @@ def bronze_to_silver_from_manifest(
     ``bronze_root`` / ``silver_root`` replace the object-store buckets by folders (for
     local runs); by default the ``s3a://bucket/key`` URIs of the manifest are used.
     """
-    from lakeshore.operators.inventory import batch_descriptors, read_manifests, require_batch
-
     batches = require_batch(batch_descriptors(read_manifests(spark, manifest_path), silver_bucket))
     if len(batches) != 1:
         raise ValueError(f"expected one manifest batch, found {len(batches)}")
@@ -124,7 +129,7 @@ def bronze_to_silver_from_manifest(
     else:
         sources = list(batch["source_uris"])
     silver_uri = os.path.join(silver_root, batch["silver_prefix"]) if silver_root else batch["silver_uri"]
-    metrics = bronze_to_silver(spark, sources, silver_uri, mode)
+    metrics = bronze_to_silver(spark, sources, silver_uri, mode, passthrough)
     metrics.update(batch_year=batch["year"], batch_month=batch["month"], taxi_type=batch["taxi_type"])
     return metrics
 
@@ -143,46 +148,51 @@ def silver_to_gold(
     silver_uri: str,
     gold_root: str,
     mode: str = "overwrite",
-    layout: str = "clustered",
+    layout: str = "partitioned",
     year: str | None = None,
     month: str | None = None,
+    replace_all: bool = False,
 ) -> dict[str, Any]:
     """B2: the three gold tables from one scan of silver, each written with an observed
     row count.
 
     One ``GROUPING SETS`` aggregate computes the measures of all three tables in a single
     scan and shuffle (``gold.gold_measures``); its result -- gold-sized, far smaller than
-    silver -- is checkpointed to the session's checkpoint folder and the three tables are
-    split off it and written concurrently.  Three separate aggregates would scan silver
-    three times.
-
-    ``layout``: ``clustered`` (default) writes each gold table as date-ordered files
-    sized by AQE (see ``write_clustered``): gold rows per date are bounded (1 for daily,
-    at most the location pairs / payment types of a day), so a directory per date would
-    hold one tiny file per date.  ``partitioned`` keeps the original one-directory-per-
-    ``pickup_date`` layout (dynamic overwrite, external tables with partition repair).
+    silver -- is written to the shared checkpoint folder, the three tables are split off
+    it and written concurrently, and it is deleted.  Three separate aggregates would scan
+    silver three times.
+
+    ``layout``: ``partitioned`` (default) has a directory per ``pickup_date``; an overwrite
+    replaces the dates present and keeps all others, and the external tables read it.
+    ``clustered`` writes each table as date-ordered files sized by AQE (see
+    ``write_clustered``), for gold of many dates with few rows each; its overwrite replaces
+    the table and is refused where that would lose dates, unless ``replace_all``.
     """
     if layout not in GOLD_LAYOUTS:
         raise ValueError(f"unsupported gold layout: {layout}")
     started = time.perf_counter()
-    ensure_checkpoint_dir(spark)
     silver_df = read_parquet(spark, silver_uri)
     uris = gold_uris(gold_root, year, month)
-    measures = gold.gold_measures(silver_df).checkpoint(eager=True)
-    tables = gold.split_gold(measures)
+    scratch = f"{ensure_checkpoint_dir(spark)}/gold-measures-{uuid.uuid4().hex}"
+    measures = gold.gold_measures(silver_df)
+    measures.write.parquet(scratch)
+    tables = gold.split_gold(spark.read.schema(measures.schema).parquet(scratch))
 
     def build_and_write(name):
         obs = Observation(name)
         if layout == "clustered":
-            write_clustered(tables[name], uris[name], mode, observation=obs)
+            write_clustered(tables[name], uris[name], mode, observation=obs, replace_all=replace_all)
         else:
             write_partitioned(tables[name], uris[name], mode, layout="range", observation=obs)
         return name, obs.get["rows"]
 
     # Three independent writes submitted concurrently: the scheduler interleaves their
     # tasks and the driver-side commits overlap.
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        rows = dict(pool.map(build_and_write, tables))
+    try:
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            rows = dict(pool.map(build_and_write, tables))
+    finally:
+        remove_folder(spark, scratch)
     return {
         "job_name": "silver_to_gold",
         "silver_uri": silver_uri,
@@ -252,7 +262,8 @@ def run_pipeline(
     year: str | None = None,
     month: str | None = None,
     mode: str = "overwrite",
-    gold_layout: str = "clustered",
+    gold_layout: str = "partitioned",
+    passthrough: Sequence[str] | None = None,
 ) -> dict[str, dict[str, Any]]:
     """Bronze -> silver -> gold -> query smoke, in that order; with ``metrics_dir``
     one metrics record per job under the batch's ``year=/month=`` (both required)."""
@@ -261,8 +272,8 @@ def run_pipeline(
     silver_uri = os.path.join(lake_root, "silver", "trips")
     gold_root = os.path.join(lake_root, "gold")
     out = {
-        "bronze_to_silver": bronze_to_silver(spark, source_uris, silver_uri, mode),
-        "silver_to_gold": silver_to_gold(spark, silver_uri, gold_root, mode, gold_layout),
+        "bronze_to_silver": bronze_to_silver(spark, source_uris, silver_uri, mode, passthrough),
+        "silver_to_gold": silver_to_gold(spark, silver_uri, gold_root, mode, gold_layout, replace_all=True),  # all of silver
         "query_smoke": query_smoke(spark, silver_uri, gold_root),
     }
     if metrics_dir:

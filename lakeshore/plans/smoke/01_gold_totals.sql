@@ -1,5 +1,5 @@
 SELECT
   COUNT(*) AS daily_rows,
   SUM(trip_count) AS total_trips,
-  CAST(ROUND(SUM(CAST(total_revenue AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_revenue
+  ROUND(COALESCE(CASE WHEN COUNT_IF(total_revenue IS NOT NULL AND NOT CAST(TRY_CAST(total_revenue AS DECIMAL(38,10)) AS DOUBLE) <=> total_revenue) = 0 THEN CAST(TRY_SUM(TRY_CAST(total_revenue AS DECIMAL(38,10))) AS DOUBLE) END, SUM(total_revenue)), 2) AS total_revenue
 FROM daily_trip_metrics

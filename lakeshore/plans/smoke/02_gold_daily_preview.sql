@@ -1,7 +1,7 @@
 SELECT
   pickup_date,
   trip_count,
-  CAST(ROUND(CAST(total_revenue AS DECIMAL(18,4)), 2) AS DOUBLE) AS total_revenue
+  ROUND(total_revenue, 2) AS total_revenue
 FROM daily_trip_metrics
 ORDER BY pickup_date
 LIMIT 10

@@ -1,7 +1,7 @@
 SELECT
   payment_type,
   SUM(trip_count) AS trip_count,
-  CAST(ROUND(CAST(CAST(SUM(CAST(total_tip AS DECIMAL(18,4))) AS DOUBLE) / SUM(trip_count) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_tip_per_trip
+  ROUND(COALESCE(CASE WHEN COUNT_IF(total_tip IS NOT NULL AND NOT CAST(TRY_CAST(total_tip AS DECIMAL(38,10)) AS DOUBLE) <=> total_tip) = 0 THEN CAST(TRY_SUM(TRY_CAST(total_tip AS DECIMAL(38,10))) AS DOUBLE) END, SUM(total_tip)) / SUM(trip_count), 2) AS avg_tip_per_trip
 FROM payment_metrics
 GROUP BY payment_type
 ORDER BY payment_type

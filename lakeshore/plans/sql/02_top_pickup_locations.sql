@@ -2,7 +2,7 @@ SELECT
   pickup_date,
   pu_location_id,
   SUM(trip_count) AS trip_count,
-  CAST(SUM(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue
+  COALESCE(CASE WHEN COUNT_IF(total_revenue IS NOT NULL AND NOT CAST(TRY_CAST(total_revenue AS DECIMAL(38,10)) AS DOUBLE) <=> total_revenue) = 0 THEN CAST(TRY_SUM(TRY_CAST(total_revenue AS DECIMAL(38,10))) AS DOUBLE) END, SUM(total_revenue)) AS total_revenue
 FROM location_metrics
 WHERE pickup_date BETWEEN :start_date AND :end_date
 GROUP BY pickup_date, pu_location_id

@@ -1,8 +1,8 @@
 SELECT
   pickup_date,
   COUNT(*) AS trip_count,
-  CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-  CAST(SUM(CAST(trip_distance AS DECIMAL(18,4))) AS DOUBLE) / COUNT(trip_distance) AS avg_trip_distance
+  COALESCE(CASE WHEN COUNT_IF(total_amount IS NOT NULL AND NOT CAST(TRY_CAST(total_amount AS DECIMAL(38,10)) AS DOUBLE) <=> total_amount) = 0 THEN CAST(TRY_SUM(TRY_CAST(total_amount AS DECIMAL(38,10))) AS DOUBLE) END, SUM(total_amount)) AS total_revenue,
+  COALESCE(CASE WHEN COUNT_IF(trip_distance IS NOT NULL AND NOT CAST(TRY_CAST(trip_distance AS DECIMAL(38,10)) AS DOUBLE) <=> trip_distance) = 0 THEN CAST(TRY_SUM(TRY_CAST(trip_distance AS DECIMAL(38,10))) AS DOUBLE) END, SUM(trip_distance)) / COUNT(trip_distance) AS avg_trip_distance
 FROM silver_trips
 WHERE pickup_date = :pickup_date
 GROUP BY pickup_date

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from lakeshore.operators import gold, silver
 from lakeshore.plans import SMOKE_SQL_DIR, SQL_DIR
-from lakeshore.plans.runner import query_parameters, run_sql
+from lakeshore.plans.runner import lazy_parameters, parameter_row, run_sql
 from lakeshore.sources.tables import register_views
 from lakeshore.sources.trips import raw_sources
 
 
 def silver_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_trips(raw_sources(spark, sf_dir))
+    return silver.silver_trips(raw_sources(spark, sf_dir), passthrough=())
 
 
 def register_lakehouse_views(spark: SparkSession, silver_df: DataFrame) -> dict[str, DataFrame]:
@@ -29,11 +29,7 @@ def register_lakehouse_views(spark: SparkSession, silver_df: DataFrame) -> dict[
 
 def _sql(spark: SparkSession, sf_dir: str, folder, file_name: str) -> DataFrame:
     frames = register_lakehouse_views(spark, silver_frame(spark, sf_dir))
-    text = (folder / file_name).read_text(encoding="utf-8")
-    params = {}
-    if ":" in text:
-        params = query_parameters(frames["silver_trips"], frames["daily_trip_metrics"])
-    return run_sql(spark, folder / file_name, params)
+    return run_sql(spark, folder / file_name, lazy_parameters(frames["silver_trips"]))
 
 
 def q_silver_trips(spark, sf_dir):
@@ -45,9 +41,11 @@ def q_rejection_report(spark, sf_dir):
 
 
 def q_silver_union_drift(spark, sf_dir):
-    """Bag union of the cleaned, drifted sources; ``airport_fee`` only exists in B."""
-    cleaned = [silver.clean(df, passthrough=["airport_fee"]) for df in raw_sources(spark, sf_dir)]
-    return silver.union_sources(cleaned)
+    """Bag union of the cleaned, drifted sources, with the columns that they carry:
+    ``airport_fee`` only exists in B, which here also has its passenger counts as text."""
+    a, b = raw_sources(spark, sf_dir)
+    b = b.withColumn("passenger_count", F.concat(F.col("passenger_count").cast("string"), F.lit(".0")))
+    return silver.union_sources([silver.clean(df) for df in (a, b)])
 
 
 def q_gold_daily(spark, sf_dir):
@@ -63,17 +61,9 @@ def q_gold_payment(spark, sf_dir):
 
 
 def q_date_params(spark, sf_dir):
-    """P11 as a one-row DataFrame (strings, as the runner records them).
-
-    Daily gold has exactly the dates of silver, so one aggregate over it gives the
-    silver range and the first daily date together.
-    """
-    daily = gold.daily_trip_metrics(silver_frame(spark, sf_dir))
-    return daily.agg(
-        F.min("pickup_date").cast("string").alias("start_date"),
-        F.max("pickup_date").cast("string").alias("end_date"),
-        F.min("pickup_date").cast("string").alias("pickup_date"),
-    )
+    """P11 as a one-row DataFrame (strings, as the runner records them)."""
+    row = parameter_row(silver_frame(spark, sf_dir))
+    return row.select(*[F.col(c).cast("string").alias(c) for c in row.columns])
 
 
 QUERY_FILES = {

@@ -26,9 +26,6 @@ _DEFAULTS = {
     # REBALANCE by pickup_date) keeps about one writer per core instead of collapsing to
     # a single writer of every date file; large shuffles are far above the floor.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.sql.parquet.aggregatePushdown": "true",
-    # Listing thousands of date directories: a few dozen listing tasks, not one per path.
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 # Settings that change results: always applied (T8 zone, T11 overwrite semantics).

@@ -61,10 +61,14 @@ def sync_partitions(spark: SparkSession, schema: str, table: str) -> None:
 
 
 def register_gold_tables(spark: SparkSession, gold_uris: dict[str, str], schema: str = "lake") -> dict[str, DataFrame]:
-    """K8 for the date-partitioned gold layout: create the three tables and sync them."""
+    """K8: create the three tables over either gold layout; date directories become
+    partitions and are synced, a clustered folder is a plain table."""
     out = {}
     for table, columns in GOLD_TABLE_COLUMNS.items():
-        create_external_table(spark, schema, table, columns, gold_uris[table])
-        sync_partitions(spark, schema, table)
+        files = spark.read.parquet(gold_uris[table]).inputFiles()
+        clustered = bool(files) and not any("/pickup_date=" in f for f in files)
+        create_external_table(spark, schema, table, columns, gold_uris[table], None if clustered else "pickup_date")
+        if not clustered:
+            sync_partitions(spark, schema, table)
         out[table] = spark.table(f"{schema}.{table}")
     return out

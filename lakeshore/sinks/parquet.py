@@ -10,12 +10,31 @@ small ones, so neither a hot date nor thousands of tiny dates produce pathologic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: Bound of a partitioned or clustered table's files; plain writes have none, so that
+#: ``coalesce=n`` means n files.
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def _file_system(spark: SparkSession, uri: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the URI names."""
+    system, path = _file_system(spark, uri)
+    return system.exists(path)
+
+
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a folder that a job has made, with all below it; one that is gone is fine."""
+    system, path = _file_system(spark, uri)
+    system.delete(path, True)
+
+
 def write_partitioned(
     df: DataFrame,
     uri: str,
@@ -74,6 +93,7 @@ def write_clustered(
     mode: str = "overwrite",
     cluster_col: str = "pickup_date",
     observation: Observation | None = None,
+    replace_all: bool = False,
 ) -> None:
     """Non-partitioned Parquet, globally ordered on ``cluster_col``.
 
@@ -84,10 +104,18 @@ def write_clustered(
     Parquet min/max statistics of ``cluster_col`` skip files and row groups for date
     predicates (``PushedFilters``) much as directory pruning would.  Range bounds are
     sampled from the input's shuffle output, so the upstream scan is not repeated.
-    ``overwrite`` replaces the whole table (static), ``append`` adds files.
+    ``overwrite`` replaces the whole table (static), ``append`` adds files.  An overwrite
+    that would lose dates of the stored table is refused unless ``replace_all`` says that
+    ``df`` is the whole table; a partitioned table is overwritten date by date.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported write mode: {mode}")
+    if mode == "overwrite" and not replace_all and path_exists(df.sparkSession, uri):
+        stored = df.sparkSession.read.schema(df.schema).parquet(uri)
+        lost = stored.select(cluster_col).distinct().join(df.select(cluster_col).distinct(), cluster_col, "left_anti").count()
+        if lost:
+            raise ValueError(f"{uri}: overwriting would lose {lost} value(s) of {cluster_col}; "
+                             "use the partitioned layout, a folder per batch, or replace_all")
     out = df.orderBy(cluster_col)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
@@ -99,12 +127,14 @@ def write_clustered(
     )
 
 
-def write_parquet(df: DataFrame, uri: str, coalesce: int = 0, mode: str = "overwrite") -> None:
-    """K2: non-partitioned Parquet; ``coalesce`` > 0 narrows to that many files without a shuffle."""
+def write_parquet(df: DataFrame, uri: str, coalesce: int = 0, mode: str = "overwrite",
+                  max_records_per_file: int = 0) -> None:
+    """K2: non-partitioned Parquet; ``coalesce`` > 0 narrows to that many files without a
+    shuffle.  ``max_records_per_file`` > 0 splits files that hold more rows."""
     if coalesce < 0:
         raise ValueError("coalesce must be >= 0")
     out = df.coalesce(coalesce) if coalesce else df
-    out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(uri)
+    out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(uri)
 
 
 def write_csv(df: DataFrame, uri: str, coalesce: int = 0, mode: str = "overwrite") -> None:

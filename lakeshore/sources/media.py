@@ -46,23 +46,43 @@ def search_hits(events: DataFrame) -> DataFrame:
         (uid * 6 + 480).alias("height"),
         F.when(eid % 4 == 0, F.lit("")).otherwise(
             F.concat(F.lit('<a href="/wiki/User:U'), uid.cast("string"), F.lit('">User&nbsp;'),
-                     uid.cast("string"), F.lit("</a>"))).alias("artist"),
-        F.concat(F.lit("Own work &amp; <i>archive</i> "), (eid % 3).cast("string")).alias("credit"),
+                     uid.cast("string"), F.lit("</a> caf&eacute; &#8217;&mdash;&#x41;"))).alias("artist"),
+        F.concat(F.lit("Own work &amp;amp; <i>archive</i> "), (eid % 3).cast("string")).alias("credit"),
+        F.concat(F.lit("File:Second "), (uid % 25).cast("string"), F.lit(".png")).alias("second_title"),
         F.lit("CC BY-SA 4.0").alias("license"),
         F.lit("https://creativecommons.org/licenses/by-sa/4.0").alias("license_url"),
     )
 
 
+def _text(col: str):
+    """A column as a JSON string literal."""
+    return F.regexp_extract(F.to_json(F.struct(F.col(col).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+
+
 def api_payloads(events: DataFrame) -> DataFrame:
-    """One API response JSON text per hit: query.pages map -> imageinfo array -> extmetadata map."""
+    """One API response JSON text per hit: query.pages map -> imageinfo array -> extmetadata map.
+
+    A payload has two pages, whose keys do not follow their order.  Metadata values are
+    objects, but every fifth credit and all license names of the second page are plain text.
+    """
     h = search_hits(events)
-    meta = F.create_map(
-        F.lit("Artist"), F.struct(F.col("artist").alias("value")),
-        F.lit("Credit"), F.struct(F.col("credit").alias("value")),
-        F.lit("LicenseShortName"), F.struct(F.col("license").alias("value")),
-        F.lit("LicenseUrl"), F.struct(F.col("license_url").alias("value")),
-    )
-    info = F.struct("url", "thumburl", "mime", "width", "height", meta.alias("extmetadata"))
-    page = F.struct(F.col("title"), F.array(info).alias("imageinfo"))
-    payload = F.struct(F.struct(F.create_map(F.col("pos").cast("string"), page).alias("pages")).alias("query"))
-    return h.select("pos", "query", "query_idx", F.to_json(payload).alias("payload"))
+
+    def entry(col: str):
+        return F.to_json(F.struct(F.col(col).alias("value")))
+
+    def page(title: str, info, metadata):
+        body = F.to_json(info)
+        return F.concat(F.lit('{"title":'), _text(title), F.lit(',"imageinfo":['), F.substring(body, F.lit(1), F.length(body) - 1),
+                        F.lit(',"extmetadata":{'), metadata, F.lit("}}]}"))
+
+    credit = F.when(F.col("pos") % 5 == 0, _text("credit")).otherwise(entry("credit"))
+    first = page("title", F.struct("url", "thumburl", "mime", "width", "height"), F.concat(
+        F.lit('"Artist":'), entry("artist"), F.lit(',"Credit":'), credit, F.lit(',"LicenseShortName":'), entry("license"),
+        F.lit(',"LicenseUrl":'), entry("license_url")))
+    second_info = F.struct(F.concat(F.lit("https://upload.example.org/second/"), F.col("pos").cast("string"), F.lit(".png")).alias("url"),
+                           F.lit("image/png").alias("mime"), F.lit(10).alias("width"), F.lit(20).alias("height"))
+    second = page("second_title", second_info, F.concat(
+        F.lit('"Artist":'), _text("artist"), F.lit(',"LicenseShortName":'), _text("license")))
+    key = F.col("pos").cast("string")
+    payload = F.concat(F.lit('{"query":{"pages":{"9'), key, F.lit('":'), first, F.lit(',"1'), key, F.lit('":'), second, F.lit("}}}"))
+    return h.select("pos", "query", "query_idx", payload.alias("payload"))

@@ -1,6 +1,6 @@
 """Metric samples derived from the driver's ``events`` table (fixture for M1-M3).
 
-* gauge: metric = event_type, series label = user_id % 5, value = event value;
+* gauge: job = metric = event_type, series label = user_id % 5, value = event value;
 * counter: per series, the running sum of values, restarting at every block of 100
   event ids (a counter reset).  The running sum is a window over (series, block), so
   each window partition holds at most 100 rows;
@@ -26,7 +26,7 @@ def _series(events: DataFrame) -> DataFrame:
 
 
 def gauge_samples(events: DataFrame) -> DataFrame:
-    return _series(events).select("ts", "metric", "series_label", "value")
+    return _series(events).select("ts", F.col("metric").alias("job"), "metric", "series_label", "value")
 
 
 def counter_samples(events: DataFrame) -> DataFrame:

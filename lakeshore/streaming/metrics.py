@@ -2,16 +2,18 @@
 Structured Streaming.
 
 * M1 latest value per series: ``max_by(value, ts)`` -- a partial aggregate, no sort.
-* M2 ``sum by (label) (rate(counter[range]))``: per (series, tumbling window) the
-  reset-aware increase (a drop means the counter restarted, so the new value *is* the
-  increase).  Batch pairs consecutive samples with ``lag``; the streaming form folds
-  the window's sorted samples with the ``aggregate`` higher-order function under a
-  watermark.
+* M2 ``sum by (label) (rate(counter[range]))``: the reset-aware increase of each series
+  per tumbling window (a drop means the counter restarted, so the new value *is* the
+  increase).  An increase between two samples belongs to the window of the later one, so
+  the increases of all windows add up to the counter's whole rise.  A window is first
+  summarised by itself (its inner increase, first and last value), which bounds what is
+  sorted together; the steps between windows are added from the summaries, in a batch over
+  all samples as over the summaries that a stream has written.
 * M3 down targets: latest ``up`` per target, count of targets at 0 (T22: the evident
   intent, not the PromQL filter quirk).
 
-Prometheus' boundary extrapolation is not reproduced: the increase uses only the
-samples inside the window.
+Label patterns match the whole label, as in PromQL.  Prometheus' extrapolation to the
+window's edges is not reproduced.
 """
 
 from __future__ import annotations
@@ -28,80 +30,99 @@ SAMPLE_SCHEMA = T.StructType([
 ])
 
 
-def latest_values(samples: DataFrame, series_cols=("metric", "series_label"), metric_regex: str | None = None) -> DataFrame:
-    """M1: latest sample per series, optionally for metrics matching a regex."""
-    df = samples if metric_regex is None else samples.where(F.col("metric").rlike(metric_regex))
+def matches(col: str, pattern: str) -> Column:
+    """Whether a label matches a pattern as a whole."""
+    return F.col(col).rlike(f"^(?:{pattern})$")
+
+
+def latest_values(samples: DataFrame, series_cols=("metric", "series_label"), job_pattern: str | None = None,
+                  job_col: str = "job") -> DataFrame:
+    """M1: latest sample per series, optionally of the jobs that match a pattern."""
+    df = samples if job_pattern is None else samples.where(matches(job_col, job_pattern))
     return df.groupBy(*series_cols).agg(
         F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value")
     )
 
 
-def _increase(points: Column, acc_type: str) -> Column:
-    """Reset-aware increase over an array<struct<ts, value>> sorted by ts."""
-    n = F.size(points)
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        F.lit(0).cast(acc_type),
-        lambda acc, i: (acc + F.when(
-            i < n,
-            F.when(points[i]["value"] >= points[i - 1]["value"], points[i]["value"] - points[i - 1]["value"])
-            .otherwise(points[i]["value"]),
-        ).otherwise(F.lit(0))).cast(acc_type),
-    )
+def _step(before: Column, after: Column) -> Column:
+    """Reset-aware increase from one sample to the next."""
+    return F.when(before.isNull(), F.lit(0)).when(after >= before, after - before).otherwise(after)
 
 
-def window_increases(samples: DataFrame, window: str, series_cols=("metric", "series_label"),
+def window_summaries(samples: DataFrame, window: str, series_cols=("metric", "series_label"),
                      acc_type: str = "double") -> DataFrame:
-    """Per (series, tumbling window): sample count and reset-aware counter increase (batch).
+    """Per (series, tumbling window): sample count, the increase between its samples, and
+    its first and last value (batch).
 
-    Consecutive samples are paired with ``lag`` over (series, window) ordered by ts -- a
-    sort-based window that spills, so even a very dense series only costs sort space;
-    the deltas are then summed by a partial aggregate.  ``acc_type`` is the sum type
-    (DECIMAL counters give exact increases).
+    Consecutive samples are paired with ``lag`` over (series, window): a sort that spills,
+    of one window's samples at most.  ``acc_type`` is the sum type (DECIMAL counters give
+    exact increases).
     """
     keyed = samples.withColumn("window_start", F.window("ts", window).start)
-    w = Window.partitionBy(*series_cols, "window_start").orderBy("ts")
-    prev = F.lag("value").over(w)
-    v = F.col("value")
-    delta = F.when(prev.isNull(), F.lit(0)).when(v >= prev, v - prev).otherwise(v).cast(acc_type)
-    return keyed.withColumn("_d", delta).groupBy("window_start", *series_cols).agg(
-        F.count(F.lit(1)).alias("samples"), F.sum("_d").cast(acc_type).alias("increase")
+    w = Window.partitionBy(*series_cols, "window_start").orderBy("ts", "value")
+    inner = _step(F.lag("value").over(w), F.col("value")).cast(acc_type)
+    point = F.struct("ts", "value")
+    return keyed.withColumn("_d", inner).groupBy("window_start", *series_cols).agg(
+        F.count(F.lit(1)).alias("samples"), F.sum("_d").cast(acc_type).alias("inner_increase"),
+        F.min(point)["value"].alias("first_value"), F.max(point)["value"].alias("last_value"),
     )
 
 
-def stream_window_increases(samples: DataFrame, window: str, series_cols=("metric", "series_label"),
+def stream_window_summaries(samples: DataFrame, window: str, series_cols=("metric", "series_label"),
                             acc_type: str = "double") -> DataFrame:
-    """Streaming form of :func:`window_increases` (window functions are not available on
+    """Streaming form of :func:`window_summaries` (window functions are not available on
     streams): the samples of one (series, window) are gathered, sorted by ts and folded
     with ``aggregate``.  State lives only until the watermark passes the window end, and
     a window holds at most (window length / scrape interval) samples per series."""
     grouped = samples.groupBy(F.window("ts", window).alias("w"), *series_cols).agg(
         F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("points")
     )
+    points = F.col("points")
+    inner = F.aggregate(
+        F.slice(points, 2, F.size(points)),
+        F.struct(F.lit(0).cast(acc_type).alias("sum"), points[0]["value"].alias("before")),
+        lambda acc, p: F.struct((acc["sum"] + _step(acc["before"], p["value"])).cast(acc_type).alias("sum"), p["value"].alias("before")),
+    )["sum"]
     return grouped.select(
-        F.col("w.start").alias("window_start"), *series_cols,
-        F.size("points").alias("samples"), _increase(F.col("points"), acc_type).alias("increase"),
+        F.col("w.start").alias("window_start"), *series_cols, F.size(points).cast("bigint").alias("samples"),
+        inner.alias("inner_increase"), points[0]["value"].alias("first_value"), F.element_at(points, -1)["value"].alias("last_value"),
     )
 
 
+def increases(summaries: DataFrame, series_cols=("metric", "series_label"), acc_type: str = "double") -> DataFrame:
+    """Per (series, window) the whole increase: within the window, and from the last sample
+    of the series' window before (one summary per window is sorted per series)."""
+    w = Window.partitionBy(*series_cols).orderBy("window_start")
+    edge = _step(F.lag("last_value").over(w), F.col("first_value"))
+    return summaries.select("window_start", *series_cols, "samples",
+                            (F.col("inner_increase") + edge).cast(acc_type).alias("increase"))
+
+
+def window_increases(samples: DataFrame, window: str, series_cols=("metric", "series_label"),
+                     acc_type: str = "double") -> DataFrame:
+    """Per (series, tumbling window): sample count and reset-aware counter increase (batch)."""
+    return increases(window_summaries(samples, window, series_cols, acc_type), series_cols, acc_type)
+
+
 def window_seconds(window: str) -> float:
     amount, unit = window.split()
     factor = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600}[unit]
     return float(amount) * factor
 
 
-def rate_by(samples: DataFrame, window: str, by: str, series_cols=("metric", "series_label"),
+def rate_by(samples: DataFrame, window: str, by: str | None, series_cols=("metric", "series_label"),
             acc_type: str = "double") -> DataFrame:
-    """M2: ``sum by (by) (rate(counter[window]))`` per tumbling window."""
+    """M2: ``sum by (by) (rate(counter[window]))`` per tumbling window; ``by`` None is the
+    unlabelled total."""
     inc = window_increases(samples, window, series_cols, acc_type)
-    return inc.groupBy("window_start", by).agg(
+    return inc.groupBy("window_start", *([by] if by else [])).agg(
         (F.sum("increase").cast("double") / F.lit(window_seconds(window))).alias("rate")
     )
 
 
-def down_targets(up_samples: DataFrame, job_regex: str, target_cols=("job", "instance")) -> DataFrame:
+def down_targets(up_samples: DataFrame, job_pattern: str, target_cols=("job", "instance")) -> DataFrame:
     """M3: number of targets of matching jobs whose latest ``up`` value is 0."""
-    latest = up_samples.where(F.col("job").rlike(job_regex)).groupBy(*target_cols).agg(
+    latest = up_samples.where(matches("job", job_pattern)).groupBy(*target_cols).agg(
         F.max_by("value", "ts").alias("value")
     )
     return latest.agg(
@@ -110,16 +131,16 @@ def down_targets(up_samples: DataFrame, job_regex: str, target_cols=("job", "ins
     )
 
 
-def stream_rates(spark: SparkSession, source_dir: str, window: str, by: str, watermark: str = "10 minutes",
-                 schema: T.StructType | None = None) -> DataFrame:
-    """M2 as a Structured Streaming query over Parquet sample files arriving in ``source_dir``.
+def stream_summaries(spark: SparkSession, source_dir: str, window: str, watermark: str = "10 minutes",
+                     schema: T.StructType | None = None) -> DataFrame:
+    """M2 as a Structured Streaming query over Parquet sample files arriving in ``source_dir``:
+    the window summaries, to which :func:`increases` is applied where they are read.
 
     Windows are emitted once the watermark passes their end (append mode), so state is
     bounded by the watermark delay, not by the stream length.
     """
     stream = spark.readStream.schema(schema).parquet(source_dir) if schema else spark.readStream.parquet(source_dir)
-    inc = stream_window_increases(stream.withWatermark("ts", watermark), window)
-    return inc.select("window_start", "metric", "series_label", "increase")
+    return stream_window_summaries(stream.withWatermark("ts", watermark), window)
 
 
 def start_rate_stream(
@@ -133,16 +154,16 @@ def start_rate_stream(
     available_now: bool = False,
     processing_time: str = "1 minute",
 ):
-    """Run :func:`stream_rates` into a Parquet sink.
+    """Run :func:`stream_summaries` into a Parquet sink.
 
     ``checkpoint_dir`` must be on a shared, reliable file system: offsets, the window
     state and the sink's commit log live there, so a restarted query (lost driver or
     executors) resumes from the last committed micro-batch and the file sink writes
     every window exactly once.  ``available_now`` processes what has arrived and stops.
     """
-    rates = stream_rates(spark, source_dir, window, by="series_label", watermark=watermark, schema=schema)
+    summaries = stream_summaries(spark, source_dir, window, watermark=watermark, schema=schema)
     writer = (
-        rates.writeStream.format("parquet")
+        summaries.writeStream.format("parquet")
         .option("path", sink_dir)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_module
+from lakeshore.plans.registry import all_queries
 from tests.conftest import SF001
 
 
@@ -10,8 +11,8 @@ def test_every_oracle_has_a_query_and_every_query_builds(spark):
     queries = entry_module.queries()
     oracles = entry_module.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert len(queries) >= 44 and len(oracles) >= 41
-    for name, fn in queries.items():
+    assert len(queries) >= 53 and len(oracles) >= 51
+    for name, fn in all_queries().items():  # those of subpackages have tests of their own
         df = fn(spark, SF001)
         assert isinstance(df, DataFrame), name
         cols = df.columns

@@ -59,27 +59,27 @@ def test_duplicate_candidates_are_removed_by_dedup(spark):
     assert out.count() <= valid_or_dup.count() - dups
 
 
-def test_stream_rates_match_batch_on_closed_windows(spark, scratch):
+def test_stream_summaries_match_batch_on_closed_windows(spark, scratch):
     samples = counter_samples(spark.read.parquet(os.path.join(SF001, "events.parquet")))
-    samples = samples.withColumn("ts", F.col("ts").cast("timestamp"))
+    samples = samples.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("value", F.col("value").cast("double"))
     src = os.path.join(scratch, "samples")
     # two arrival batches in time order
     mid = samples.agg(F.percentile_approx(F.col("ts").cast("long"), 0.5)).first()[0]
     samples.where(F.col("ts").cast("long") <= mid).write.parquet(os.path.join(src, "b1"))
     q = None
     try:
-        stream = metrics.stream_rates(spark, os.path.join(src, "*"), "1 hour", "series_label",
-                                      watermark="10 minutes", schema=samples.schema)
+        stream = metrics.stream_summaries(spark, os.path.join(src, "*"), "1 hour", watermark="10 minutes", schema=samples.schema)
         samples.where(F.col("ts").cast("long") > mid).write.parquet(os.path.join(src, "b2"))
         q = (stream.writeStream.format("memory").queryName("rates_test").outputMode("append")
              .option("checkpointLocation", os.path.join(scratch, "ckpt"))
              .trigger(availableNow=True).start())
         q.awaitTermination(300)
         got = spark.table("rates_test")
-        batch = metrics.window_increases(samples, "1 hour")
+        batch = metrics.window_summaries(samples, "1 hour")
         max_ts = samples.agg(F.max("ts")).first()[0]
         closed = batch.where(F.col("window_start") + F.expr("INTERVAL 70 MINUTES") <= F.lit(max_ts))
-        cols = ["window_start", "metric", "series_label", "increase"]
+        cols = ["window_start", "metric", "series_label", "samples", "first_value", "last_value",
+                F.round("inner_increase", 6)]
         assert got.count() > 0
         assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
         assert closed.select(cols).exceptAll(got.select(cols)).count() == 0
@@ -88,15 +88,38 @@ def test_stream_rates_match_batch_on_closed_windows(spark, scratch):
             q.stop()
 
 
-def test_rate_handles_counter_reset(spark):
-    rows = [("2025-01-01 00:00:00", 10.0), ("2025-01-01 00:01:00", 15.0),
-            ("2025-01-01 00:02:00", 3.0), ("2025-01-01 00:03:00", 9.0)]
-    df = spark.createDataFrame(rows, "ts string, value double").select(
+def _samples(spark, rows):
+    return spark.createDataFrame(rows, "ts string, value double").select(
         F.col("ts").cast("timestamp").alias("ts"), F.lit("c").alias("metric"), F.lit("a").alias("series_label"), "value")
-    inc = metrics.window_increases(df, "5 minutes").first()
-    assert inc["increase"] == 5.0 + 3.0 + 6.0
-    streamed = metrics.stream_window_increases(df, "5 minutes").first()
-    assert streamed["increase"] == inc["increase"]
+
+
+def test_rate_handles_counter_reset(spark):
+    df = _samples(spark, [("2025-01-01 00:00:00", 10.0), ("2025-01-01 00:01:00", 15.0),
+                          ("2025-01-01 00:02:00", 3.0), ("2025-01-01 00:03:00", 9.0)])
+    assert metrics.window_increases(df, "5 minutes").first()["increase"] == 5.0 + 3.0 + 6.0
+    assert metrics.stream_window_summaries(df, "5 minutes").first()["inner_increase"] == 14.0
+
+
+def test_increases_across_window_edges_are_kept(spark):
+    rows = [(f"2025-01-01 {m // 60:02d}:{m % 60:02d}:00", 50.0 * (m // 5)) for m in range(0, 600, 5)]
+    df = _samples(spark, rows)
+    inc = metrics.window_increases(df, "5 minutes")
+    assert inc.agg(F.sum("increase")).first()[0] == rows[-1][1] - rows[0][1]
+    assert [r["increase"] for r in inc.orderBy("window_start").limit(3).collect()] == [0.0, 50.0, 50.0]
+    # a reset between two windows counts the new value
+    assert metrics.window_increases(_samples(spark, [("2025-01-01 00:04:00", 9.0), ("2025-01-01 00:06:00", 2.0)]), "5 minutes").agg(
+        F.sum("increase")).first()[0] == 2.0
+    total = metrics.rate_by(df, "5 minutes", None).agg(F.sum("rate")).first()[0]
+    assert abs(total * 300 - rows[-1][1]) < 1e-6
+
+
+def test_label_patterns_match_whole_labels(spark):
+    up = spark.createDataFrame([("spark-worker", "1", 0.0), ("old-spark-worker-2", "1", 0.0), ("airflow", "1", 1.0)],
+                               "job string, instance string, value double").withColumn("ts", F.current_timestamp())
+    got = metrics.down_targets(up, "spark-master|spark-worker").first()
+    assert (got["targets"], got["down_targets"]) == (1, 1)
+    assert metrics.latest_values(up, ("job", "instance"), "air.*").count() == 1
+    assert metrics.latest_values(up, ("job", "instance"), "air").count() == 0
 
 
 @pytest.mark.parametrize("comparison,coalesce", [("partition", 0), ("compaction", 2), ("format", 0)])
@@ -139,7 +162,7 @@ def test_generated_batch_manifest(spark, scratch):
 
 def test_rate_stream_restarts_from_its_checkpoint(spark, scratch):
     samples = counter_samples(spark.read.parquet(os.path.join(SF001, "events.parquet")))
-    samples = samples.withColumn("ts", F.col("ts").cast("timestamp"))
+    samples = samples.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("value", F.col("value").cast("double"))
     src, sink, ckpt = (os.path.join(scratch, d) for d in ("src", "sink", "ckpt"))
     mid = samples.agg(F.percentile_approx(F.col("ts").cast("long"), 0.5)).first()[0]
     samples.where(F.col("ts").cast("long") <= mid).write.parquet(os.path.join(src, "b1"))
@@ -156,5 +179,8 @@ def test_rate_stream_restarts_from_its_checkpoint(spark, scratch):
     keys = ["window_start", "metric", "series_label"]
     assert out.count() > first > 0
     assert out.groupBy(*keys).count().where("count > 1").count() == 0  # no window written twice
-    batch = metrics.window_increases(samples, "1 hour").select(*keys, "increase")
-    assert out.select(*keys, "increase").exceptAll(batch).count() == 0
+    whole = ["samples", "first_value", "last_value", F.round("inner_increase", 6)]
+    batch = metrics.window_summaries(samples, "1 hour").select(*keys, *whole)
+    assert out.select(*keys, *whole).exceptAll(batch).count() == 0
+    # the steps between windows are added where the summaries are read
+    assert metrics.increases(out).count() == out.count()

@@ -6,6 +6,8 @@ stay small; results are compared with the in-memory (unwritten) plans.
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lakeshore.operators import gold, silver
@@ -18,6 +20,10 @@ from tests.conftest import SF001
 WINDOW = ("1995-01-01", "1995-03-02")
 
 
+TRIP_SCHEMA = ("tpep_pickup_datetime string, tpep_dropoff_datetime string, passenger_count int, trip_distance double, "
+               "PULocationID int, DOLocationID int, payment_type int, fare_amount double, tip_amount double, total_amount double")
+
+
 def _window(df):
     lo, hi = WINDOW
     return df.where(F.col("tpep_pickup_datetime").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
@@ -123,6 +129,81 @@ def test_external_gold_tables_need_partition_sync(spark, scratch):
     assert tables["payment_metrics"].schema["payment_type"].dataType.simpleString() == "int"
 
 
+def test_external_tables_read_the_clustered_layout(spark, scratch):
+    uris = _bronze(spark, scratch)
+    silver_uri, gold_root = os.path.join(scratch, "silver"), os.path.join(scratch, "gold")
+    pipeline.bronze_to_silver(spark, uris, silver_uri)
+    m = pipeline.silver_to_gold(spark, silver_uri, gold_root, layout="clustered")
+    tables = register_gold_tables(spark, pipeline.gold_uris(gold_root), "lake_" + os.path.basename(scratch).replace("-", "_"))
+    assert {name: t.count() for name, t in tables.items()} == {
+        "daily_trip_metrics": m["daily_rows"], "location_metrics": m["location_rows"], "payment_metrics": m["payment_rows"]}
+
+
+@pytest.mark.parametrize("layout", ["partitioned", "clustered"])
+def test_gold_of_a_second_batch_keeps_the_first(spark, scratch, layout):
+    gold_root = os.path.join(scratch, "gold")
+    rows = {"2025-01-01": 3, "2025-02-01": 2}
+    for day, n in rows.items():
+        trips = [(f"{day} 10:00:0{i}", f"{day} 11:00:00", i, 1.5, 1, 2, 1, 5.0, 1.0, 7.0, "kept") for i in range(n)]
+        raw = spark.createDataFrame(trips, TRIP_SCHEMA + ", airport_fee string")
+        silver.silver_trips([raw]).write.partitionBy("pickup_date").parquet(os.path.join(scratch, day))
+        if layout == "clustered" and day == "2025-02-01":
+            with pytest.raises(ValueError, match="would lose 1 value"):
+                pipeline.silver_to_gold(spark, os.path.join(scratch, day), gold_root, layout=layout)
+            rows.pop("2025-02-01")
+            break
+        pipeline.silver_to_gold(spark, os.path.join(scratch, day), gold_root, layout=layout)
+    daily = spark.read.parquet(os.path.join(gold_root, "daily_trip_metrics"))
+    assert {str(r["pickup_date"]): r["trip_count"] for r in daily.collect()} == rows
+
+
+def test_source_columns_reach_silver(spark, scratch):
+    raw = spark.createDataFrame([("2025-01-01 10:00:00", "2025-01-01 10:10:00", "1.0", "2.5", 1.0, 2, "1", 3.0, 1.0, 4.0, "fee", 7),
+                                 ("2025-01-01 11:00:00", "2025-01-01 11:10:00", "x", "2.5", 3e9, 2, None, 3.0, 1.0, 4.0, None, 8)],
+                                TRIP_SCHEMA.replace("passenger_count int", "passenger_count string").replace("trip_distance double", "trip_distance string")
+                                .replace("PULocationID int", "PULocationID double").replace("payment_type int", "payment_type string")
+                                + ", `odd name` string, extra int")
+    uri = os.path.join(scratch, "src.parquet")
+    raw.write.parquet(uri)
+    pipeline.bronze_to_silver(spark, [uri], os.path.join(scratch, "all"))
+    got = {r["extra"]: r for r in spark.read.parquet(os.path.join(scratch, "all")).collect()}
+    assert (got[7]["passenger_count"], got[7]["odd name"], got[7]["trip_distance"], got[7]["payment_type"]) == (1, "fee", 2.5, 1)
+    assert (got[8]["passenger_count"], got[8]["pu_location_id"]) == (None, None)
+    pipeline.bronze_to_silver(spark, [uri], os.path.join(scratch, "some"), passthrough=["extra"])
+    assert set(spark.read.parquet(os.path.join(scratch, "some")).columns) == {*silver.SILVER_COLUMNS, "extra"}
+
+
+def test_sums_drop_no_digits_and_never_fail(spark, tmp_path):
+    """Gold and the query files against plain double sums, where decimals are lossy."""
+    import math
+
+    from lakeshore.plans import SQL_DIR
+    from lakeshore.plans.runner import lazy_parameters, load_sql_queries, run_sql
+    from lakeshore.sources.tables import register_views
+
+    days = {"2025-01-01": [0.00001, 0.00001], "2025-01-02": [1e15, 0.5], "2025-01-03": [float("nan"), 4.0], "2025-01-04": [1e300, 1.0],
+            "2025-01-05": [1.00005, 1.00005], "2025-01-06": [1 / 3, 2 / 3]}
+    trips = [(f"{d} 10:00:0{i}", f"{d} 11:00:00", 1, v, k, 2, k, v, v, v) for k, (d, vs) in enumerate(days.items()) for i, v in enumerate(vs)]
+    s = silver.silver_trips([spark.createDataFrame(trips, TRIP_SCHEMA)])
+
+    def same(a, b):
+        return math.isclose(a, b, rel_tol=1e-15) or (math.isnan(a) and math.isnan(b))
+
+    for table in (gold.daily_trip_metrics(s), gold.split_gold(gold.gold_measures(s))["daily_trip_metrics"]):
+        for r in table.collect():
+            vs = days[str(r["pickup_date"])]
+            assert same(r["total_tip"], sum(vs)) and same(r["total_revenue"], sum(vs)) and same(r["avg_trip_distance"], sum(vs) / 2)
+    register_views(spark, {"silver_trips": s, **{n: build(s) for n, build in gold.GOLD_TABLES.items()}})
+    params = lazy_parameters(s)
+    out = {p.stem[:2]: run_sql(spark, p, params).collect() for p in load_sql_queries(SQL_DIR)}
+    total = {k: sum(vs) for k, vs in enumerate(days.values())}
+    assert all(same(r["total_revenue"], total[r["pu_location_id"]]) for r in out["02"])
+    assert all(same(r["avg_tip_per_trip"], total[r["payment_type"]] / 2) for r in out["03"])
+    assert math.isnan(out["04"][0]["avg_trip_distance"])
+    assert same(out["05"][0]["total_revenue"], 2e-5)
+    assert all(same(r["avg_trip_distance"], total[r["pu_location_id"]] / 2) for r in out["06"])
+
+
 def test_run_pipeline_writes_metrics_and_runs_every_query(spark, scratch):
     uris = _bronze(spark, scratch)
     out = pipeline.run_pipeline(spark, uris, os.path.join(scratch, "lake"), metrics_dir=os.path.join(scratch, "m"),
@@ -237,10 +318,7 @@ def test_non_finite_amounts_propagate_like_a_double_sum(spark):
     rows = [("2025-01-01 10:00:00", "2025-01-01 10:10:00", 1, 1.0, 1, 2, 1, 10.0, 1.0, 12.0),
             ("2025-01-01 11:00:00", "2025-01-01 11:10:00", 1, 2.0, 1, 2, 1, float("nan"), 1.0, 12.0),
             ("2025-01-02 11:00:00", "2025-01-02 11:10:00", 1, 2.0, 1, 2, 1, float("inf"), 1.5, 13.0)]
-    schema = ("tpep_pickup_datetime string, tpep_dropoff_datetime string, passenger_count int, trip_distance double, "
-              "PULocationID int, DOLocationID int, payment_type int, fare_amount double, tip_amount double, "
-              "total_amount double")
-    raw = spark.createDataFrame(rows, schema)
+    raw = spark.createDataFrame(rows, TRIP_SCHEMA)
     s = silver.silver_trips([raw])
     assert s.count() == 3  # NaN >= 0 and Inf >= 0 pass the filter (T5)
     by_day = {r["pickup_date"].isoformat(): r for r in gold.daily_trip_metrics(s).collect()}
