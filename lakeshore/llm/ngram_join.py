@@ -10,9 +10,8 @@ ceil(t n) of them with any partner, so
   are the only columns that need to be multiplied out, and in each only rows whose sizes
   and places in that order leave room for the overlap that the pair needs.
 
-A column's rows are not paired with each other: each is multiplied with one leader of its
-size only, whose links merge rows into classes; what is left are rows of different
-classes in one column, which are multiplied in full, tile by tile.  Equal sets are one row throughout.
+A column's rows are not paired with each other: each is multiplied with a few leaders of
+its size only, whose links merge rows into classes; what is left are rows of different classes in one column, which are paired in full.  Equal sets are one row throughout.
 """
 
 from __future__ import annotations
@@ -38,14 +37,14 @@ BLOCK_ENTRIES = 2_000_000
 BLOCKS_PER_PARTITION = 8
 #: Bits of an n-gram's hash below those that its block implies.
 REST_BITS = 40
-#: Star rounds go on while the pairs left exceed this many per posting, as long as a round
-#: takes a quarter of them away.
+#: Star rounds end when the pairs left are at most so many per posting, or after so many
+#: rounds; all pairs left are then compared.
 PAIRS_PER_POSTING = 4
+STAR_ROUNDS = 3
+#: Leaders of a column's rows of one size, after the first round.
+LEADERS = 8
 #: Classes of like size per doubling of the size.
 SIZE_CLASSES = 4
-#: Rows of a tile, and columns of a slab, of the products within one column.
-TILE_ROWS = 512
-SLAB_COLUMNS = 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -321,16 +320,18 @@ def link_rows(rows: DataFrame, folder: str) -> DataFrame:
     every = saved(_postings(rows), f"{folder}/postings-all")
     shared = every.groupBy("gram").agg(F.count("*").alias("k"), F.count_if(F.expr(_LEADS)).alias("lead")).where("k > 1 AND lead > 0")
     postings = saved(every.join(shared.select("gram"), "gram", "left_semi"), f"{folder}/postings")
-    total, left, step = postings.count(), None, 0
+    total, step = postings.count(), 0
     links, labelled = None, postings.withColumn("label", F.col("row"))
     while True:
-        # leaders: of a column's rows of like size the first by a random order; sizes and
-        # order change each round
+        # leaders: of a column's rows of like size the first by some random orders, one order in
+        # the first round; sizes and orders change each round
         size = F.floor(SIZE_CLASSES * F.log2("n") + step / 2)
-        order = F.when(F.expr(_LEADS), F.struct(F.xxhash64(F.col("row"), F.lit(step)).alias("h"), "row", "n", "most", "label"))
+        orders = [F.min(F.when(F.expr(_LEADS), F.struct(F.xxhash64(F.col("row"), F.lit(step), F.lit(k)).alias("h"), "row", "n", "most", "label")))
+                  for k in range(LEADERS if step else 1)]
         sized = labelled.withColumn("size", size)
-        columns = (sized.groupBy("gram", "size").agg(F.min(order).alias("lead"), F.min("label").alias("low"), F.max("label").alias("high"))
-                   .where("low < high").select("gram", "size", "lead.*").drop("h")
+        columns = (sized.groupBy("gram", "size").agg(F.array_distinct(F.array(*orders)).alias("leads"),
+                                                     F.min("label").alias("low"), F.max("label").alias("high"))
+                   .where("low < high").select("gram", "size", F.explode("leads").alias("lead")).select("gram", "size", "lead.*").drop("h")
                    .toDF("gram", "size", "leader", "n_leader", "most_leader", "label_leader"))
         pairs = _pairs(sized.join(columns, ["gram", "size"]).where(
             (F.col("label") != F.col("label_leader")) & _fit("n", "most", "n_leader", "most_leader")), "leader")
@@ -338,94 +339,15 @@ def link_rows(rows: DataFrame, folder: str) -> DataFrame:
         new = saved(_links(pairs, rows), f"{folder}/star-{step}")
         links = new if links is None else links.unionByName(new)
         labelled = saved(_classes(postings, links), f"{folder}/labels-{step}")
-        before, (left, columns) = left, _open_columns(labelled)
-        if left <= PAIRS_PER_POSTING * total or (step > 2 and 4 * left > 3 * before):
+        left, columns = _open_columns(labelled)
+        if left <= PAIRS_PER_POSTING * total or step == STAR_ROUNDS:
             break
     if not left:
         return links
-    rest = labelled.join(columns, "gram", "left_semi")
-    return links.unionByName(saved(_column_products(rest, rows), f"{folder}/rest"))
-
-
-def _column_products(rest: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links (a, b), a spanning forest per block, of the rows of one column that differ in
-    label.  A column's rows are dealt into tiles; a block is the product of two tiles over
-    all n-grams of their rows, in slabs, of which the entries below the bound that the two
-    sizes set are discarded."""
-    def product(left: list[tuple], right: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        both = left + right
-        sizes = np.fromiter((len(r[3]) for r in both), np.int64, len(both))
-        columns, at = np.unique(np.concatenate([r[3] for r in both]), return_inverse=True)
-        owner = np.repeat(np.arange(len(both)), sizes)
-        shared = np.bincount(at, minlength=len(columns)) > 1
-        number = np.cumsum(shared) - 1
-        keep = shared[at]
-        at, owner = number[at[keep]], owner[keep]
-        overlap = np.zeros((len(left), len(right)), np.float32)
-        for start in range(0, int(shared.sum()), SLAB_COLUMNS):
-            here = (at >= start) & (at < start + SLAB_COLUMNS)
-            slab = np.zeros((len(both), SLAB_COLUMNS), np.float32)
-            slab[owner[here], at[here] - start] = 1
-            overlap += slab[: len(left)] @ slab[len(left):].T
-        n = np.fromiter((r[1] for r in both), np.float64, len(both))
-        sums = n[: len(left), None] + n[None, len(left):]
-        i, j = np.nonzero(DENOMINATOR * overlap >= NUMERATOR * (sums - overlap))
-        return i, j + len(left)
-
-    def edges(key_rows: list[tuple], one: bool) -> set[tuple[int, int]]:
-        left = [r for r in key_rows if r[4]] if not one else key_rows
-        right = [r for r in key_rows if not r[4]] if not one else key_rows
-        if not left or not right or len({r[2] for r in left + right}) < 2:
-            return set()
-        i, j = product(left, right)
-        both = left + right
-        lead = {r[0]: r[0] for r in both}
-
-        def find(x: int) -> int:
-            while lead[x] != x:
-                lead[x] = lead[lead[x]]
-                x = lead[x]
-            return x
-
-        first: dict[int, int] = {}
-        for r in both:  # rows of one label are connected already
-            lead[find(r[0])] = find(first.setdefault(r[2], r[0]))
-        out = set()
-        for a, b in zip(i.tolist(), j.tolist(), strict=True):
-            x, y = both[a][0], both[b][0]
-            if find(x) != find(y):
-                lead[find(x)] = find(y)
-                out.add((max(x, y), min(x, y)))
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, found = None, [], set()
-        for batch in batches:
-            grams = batch.column("grams")
-            plain = [batch.column(c).to_pylist() for c in ("gram", "i", "j", "row", "n", "label", "first")]
-            for k, (gram, i, j, row, n, label, first) in enumerate(zip(*plain, strict=True)):
-                if (gram, i, j) != key:
-                    if held:
-                        found |= edges(held, key[1] == key[2])
-                    key, held = (gram, i, j), []
-                held.append((row, n, label, grams[k].values.to_numpy(), first))
-            if len(found) > BLOCK_ENTRIES // 8:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
-                found = set()
-        if held:
-            found |= edges(held, key[1] == key[2])
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
-
-    tiles = rest.groupBy("gram").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles"))
-    dealt = rest.join(tiles, "gram").withColumn("own", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "n", "label",
-        (F.col("own") <= F.col("other")).alias("first"))
-    whole = dealt.join(rows.select("row", "grams"), "row")
-    keys = ["gram", "i", "j"]
-    return (whole.repartition(parallelism(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-            .select(*keys, "row", "n", "label", "first", "grams").mapInArrow(run, "a long, b long").distinct())
+    rest = saved(labelled.join(columns, "gram", "left_semi"), f"{folder}/open")
+    other = rest.where(_LEADS).toDF(*[f"{c}_2" if c != "gram" else c for c in rest.columns])
+    cross = rest.join(other, "gram").where((F.col("label") != F.col("label_2")) & _fit("n", "most", "n_2", "most_2"))
+    return links.unionByName(saved(_links(_pairs(cross, "row_2"), rows), f"{folder}/rest"))
 
 
 def _open_columns(labelled: DataFrame) -> tuple[int, DataFrame]:
