@@ -11,7 +11,8 @@ ceil(t n) of them with any partner, so
   and places in that order leave room for the overlap that the pair needs.
 
 A column's rows are not paired with each other: each is multiplied with a few leaders of
-its size only, whose links merge rows into classes; what is left are rows of different classes in one column, which are paired in full.  Equal sets are one row throughout.
+its size only, whose links merge rows into classes; what is left are rows of different
+classes in one column, which are paired in full.  Equal sets are one row throughout.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ WORDS = 5
 #: Similarity as a fraction, so that comparisons stay in integers.
 NUMERATOR, DENOMINATOR = 3, 4
 #: Text bytes hashed at once, and matrix entries held before a block is cut.
-HASH_BYTES = 4_000_000
-BLOCK_ENTRIES = 2_000_000
+HASH_BYTES = 1_000_000
+BLOCK_ENTRIES = 500_000
 #: Blocks of columns per shuffle partition.
 BLOCKS_PER_PARTITION = 8
 #: Bits of an n-gram's hash below those that its block implies.

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from lakeshore.llm import quality, url_filter
 
-_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _A_TO_Z = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 NGRAM_JOIN = f"""
@@ -16,7 +16,7 @@ WITH RECURSIVE w AS (
 ),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
   FROM w
 ),
@@ -35,8 +35,8 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, MIN(r) AS compo
 EMBEDDINGS = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND NOT list_contains(list_transform(embedding, x -> x IS NULL OR NOT isfinite(x)), true)
-    AND list_contains(list_transform(embedding, x -> x <> 0), true)
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)
+    AND list_contains(list_transform(embedding, lambda x: x <> 0), true)
 ),
 l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -119,7 +119,7 @@ def _quality() -> str:
     usual = r"[\x20\x09-\x0Da-zß-öø-ÿ]+"
     counts = ", ".join(f"length(marked) - length(regexp_replace(marked, '{c}', '', 'g'))" for c in classes)
     common = " ".join(
-        f"WHEN '{lang}' THEN [{', '.join(f'len(list_filter(w, x -> x = {chr(39)}{word}{chr(39)}))' for word in words)}]"
+        f"WHEN '{lang}' THEN [{', '.join(f'len(list_filter(w, lambda x: x = {chr(39)}{word}{chr(39)}))' for word in words)}]"
         for lang, words in quality.COMMON_WORDS.items())
     n = len(classes) + 3
 
@@ -137,7 +137,7 @@ def _quality() -> str:
     return rf"""
 WITH a AS (SELECT row_number() OVER () AS i, doc_id, lang, coalesce(text, '') AS t FROM documents),
 b AS (
-  SELECT *, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+  SELECT *, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
     regexp_replace(t, '{usual}', '', 'g') AS marked
   FROM a
 ),
@@ -152,7 +152,7 @@ twice AS (SELECT i, k FROM windows QUALIFY COUNT(*) OVER (PARTITION BY i, g) > 1
 covered AS (SELECT i, COUNT(DISTINCT k + o) AS n FROM twice, (VALUES (0), (1), (2)) v(o) GROUP BY i),
 d AS (
   SELECT c.*, coalesce(covered.n, 0) AS n_repeat_words,
-    list_transform(list_concat([chars - word_chars, word_chars - n_marked], classes, [n_marked - list_sum(classes)]), x -> CAST(x AS DOUBLE)) AS char_bins
+    list_transform(list_concat([chars - word_chars, word_chars - n_marked], classes, [n_marked - list_sum(classes)]), lambda x: CAST(x AS DOUBLE)) AS char_bins
   FROM c LEFT JOIN covered USING (i)
 ),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM d),
