@@ -36,6 +36,7 @@ INLINE = frozenset(
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
+PARAGRAPHS = frozenset("p li dt dd td th tr h1 h2 h3 h4 h5 h6 pre blockquote figcaption caption".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
             "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody"), "body": ("head",)}
 SCOPE = frozenset("html body table ul ol dl select article section main div td th".split())
@@ -176,13 +177,15 @@ def main_text(page: str | None) -> str:
     owners = [b for b in blocks if b.node.label in chosen]
     if any(b.node.in_article for b in owners):
         return " ".join(b.text for b in blocks if b.node.in_article)
-    # without an article: all blocks below the deepest node that holds most of the chosen text
+    # without an article: all blocks below the deepest node that holds most of the chosen
+    # text and is no paragraph or the like itself
     chars: dict[int, int] = {}
     nodes: dict[int, tuple[int, Node]] = {}
     for b in owners:
         chain, node = [], b.node
         while node is not None:
-            chain.append(node)
+            if node.name not in PARAGRAPHS:
+                chain.append(node)
             node = node.parent
         for depth, node in enumerate(reversed(chain)):
             chars[id(node)] = chars.get(id(node), 0) + len(b.text)

@@ -124,7 +124,8 @@ def _quality() -> str:
     n = len(classes) + 3
 
     def sums(name: str, bins: int) -> str:
-        return f"[{', '.join(f'CAST(SUM({name}[{i + 1}]) AS DOUBLE)' for i in range(bins))}]"
+        share = "coalesce(CAST(SUM(CAST(trunc(1000000 * {n}[{i}] / nullif(list_sum({n}), 0)) AS BIGINT)) AS DOUBLE), 0)"
+        return f"[{', '.join(share.format(n=name, i=i + 1) for i in range(bins))}]"
 
     def distance(mine: str, theirs: str, bins: int) -> str:
         part = "CASE WHEN {x} > 0 THEN {x} * log2({x} / (({p} + {q}) / 2)) ELSE 0.0 END"

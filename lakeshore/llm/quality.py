@@ -1,8 +1,8 @@
 """Quality rules: base counts of a text, and its divergence from a language's reference.
 
 A text's histograms of character classes and of common function words are compared with
-the reference of its language (the sums over every text of that language that passes the
-base rules) by the Jensen-Shannon distance.  Texts and histograms that are too short for a
+the reference of its language (the mean histogram of every text of that language that passes
+the base rules) by the Jensen-Shannon distance.  Texts and histograms that are too short for a
 stable estimate are not judged by it.  Only built-in column functions are used.
 """
 
@@ -116,10 +116,13 @@ def _histograms(df: DataFrame, lang: str) -> DataFrame:
 
 
 def references(counted: DataFrame, lang: str = "lang") -> DataFrame:
-    """One row per language (a null language is one): the summed bins of the texts that pass
-    the base rules."""
+    """One row per language (a null language is one): the summed shares, in millionths, of
+    the bins of each text that passes the base rules.  Every text weighs alike, so that a
+    few long ones do not make the reference."""
     def sums(name, n):
-        return F.array(*[F.sum(F.col(name)[i]) for i in range(n)]).alias(f"r_{name}")
+        total = _total(F.col(name))
+        shares = [F.when(total > 0, F.expr(f"1000000 * {name}[{i}]") / total).cast("long") for i in range(n)]
+        return F.array(*[F.coalesce(F.sum(x), F.lit(0)) for x in shares]).alias(f"r_{name}")
 
     return (counted.where(~F.col("base_failed")).groupBy(F.col(f"`{lang}`").alias("r_lang"))
             .agg(sums("char_bins", CHAR_BINS), sums("word_bins", WORD_BINS)))
