@@ -215,7 +215,7 @@ def _shared_columns(matrix: DataFrame, partitions: int) -> DataFrame:
         order = np.argsort(owner, kind="stable")
         owner, number = owner[order], number[order]
         heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-        ends = np.append(heads[1:], len(owner))
+        ends = np.append(heads[1:], len(owner))[: len(heads)]
         data = number.astype("<u8").tobytes()
         return pa.RecordBatch.from_arrays(
             [pa.array(owner[heads], pa.int64()), pa.array(ends - heads, pa.int64()),

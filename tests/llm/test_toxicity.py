@@ -13,7 +13,7 @@ def test_folding_makes_disguises_plain():
 
 
 def test_longest_match_word_starts_and_exceptions():
-    matcher = Matcher(Model({" trash ": 2.0, " lowei": 3.0}, (" trash can ",)))
+    matcher = Matcher(Model({" trash ": 2.0, fold("lowei")[:-1]: 3.0}, (" trash can ",)))
     assert [w for _, w in matcher.hits(fold("Trash, loweiä and slowei trashy"))] == [2.0, 3.0]
     assert matcher.hits(fold("the trash can")) == []
     assert Matcher(Model({})).hits(fold("anything")) == []
@@ -34,7 +34,8 @@ def corpus(spark):
 def test_training_finds_the_words_and_scores_all_rows(spark):
     docs, labels = corpus(spark)
     model = train(docs, labels)
-    assert {" moron ", " ioser "} <= set(model.weights)
+    for word in ("moron", "loser"):  # as a whole or by its beginning
+        assert any(fold(word).startswith(entry) for entry in model.weights)
     scored = score(docs, model)
     assert scored.columns == ["doc_id", "text", "score"] and scored.count() == docs.count()
     for r in scored.collect():
