@@ -41,7 +41,7 @@ REST_BITS = 40
 #: Star rounds end when the pairs left are at most so many per posting, or after so many
 #: rounds; all pairs left are then compared.
 PAIRS_PER_POSTING = 4
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 #: Leaders of a column's rows of one size, after the first round.
 LEADERS = 8
 #: Classes of like size per doubling of the size.
