@@ -2,8 +2,8 @@
 
 A page's text blocks are grouped by their root-to-leaf tag path.  A path's text length and
 punctuation per block are smoothed over neighbouring paths, fused with what the path's
-elements stand for, and compared with a threshold; the paths that pass name the content
-nodes, whose blocks, less boilerplate parts, are the text.
+elements stand for, and compared with a threshold; the blocks on paths that pass are the
+content, widened to the container that covers them, less boilerplate parts.
 """
 
 from __future__ import annotations
@@ -50,9 +50,11 @@ DROPPED_WORDS = frozenset(
     "comments disqus reply replies respond footer copyright toolbar pagination pager paywall".split())
 #: Only outside an article: the page's own header.
 DROPPED_HEADERS = frozenset("header masthead topbar".split())
+#: Nodes that stand for the whole page, which is no container of its text.
+WHOLE = frozenset(["", "html", "body"])
 MAIN_WORDS = frozenset("article content main post story entry body text".split())
-#: Weight of a path with an article or main element, with a word of MAIN_WORDS, and others.
-ARTICLE_WEIGHT, MAIN_WEIGHT, OTHER_WEIGHT = 1e6, 3.0, 1.0
+#: Weight of a path with an article or main element or a word of MAIN_WORDS, and others.
+MAIN_WEIGHT, OTHER_WEIGHT = 3.0, 1.0
 #: Smoothing over neighbouring paths, and the share of the best fused value that passes.
 SMOOTHING = (0.25, 0.5, 0.25)
 THRESHOLD = 0.15
@@ -92,7 +94,7 @@ def _open(name: str, rest: str, parent: Node | None) -> Node:
         if not in_article and name != "article":
             dropped = dropped or name == "header" or not DROPPED_HEADERS.isdisjoint(words)
     in_article = in_article or name in ("article", "main") or marks.get("role", "").lower() == "main"
-    weight = ARTICLE_WEIGHT if in_article else MAIN_WEIGHT if not MAIN_WORDS.isdisjoint(words) else OTHER_WEIGHT
+    weight = MAIN_WEIGHT if in_article or not MAIN_WORDS.isdisjoint(words) else OTHER_WEIGHT
     label = f"{parent.label if parent else ''}/{name}{''.join('.' + w for w in words)}"
     return Node(name, label, parent, dropped, max(weight, parent.main if parent else 0.0), in_article)
 
@@ -153,11 +155,11 @@ def text_blocks(page: str) -> list[Block]:
     return [b for b in blocks if b.text]
 
 
-def content_paths(blocks: list[Block]) -> set[str]:
-    """The tag paths whose fused ratio passes the threshold."""
-    paths: dict[str, list[float]] = {}
+def content_blocks(blocks: list[Block]) -> list[Block]:
+    """The blocks on tag paths whose fused ratio passes the threshold."""
+    paths: dict[tuple[str, float], list[float]] = {}
     for b in blocks:
-        row = paths.setdefault(b.node.label, [0, 0, 0, b.node.main])
+        row = paths.setdefault((b.node.label, b.node.main), [0, 0, 0, b.node.main])
         row[0] += len(b.text)
         row[1] += len(_PUNCTUATION.findall(b.text))
         row[2] += 1
@@ -165,7 +167,47 @@ def content_paths(blocks: list[Block]) -> set[str]:
     text, marks = table[:, 0] / table[:, 2], (table[:, 1] + 1) / table[:, 2]
     smooth = [np.convolve(np.pad(x, 1, "edge"), SMOOTHING, "valid") for x in (text, marks)]
     fused = np.sqrt(smooth[0] * smooth[1]) * table[:, 3]
-    return {path for path, x in zip(paths, fused, strict=True) if x >= THRESHOLD * fused.max()}
+    passing = {path for path, x in zip(paths, fused, strict=True) if x >= THRESHOLD * fused.max()}
+    return [b for b in blocks if (b.node.label, b.node.main) in passing]
+
+
+def _chain(node: Node) -> list[Node]:
+    """The nodes from the page to ``node`` that are no paragraphs or the like."""
+    chain = []
+    at: Node | None = node
+    while at is not None:
+        if at.name not in PARAGRAPHS:
+            chain.append(at)
+        at = at.parent
+    return chain[::-1]
+
+
+def _common(nodes: list[Node]) -> Node:
+    """The deepest node that covers all ``nodes`` and is no paragraph or the like."""
+    chain = _chain(nodes[0])
+    depth = {id(n): i for i, n in enumerate(chain)}
+    least = len(chain) - 1
+    for node in nodes[1:]:
+        at: Node | None = node
+        while id(at) not in depth:
+            at = at.parent
+        least = min(least, depth[id(at)])
+    return chain[least]
+
+
+def containers(chosen: list[Block]) -> list[Node]:
+    """The node that covers all chosen blocks; where that is the whole page, the node of
+    each of its parts that covers the part's chosen blocks, if there is one."""
+    keep = _common([b.node for b in chosen])
+    if keep.name not in WHOLE:
+        return [keep]
+    parts: dict[int, list[Node]] = {}
+    for b in chosen:
+        at = b.node
+        while at is not keep and at.parent is not keep:
+            at = at.parent
+        parts.setdefault(id(at), []).append(b.node)
+    return [node for nodes in parts.values() if (node := _common(nodes)).name not in WHOLE]
 
 
 def main_text(page: str | None) -> str:
@@ -173,33 +215,21 @@ def main_text(page: str | None) -> str:
     blocks = text_blocks(page or "")
     if not blocks:
         return ""
-    chosen = content_paths(blocks)
-    owners = [b for b in blocks if b.node.label in chosen]
-    if any(b.node.in_article for b in owners):
-        return " ".join(b.text for b in blocks if b.node.in_article)
-    # without an article: all blocks below the deepest node that holds most of the chosen
-    # text and is no paragraph or the like itself
-    chars: dict[int, int] = {}
-    nodes: dict[int, tuple[int, Node]] = {}
-    for b in owners:
-        chain, node = [], b.node
-        while node is not None:
-            if node.name not in PARAGRAPHS:
-                chain.append(node)
-            node = node.parent
-        for depth, node in enumerate(reversed(chain)):
-            chars[id(node)] = chars.get(id(node), 0) + len(b.text)
-            nodes[id(node)] = (depth, node)
-    total = sum(len(b.text) for b in owners)
-    _, top = max(((nodes[k][0], k) for k, n in chars.items() if n >= 0.8 * total), default=(0, None))
-    keep = nodes[top][1]
-
-    def below(node: Node | None) -> bool:
-        while node is not None and node is not keep:
-            node = node.parent
-        return node is keep
-
-    return " ".join(b.text for b in blocks if below(b.node))
+    chosen = content_blocks(blocks)
+    passing = set(map(id, chosen))
+    inside: dict[int, bool] = {id(node): True for node in containers(chosen)}
+
+    def below(node: Node) -> bool:
+        seen = []
+        at: Node | None = node
+        while at is not None and id(at) not in inside:
+            seen.append(id(at))
+            at = at.parent
+        found = at is not None and inside[id(at)]
+        inside.update(dict.fromkeys(seen, found))
+        return found
+
+    return " ".join(b.text for b in blocks if id(b) in passing or below(b.node))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

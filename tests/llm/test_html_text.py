@@ -30,6 +30,17 @@ def test_cases(page):
     assert main_text(page) == CASES[page]
 
 
+def test_scores_decide():
+    """A teaser in an article does not outvote the text, and no passing block is dropped."""
+    long = " ".join(["Long text, with marks, of the page's own."] * 5)
+    teaser = "<article class=card>Read this, too.</article>"
+    assert long in main_text(f"<div id=content><p>{long}</p><p>{long} End.</p></div>{teaser}")
+    assert long in main_text(f"<div><p>{long}</p><p>{long} End.</p></div>{teaser}")
+    parts = [f"{long} {k}" for k in range(10)]
+    page = "<div class=a>" + "".join(f"<p>{x}</p>" for x in parts[:9]) + f"</div><div class=b><p>{parts[9]}</p></div>"
+    assert " ".join(parts) in main_text(f"<html><body>{page}<div class=c>Link</div></body></html>")
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + "deep text" + "</div>" * 5000) == "deep text"
     assert len(main_text("<article>" + "<p>word, word.</p>" * 50000)) == 50000 * 12 - 1
