@@ -48,6 +48,9 @@ DROPPED_WORDS = frozenset(
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar widget widgets related recommended share sharing social comment "
     "comments disqus reply replies respond footer copyright toolbar pagination pager paywall".split())
+#: A class or id with one of these words tells about the element's surroundings, as in
+#: "no-sidebar" or "comments-open", and does not mark it.
+STATES = frozenset("no not with without has have is hide hides show shows open opened closed enabled disabled".split())
 #: Only outside an article: the page's own header.
 DROPPED_HEADERS = frozenset("header masthead topbar".split())
 #: Nodes that stand for the whole page, which is no container of its text.
@@ -55,6 +58,8 @@ WHOLE = frozenset(["", "html", "body"])
 MAIN_WORDS = frozenset("article content main post story entry body text".split())
 #: Weight of a path with an article or main element or a word of MAIN_WORDS, and others.
 MAIN_WEIGHT, OTHER_WEIGHT = 3.0, 1.0
+#: Factor of paths below an element that may be boilerplate, by a part of its class or id.
+MARKED_WEIGHT = 0.1
 #: Smoothing over neighbouring paths, and the share of the best fused value that passes.
 SMOOTHING = (0.25, 0.5, 0.25)
 THRESHOLD = 0.15
@@ -68,6 +73,11 @@ class Node:
     dropped: bool
     main: float
     in_article: bool
+    marked: bool = False
+
+    @property
+    def weight(self) -> float:
+        return self.main * (MARKED_WEIGHT if self.marked else 1.0)
 
 
 @dataclass
@@ -81,22 +91,43 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
 
 
+def _marks(tokens: list[list[str]], outside: bool) -> tuple[bool, bool]:
+    """Whether one of the classes and ids, each given as its words, consists of boilerplate
+    words, and whether one holds such a word besides others."""
+    whole = part = False
+    for words in tokens:
+        if not STATES.isdisjoint(words):
+            continue
+        found = [w in DROPPED_WORDS for w in words]
+        if outside and MAIN_WORDS.isdisjoint(words):
+            found = [f or w in DROPPED_HEADERS for f, w in zip(found, words, strict=True)]
+        whole = whole or (bool(words) and all(found))
+        part = part or any(found)
+    return whole, part
+
+
 def _open(name: str, rest: str, parent: Node | None) -> Node:
     marks = _attributes(rest) if rest.strip(" /\n\t") else {}
-    words = _NAME.findall(f"{marks.get('class', '')} {marks.get('id', '')}".lower())
+    tokens = [_NAME.findall(t) for t in f"{marks.get('class', '')} {marks.get('id', '')}".lower().split()]
+    words = [w for t in tokens for w in t]
     in_article = bool(parent and parent.in_article)
-    whole = name in ("html", "body", "main")
+    outside = not in_article and name != "article"
+    role = marks.get("role", "").lower()
     dropped = bool(parent and parent.dropped) or name in DROPPED
-    if not whole and not dropped:
-        dropped = (not DROPPED_WORDS.isdisjoint(words) or marks.get("role", "").lower() in DROPPED_ROLES
-                   or "hidden" in marks or marks.get("aria-hidden", "").lower() == "true"
-                   or "display:none" in marks.get("style", "").replace(" ", "").lower())
-        if not in_article and name != "article":
-            dropped = dropped or name == "header" or not DROPPED_HEADERS.isdisjoint(words)
-    in_article = in_article or name in ("article", "main") or marks.get("role", "").lower() == "main"
-    weight = MAIN_WEIGHT if in_article or not MAIN_WORDS.isdisjoint(words) else OTHER_WEIGHT
+    marked = bool(parent and parent.marked)
+    if name not in ("html", "body", "main") and not dropped:
+        dropped = (role in DROPPED_ROLES or "hidden" in marks or marks.get("aria-hidden", "").lower() == "true"
+                   or "display:none" in marks.get("style", "").replace(" ", "").lower() or (outside and name == "header"))
+        whole, part = _marks(tokens, outside)
+        # a container of main text is not dropped for its class; an article in an article may be a comment
+        holds = any(len(t) == 1 and t[0] in MAIN_WORDS for t in tokens) or role == "main"
+        if whole and not holds and (in_article or name != "article"):
+            dropped = True
+        marked = marked or part
+    in_article = in_article or name in ("article", "main") or role == "main"
+    main = MAIN_WEIGHT if in_article or not MAIN_WORDS.isdisjoint(words) else OTHER_WEIGHT
     label = f"{parent.label if parent else ''}/{name}{''.join('.' + w for w in words)}"
-    return Node(name, label, parent, dropped, max(weight, parent.main if parent else 0.0), in_article)
+    return Node(name, label, parent, dropped, max(main, parent.main if parent else 0.0), in_article, marked)
 
 
 def text_blocks(page: str) -> list[Block]:
@@ -159,7 +190,7 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
     """The blocks on tag paths whose fused ratio passes the threshold."""
     paths: dict[tuple[str, float], list[float]] = {}
     for b in blocks:
-        row = paths.setdefault((b.node.label, b.node.main), [0, 0, 0, b.node.main])
+        row = paths.setdefault((b.node.label, b.node.weight), [0, 0, 0, b.node.weight])
         row[0] += len(b.text)
         row[1] += len(_PUNCTUATION.findall(b.text))
         row[2] += 1
@@ -168,7 +199,7 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
     smooth = [np.convolve(np.pad(x, 1, "edge"), SMOOTHING, "valid") for x in (text, marks)]
     fused = np.sqrt(smooth[0] * smooth[1]) * table[:, 3]
     passing = {path for path, x in zip(paths, fused, strict=True) if x >= THRESHOLD * fused.max()}
-    return [b for b in blocks if (b.node.label, b.node.main) in passing]
+    return [b for b in blocks if (b.node.label, b.node.weight) in passing]
 
 
 def _chain(node: Node) -> list[Node]:
@@ -229,7 +260,7 @@ def main_text(page: str | None) -> str:
         inside.update(dict.fromkeys(seen, found))
         return found
 
-    return " ".join(b.text for b in blocks if id(b) in passing or below(b.node))
+    return " ".join(b.text for b in blocks if id(b) in passing or (not b.node.marked and below(b.node)))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

@@ -41,6 +41,22 @@ def test_scores_decide():
     assert " ".join(parts) in main_text(f"<html><body>{page}<div class=c>Link</div></body></html>")
 
 
+MARKS = ["<div id=content class=with-sidebar>{}</div>", "<div class=no-sidebar>{}</div>", "<article class='post comments-open'>{}</article>",
+         "<article class='post no-comments'>{}</article>", "<div class=layout-sidebar-right>{}</div>", "<article class='entry share'>{}</article>"]
+
+
+@pytest.mark.parametrize("page", MARKS)
+def test_a_container_is_not_dropped_for_a_part_of_its_class(page):
+    text = "The page's own text, whole. And some more of it, too."
+    assert main_text(page.format(f"<p>{text}</p>")) == text
+
+
+def test_parts_named_as_boilerplate_are_left_out():
+    text = " ".join(["Long text, with marks. And more of it."] * 9)
+    for name in ("sidebar-left", "cookie-notice", "site-footer", "sidebar"):
+        assert main_text(f"<article><p>{text}</p><div class={name}>Other.</div></article>") == text, name
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + "deep text" + "</div>" * 5000) == "deep text"
     assert len(main_text("<article>" + "<p>word, word.</p>" * 50000)) == 50000 * 12 - 1
