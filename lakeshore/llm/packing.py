@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END_
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, added=True)
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):

@@ -46,31 +46,43 @@ def load_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added (special) tokens of a ``.json`` file and their ids; other files have none."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file).get("added_tokens", ())}
+
+
 class Encoder:
-    """Ids and byte lengths of tokens; strings of special tokens are ordinary text.
+    """Ids and byte lengths of tokens; strings of special tokens are ordinary text, or, with
+    ``added``, those of the file's added tokens are these tokens, as in the library's plain call.
 
     The look-ahead of the pattern only matters where white space stands in runs; other
     texts, which are most, are split by the same pattern without it, which is faster.
     """
 
-    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, added: bool = False):
         ranks = load_ranks(path)
-        self._full = tiktoken.Encoding("full", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        special = added_tokens(path) if added else {}
+        self._special = set(special)
+        self._full = tiktoken.Encoding("full", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         plain = pattern.replace(r"|\s+(?!\S)", "")
-        self._plain = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens={})
-        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, rank in ranks.items():
+        self._plain = tiktoken.Encoding("plain", pat_str=plain, mergeable_ranks=ranks, special_tokens=special)
+        sized = ranks | {content.encode(): i for content, i in special.items()}
+        self.sizes = np.zeros(max(sized.values()) + 1, np.int64)
+        for token, rank in sized.items():
             self.sizes[rank] = len(token)
 
     def encode(self, text: str) -> np.ndarray:
         runs = ("  " in text or "\n\n" in text or "\n " in text or " \n" in text or _RARE_SPACE.search(text))
-        return (self._full if runs else self._plain).encode_to_numpy(text, disallowed_special=())
+        return (self._full if runs else self._plain).encode_to_numpy(text, allowed_special=self._special, disallowed_special=())
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder per process and vocabulary."""
-    return Encoder(path)
+def encoder(path: str, added: bool = False) -> Encoder:
+    """One encoder per process, vocabulary and reading of added tokens."""
+    return Encoder(path, added=added)
 
 
 def token_spans(text: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -97,3 +97,14 @@ def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     rows = op7_best_fit_packing(spark, SF001).collect()
     assert verify(rows, docs) <= 1.02 * -(-sum(r.length for r in rows) // 1024) + 2
+
+
+def test_added_tokens_as_in_the_library(spark):
+    """Against the library's plain call, nothing set on it."""
+    reference = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n y<|endoftext|><|endoftext|> z", "no <|endoftext| >"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], SCHEMA)
+    got = {r[0]: (r[3], r[4]) for r in pack_documents(docs).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(reference.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes())), text
