@@ -30,9 +30,8 @@ LOOKALIKES = dict(zip("аеорсхуіѕјԁһкмтвнαοινρτκυεηχ"
 DIGITS = dict(zip("0134578", "oieastb", strict=True))
 #: Beginnings of words of these lengths are lexicon candidates besides whole words.
 PREFIXES = (4, 5, 6)
-#: Bounds of the training sample (rows of each label) and of the lexicon.
+#: Bound of the training sample (rows of each label), and so of the lexicon.
 SAMPLE_ROWS = 20_000
-LEXICON_SIZE = 1000
 #: A lexicon entry occurs in so many toxic texts, and its odds ratio, at the lower end of a
 #: one-sided 95 % interval, reaches so much.
 MIN_SUPPORT = 4
@@ -169,18 +168,17 @@ def _words_and_beginnings():
 
 
 def _lexicon(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """The entries by log-odds; of an entry and longer ones that begin with it, the first."""
+    """The entries by log-odds; of an entry and longer ones that begin with it, the first.
+    All that begin with an entry share its first letters, so they are compared in a group."""
     odds = ((F.col("pos") + 0.5) / F.lit(toxic + 1.0)) / ((F.col("neg") + 0.5) / F.lit(clean + 1.0))
     spread = INTERVAL * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    best = (counts.where(F.col("pos") >= MIN_SUPPORT).withColumn("odds", odds)
-            .where(F.log("odds") - spread >= math.log(MIN_ODDS))
-            .orderBy(F.desc("pos"), "feature").limit(LEXICON_SIZE).collect())
-    kept: dict[str, float] = {}
-    for row in sorted(best, key=lambda r: (len(r["feature"].rstrip()), r["feature"])):
-        entry = row["feature"]
-        if not any(entry[:n] in kept for n in range(2, len(entry))):
-            kept[entry] = math.log(row["odds"])
-    return kept
+    alike = (counts.where(F.col("pos") >= MIN_SUPPORT).withColumn("odds", odds)
+             .where(F.log("odds") - spread >= math.log(MIN_ODDS))
+             .groupBy(F.substring("feature", 1, 1 + min(PREFIXES))).agg(F.collect_list(F.struct("feature", "odds")).alias("entries")))
+    first = F.filter("entries", lambda e: ~F.exists("entries", lambda o: (
+        F.length(o["feature"]) < F.length(e["feature"])) & e["feature"].startswith(o["feature"])))
+    kept = alike.select(F.inline(first)).orderBy("feature").collect()
+    return {row["feature"]: math.log(row["odds"]) for row in kept}
 
 
 def _contexts(model: Model):
@@ -228,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model({})
     model = Model(_lexicon(_counted(sample, _words_and_beginnings), toxic, clean))
     phrases = (_counted(sample, _contexts(model)).where((F.col("neg") >= MIN_EXCEPTION) & (F.col("neg") * toxic > 3 * F.col("pos") * clean))
-               .orderBy(F.desc("neg"), "feature").limit(LEXICON_SIZE).collect())
+               .orderBy(F.desc("neg"), "feature").collect())
     model = Model(model.weights, tuple(r["feature"] for r in phrases))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

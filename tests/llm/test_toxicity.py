@@ -46,6 +46,15 @@ def test_training_finds_the_words_and_scores_all_rows(spark):
             assert r.score < 0.5
 
 
+def test_every_qualified_entry_is_in_the_lexicon(spark):
+    """400 words of four candidates each, of which the shortest beginning covers the others."""
+    words = [f"{a}{b}{c}xyzuvw" for a in "abcdefghij" for b in "abcdefgh" for c in "stuvw"]
+    rows = [(f, 50, 0) for w in words for f in (f" {w} ", f" {w[:4]}", f" {w[:5]}", f" {w[:6]}")]
+    rows += [(" weak ", 3, 0), (" both ", 50, 50), (" abs ", 50, 0)]
+    kept = toxicity._lexicon(spark.createDataFrame(rows, "feature string, pos long, neg long"), 100, 100)
+    assert set(kept) == {f" {w[:4]}" for w in words} | {" abs "}
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     docs, labels = corpus(spark)
     out = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5 == 0]
