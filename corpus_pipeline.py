@@ -2,13 +2,14 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``.  All but the last return the columns
-that they are given; the last returns the packed pieces.  Rows without doc_id cannot be
-told apart and are dropped by the first stage; rows that repeat a doc_id share its fate.
+that they are given; the last returns the packed pieces.  Rows without doc_id are dropped by
+the first stage; rows that repeat a doc_id are judged by their own text and language there.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeshore.llm import toxicity
 from lakeshore.llm.common import saved, work_folder
@@ -21,8 +22,11 @@ from lakeshore.sources.tables import read_table
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules (operator 6) keep; the references are those of the
     documents given.  Null and empty texts go."""
-    counted = saved(base_counts(docs.select("doc_id", "text", "lang")).drop("text"), work_folder(spark, "quality"))
-    return docs.join(judge(counted).where("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    rows = docs.select("doc_id", "text", "lang", F.sha2("text", 256).alias("digest"))
+    counted = saved(base_counts(rows).drop("text"), work_folder(spark, "quality"))
+    kept = judge(counted).where("kept").select(F.col("doc_id").alias("k_id"), F.col("lang").alias("k_lang"), F.col("digest").alias("k_digest"))
+    same = (docs["doc_id"] == F.col("k_id")) & docs["lang"].eqNullSafe(F.col("k_lang")) & (F.sha2(docs["text"], 256) == F.col("k_digest"))
+    return docs.join(kept, same, "left_semi").select(docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +38,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate class (operator 2) the document of the smallest doc_id; of
-    rows that repeat it, one."""
+    rows that repeat it and its text, one."""
     kept = near_duplicates(docs).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    digest = "__digest"
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn(digest, F.sha2("text", 256))
+    return rows.dropDuplicates(["doc_id", digest]).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,13 @@ def test_odd_rows(spark):
         docs, empty = stage(spark, docs, SF001), stage(spark, empty, SF001)
         assert empty.count() == 0, name
         assert {r.doc_id for r in docs.collect()} == ({1, 2} if name in ("quality", "toxicity") else {1}), name
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_own_text(spark):
+    schema = "doc_id long, text string, lang string"
+    one, two = (" ".join(f"the {name}{k} of word{k}{name}," for k in range(60)) for name in ("plain", "other"))
+    docs = spark.createDataFrame([(1, one, "en"), (1, two, "en"), (1, two, "en"), (1, "short", "en"), (1, None, "en"), (2, two + " x", None)], schema)
+    first = corpus_pipeline.quality_stage(spark, docs, SF001)
+    assert sorted(r.text for r in first.collect()) == sorted([one, two, two, two + " x"])
+    third = corpus_pipeline.near_duplicate_stage(spark, first.where("doc_id = 1"), SF001)
+    assert sorted(r.text for r in third.collect()) == sorted([one, two])
