@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,3 +59,30 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def in_turn_order(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows of a key in one partition and in ``order`` (nulls first): the shuffle's sort
+    spills, so a task that reads them as a stream holds no key whole."""
+    return rows.repartition(parallelism(rows.sparkSession), key).sortWithinPartitions(key, *order)
+
+
+class Rows:
+    """Rows of a mapInArrow step, cut into batches by their number and their text."""
+
+    def __init__(self, schema: pa.Schema, most_rows: int = 8192, most_bytes: int = 8 << 20) -> None:
+        self.schema, self.most_rows, self.most_bytes = schema, most_rows, most_bytes
+        self.rows: list[tuple] = []
+        self.bytes = 0
+
+    def add(self, *row, size: int = 0) -> None:
+        self.rows.append(row)
+        self.bytes += size
+
+    def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        """What is full, or with ``last`` all that is left."""
+        if len(self.rows) >= self.most_rows or self.bytes >= self.most_bytes or last and self.rows:
+            columns = zip(*self.rows, strict=True)
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, self.schema, strict=True)]
+            self.rows, self.bytes = [], 0
+            yield pa.RecordBatch.from_arrays(arrays, schema=self.schema)

@@ -1,11 +1,11 @@
 """DuckDB SQL of the queries that SQL can express, written from their definitions.
 
-Operators 1, 5, 7, 9 and 10 and the pipeline are checked against brute force in the tests.
+Operators 1, 5, 7, 9, 10 and 12 and the pipeline are checked against brute force in the tests.
 """
 
 from __future__ import annotations
 
-from lakeshore.llm import quality, url_filter
+from lakeshore.llm import chat_format, quality, url_filter
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _A_TO_Z = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -176,10 +176,60 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.h) AS payload_digest,
   CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f ON p.h = f.h"""
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)
+),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, n.b AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+WINDOW best AS (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b)
+QUALIFY row_number() OVER best <= 5"""
+
+
+def _chat() -> str:
+    template = chat_format.PLAIN
+    before, after = "lag(role) OVER turns", "lead(role) OVER turns"
+    heads = " ".join(f"WHEN '{r}' THEN {len(p.head)}" for r, p in template.parts.items())
+    steps = " OR ".join(f"({before} {'IS NULL' if a is None else f'= {a!r}'} AND role = {b!r})"
+                        for a, bs in template.follows.items() for b in bs if b is not None)
+    ends = ", ".join(f"{a!r}" for a, bs in template.follows.items() if None in bs)
+    marks = "|".join(("\\\\", *template.controls))
+    text = chat_format.ADDED_TEXT
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES ({chat_format.ADDED_ID}, 0, 'user', '{text}'), ({chat_format.ADDED_ID}, 1, 'assistant', '{text}')
+),
+f AS (
+  SELECT *, CASE role {heads} ELSE {len(template.other.head + template.name_end)} + length(regexp_replace(role, '({marks})', '\\\\\\1', 'g')) END
+    + length(regexp_replace(text, '({marks})', '\\\\\\1', 'g')) + {len(template.other.tail)} AS chars,
+    CAST(NOT coalesce({steps}, false) AS BIGINT) + CAST({after} IS NULL AND role NOT IN ({ends}) AS BIGINT) AS illegal
+  FROM t WINDOW turns AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(SUM(CASE role WHEN 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE role WHEN 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  CAST(SUM(chars) AS BIGINT) AS formatted_chars, CAST(SUM(illegal) AS BIGINT) AS illegal_turns
+FROM f GROUP BY conv_id"""
+
+
 ORACLE = {
     "op2_ngram_jaccard_join": NGRAM_JOIN.strip(),
     "op3_embedding_near_dedup": EMBEDDINGS.strip(),
     "op4_url_filters": _url_filter().strip(),
     "op6_quality_rules": _quality().strip(),
     "op8_warc": WARC.strip(),
+    "op11_hard_negatives": HARD_NEGATIVES.strip(),
+    "op13_chat_formatting": _chat().strip(),
 }
