@@ -111,6 +111,18 @@ SELECT pickup_datetime, dropoff_datetime, passenger_count, trip_distance, pu_loc
        payment_type, fare_amount, tip_amount, total_amount, pickup_date,
        CASE WHEN src = 'B' THEN airport_fee END AS airport_fee
 FROM valid
+"""),
+    "silver_type_drift": _with("""
+SELECT pickup_datetime, dropoff_datetime, passenger_count, trip_distance, pu_location_id, do_location_id,
+       payment_type, fare_amount, tip_amount, total_amount, pickup_date,
+       CAST(pu_location_id AS VARCHAR) AS zone, CAST(do_location_id AS DOUBLE) AS fee,
+       CAST(do_location_id AS VARCHAR) AS level, CASE WHEN src_line > 5 THEN 'late ' || pu_location_id END AS note,
+       CAST(pu_location_id AS VARCHAR) AS tag, CAST(pu_location_id AS BIGINT) AS prop
+FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY pickup_datetime, dropoff_datetime, pu_location_id, do_location_id, passenger_count, trip_distance, total_amount) AS rn
+  FROM valid
+) WHERE rn = 1
 """),
     "gold_daily": _with("SELECT * FROM daily_trip_metrics"),
     "gold_location": _with("SELECT * FROM location_metrics"),

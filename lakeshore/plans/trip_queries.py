@@ -13,7 +13,7 @@ from lakeshore.operators import gold, silver
 from lakeshore.plans import SMOKE_SQL_DIR, SQL_DIR
 from lakeshore.plans.runner import lazy_parameters, parameter_row, run_sql
 from lakeshore.sources.tables import register_views
-from lakeshore.sources.trips import raw_sources
+from lakeshore.sources.trips import drifted_sources, raw_sources
 
 
 def silver_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,15 @@ def q_silver_union_drift(spark, sf_dir):
     return silver.union_sources([silver.clean(df) for df in (a, b)])
 
 
+def q_silver_type_drift(spark, sf_dir):
+    """Sources whose carried columns drift in type, case and nested fields (maps
+    among them), resolved, united and deduplicated."""
+    df = silver.silver_trips(drifted_sources(spark, sf_dir))
+    return df.select(
+        *silver.SILVER_COLUMNS, F.col("zone").alias("zone"), F.col("fee").alias("fee"), F.col("info.level").alias("level"), F.col("info.note").alias("note"),
+        F.col("tags")[0].alias("tag"), F.col("props")["pickup"].alias("prop"))
+
+
 def q_gold_daily(spark, sf_dir):
     return gold.daily_trip_metrics(silver_frame(spark, sf_dir))
 
@@ -90,6 +99,7 @@ QUERIES = {
     "silver_trips": q_silver_trips,
     "rejection_report": q_rejection_report,
     "silver_union_drift": q_silver_union_drift,
+    "silver_type_drift": q_silver_type_drift,
     "gold_daily": q_gold_daily,
     "gold_location": q_gold_location,
     "gold_payment": q_gold_payment,

@@ -80,5 +80,22 @@ def raw_source_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drifted_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Sources A and B whose carried columns differ in type, case and nested fields; the
+    lines that both hold have equal values in them."""
+    lines = raw_trip_lines(spark, sf_dir)
+    pickup, dropoff = F.col("PULocationID"), F.col("DOLocationID")
+    a = lines.where(F.col("src_line") <= SOURCE_A_MAX_LINE).select(
+        "*", pickup.cast("int").alias("Zone"), dropoff.cast("int").alias("fee"), F.lit("not a date").alias("Pickup_Date"),
+        F.struct(dropoff.cast("int").alias("level")).alias("info"), F.array(pickup.cast("int")).alias("tags"),
+        F.create_map(F.lit("pickup"), pickup.cast("int")).alias("props"))
+    late = F.when(F.col("src_line") > SOURCE_A_MAX_LINE, F.concat(F.lit("late "), pickup))
+    b = lines.where(F.col("src_line") >= SOURCE_B_MIN_LINE).select(
+        "*", pickup.cast("string").alias("zone"), dropoff.cast("double").alias("Fee"),
+        F.struct(late.alias("note"), dropoff.cast("string").alias("Level")).alias("info"), F.array(pickup.cast("string")).alias("tags"),
+        F.create_map(F.lit("pickup"), pickup.cast("bigint")).alias("props"))
+    return [df.drop("src_line", "_tax") for df in (a, b)]
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [raw_source_a(spark, sf_dir), raw_source_b(spark, sf_dir)]
