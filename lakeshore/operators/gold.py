@@ -2,8 +2,8 @@
 
 Each is one hash aggregate with partial (map-side) aggregation, so a hot
 ``pickup_date`` holding a third of the trips is reduced before the shuffle.  Sums are
-decimal wherever that loses nothing (see ``exact_sum``), so gold is reproducible bit for
-bit on money values; averages are that sum / count.
+of whole millionths wherever that loses nothing (see ``exact_sum``), so gold is reproducible
+bit for bit on money values; averages are that sum / count.
 No ``orderBy`` before the write (T15): row order is not a property of a stored table.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.functions import choose_sum, exact_avg, exact_sum, is_lossy, wide
+from lakeshore.functions import choose_sum, exact_avg, exact_sum, is_lossy, millionths
 
 
 def daily_trip_metrics(silver: DataFrame) -> DataFrame:
@@ -48,72 +48,72 @@ def payment_metrics(silver: DataFrame) -> DataFrame:
     )
 
 
-GROUPING_KEYS = ("pickup_date", "pu_location_id", "do_location_id", "payment_type")
-# grouping_id of each table's grouping set over GROUPING_KEYS (first key = highest bit,
-# 1 = rolled up): daily keeps only the date, location the date and the location pair,
-# payment the date and the payment type.
-GROUPING_IDS = {
-    "daily_trip_metrics": 0b0111,
-    "location_metrics": 0b0001,
-    "payment_metrics": 0b0110,
+#: The finest grains that no other table can be rolled up from, and what each measures.
+#: ``daily_trip_metrics`` is rolled up from the payment grain, a few rows per date.
+GRAINS = {
+    "location": (("pickup_date", "pu_location_id", "do_location_id"), ("total_amount", "trip_distance")),
+    "payment": (("pickup_date", "payment_type"), ("total_amount", "fare_amount", "tip_amount", "trip_distance")),
 }
 
 
-def gold_measures(silver: DataFrame) -> DataFrame:
-    """The measures of all three gold tables in one scan and one shuffle.
+def gold_measures(silver: DataFrame) -> dict[str, DataFrame]:
+    """The additive measures of each grain, one hash aggregate of primitive buffers each.
 
-    ``GROUPING SETS ((date), (date, pickup, dropoff), (date, payment))`` with wide decimal
-    sums, the number of values that those would change, plain double sums (used where there
-    are such values) and non-NULL counts; every gold column is a sum or a ratio of these, so
-    the tables split off by ``gid`` equal the three separate aggregates bit for bit.
-    A ``NULL`` payment type stays its own group (``gid`` tells it from a rolled-up key).
+    Per amount: the total in millionths (``s_``), the number of values that those would change
+    (``l_``; a total beyond 64 bits counts as one), the plain double sum (``f_``, used where
+    there are such values) and the number of values (``n_``).  Sums of these over the rows of
+    a coarser group are that group's measures, so every gold column is a sum or a ratio of
+    them.  The two grains read different columns of silver, and the location grain is about
+    as large as silver: rolling both up from one aggregate over all four keys, or expanding
+    every row into a row per table, shuffles more than the second, pruned scan costs.
     """
-    amounts = {"total": "total_amount", "fare": "fare_amount", "tip": "tip_amount", "dist": "trip_distance"}
-    sums = [m for name, c in amounts.items() for m in (
-        F.try_sum(wide(c)).alias(f"s_{name}"), F.count_if(is_lossy(c)).alias(f"l_{name}"), F.sum(c).alias(f"f_{name}"))]
-
-    return silver.groupingSets(
-        [["pickup_date"], ["pickup_date", "pu_location_id", "do_location_id"], ["pickup_date", "payment_type"]],
-        *GROUPING_KEYS,
-    ).agg(
-        F.grouping_id().alias("gid"),
-        F.count(F.lit(1)).alias("trip_count"),
-        *sums,
-        F.count("trip_distance").alias("n_dist"),
-        F.count("tip_amount").alias("n_tip"),
-        F.sum("passenger_count").alias("s_pass"),
-        F.count("passenger_count").alias("n_pass"),
-    )
+    return {name: _totals(silver, keys, amounts) for name, (keys, amounts) in GRAINS.items()}
 
 
-def split_gold(measures: DataFrame) -> dict[str, DataFrame]:
-    """The three gold tables from :func:`gold_measures`, in their column order."""
-    def dbl(c: str):
-        if c.startswith("s_") and c != "s_pass":
-            return choose_sum(F.col(c), F.col("l_" + c[2:]), F.col("f_" + c[2:]))
-        return F.col(c).cast("double")
+def _totals(silver: DataFrame, keys: tuple[str, ...], amounts: tuple[str, ...]) -> DataFrame:
+    measures = [F.count(F.lit(1)).alias("trip_count")]
+    for c in amounts:
+        measures += [F.try_sum(millionths(c)).alias(f"s_{c}"), F.count_if(is_lossy(c)).alias(f"l_{c}"), F.sum(c).alias(f"f_{c}"),
+                     F.count(c).alias(f"n_{c}")]
+    if "payment_type" in keys:
+        measures += [F.sum("passenger_count").alias("s_passengers"), F.count("passenger_count").alias("n_passengers")]
+    return _overflows_counted(silver.groupBy(*keys).agg(*measures), amounts)
+
+
+def _overflows_counted(measures: DataFrame, amounts: tuple[str, ...]) -> DataFrame:
+    return measures.withColumns({
+        f"l_{c}": F.col(f"l_{c}") + F.when(F.col(f"s_{c}").isNull() & (F.col(f"n_{c}") > 0), 1).otherwise(0) for c in amounts})
 
-    def ratio(a: str, b: str):
-        return F.try_divide(dbl(a), dbl(b))
 
-    def part(name: str) -> DataFrame:
-        return measures.where(F.col("gid") == GROUPING_IDS[name])
+def roll_up(measures: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Measures of a coarser grain."""
+    amounts = tuple(c[2:] for c in measures.columns if c.startswith("f_"))
+    added = [c for c in measures.columns if c == "trip_count" or c[:2] in ("s_", "l_", "f_", "n_")]
+    totals = [(F.try_sum(c) if c.startswith("s_") else F.sum(c)).alias(c) for c in added]
+    return _overflows_counted(measures.groupBy(*keys).agg(*totals), amounts)
+
+
+def split_gold(measures: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three gold tables from :func:`gold_measures`, in their column order."""
+    def total(c: str):
+        return choose_sum(F.col(f"s_{c}"), F.col(f"l_{c}"), F.col(f"f_{c}"))
+
+    def average(c: str):
+        return F.try_divide(total(c), F.col(f"n_{c}").cast("double"))
 
+    passengers = F.try_divide(F.col("s_passengers").cast("double"), F.col("n_passengers").cast("double"))
     return {
-        "daily_trip_metrics": part("daily_trip_metrics").select(
-            "pickup_date", "trip_count",
-            dbl("s_total").alias("total_revenue"), dbl("s_fare").alias("fare_revenue"),
-            dbl("s_tip").alias("total_tip"), ratio("s_dist", "n_dist").alias("avg_trip_distance"),
-            ratio("s_pass", "n_pass").alias("avg_passenger_count"),
+        "daily_trip_metrics": roll_up(measures["payment"], ("pickup_date",)).select(
+            "pickup_date", "trip_count", total("total_amount").alias("total_revenue"), total("fare_amount").alias("fare_revenue"),
+            total("tip_amount").alias("total_tip"), average("trip_distance").alias("avg_trip_distance"), passengers.alias("avg_passenger_count"),
         ),
-        "location_metrics": part("location_metrics").select(
+        "location_metrics": measures["location"].select(
             "pickup_date", "pu_location_id", "do_location_id", "trip_count",
-            dbl("s_total").alias("total_revenue"), ratio("s_dist", "n_dist").alias("avg_trip_distance"),
+            total("total_amount").alias("total_revenue"), average("trip_distance").alias("avg_trip_distance"),
         ),
-        "payment_metrics": part("payment_metrics").select(
-            "pickup_date", "payment_type", "trip_count",
-            dbl("s_total").alias("total_revenue"), dbl("s_fare").alias("fare_revenue"),
-            dbl("s_tip").alias("total_tip"), ratio("s_tip", "n_tip").alias("avg_tip_amount"),
+        "payment_metrics": measures["payment"].select(
+            "pickup_date", "payment_type", "trip_count", total("total_amount").alias("total_revenue"),
+            total("fare_amount").alias("fare_revenue"), total("tip_amount").alias("total_tip"), average("tip_amount").alias("avg_tip_amount"),
         ),
     }
 

@@ -153,14 +153,12 @@ def silver_to_gold(
     month: str | None = None,
     replace_all: bool = False,
 ) -> dict[str, Any]:
-    """B2: the three gold tables from one scan of silver, each written with an observed
-    row count.
+    """B2: the three gold tables, each written with an observed row count.
 
-    One ``GROUPING SETS`` aggregate computes the measures of all three tables in a single
-    scan and shuffle (``gold.gold_measures``); its result -- gold-sized, far smaller than
-    silver -- is written to the shared checkpoint folder, the three tables are split off
-    it and written concurrently, and it is deleted.  Three separate aggregates would scan
-    silver three times.
+    Silver is aggregated to the two finest grains (``gold.gold_measures``), each from a scan
+    of the columns it needs.  The location table is one of them; the other, a few rows per
+    date, is written to the shared checkpoint folder, the payment and the daily table are
+    made from it, and it is deleted.  The location table is built beside them.
 
     ``layout``: ``partitioned`` (default) has a directory per ``pickup_date``; an overwrite
     replaces the dates present and keeps all others, and the external tables read it.
@@ -175,22 +173,25 @@ def silver_to_gold(
     uris = gold_uris(gold_root, year, month)
     scratch = f"{ensure_checkpoint_dir(spark)}/gold-measures-{uuid.uuid4().hex}"
     measures = gold.gold_measures(silver_df)
-    measures.write.parquet(scratch)
-    tables = gold.split_gold(spark.read.schema(measures.schema).parquet(scratch))
+    schema = measures["payment"].schema
 
-    def build_and_write(name):
+    def build_and_write(name, df):
         obs = Observation(name)
         if layout == "clustered":
-            write_clustered(tables[name], uris[name], mode, observation=obs, replace_all=replace_all)
+            write_clustered(df, uris[name], mode, observation=obs, replace_all=replace_all)
         else:
-            write_partitioned(tables[name], uris[name], mode, layout="range", observation=obs)
+            write_partitioned(df, uris[name], mode, layout="range", observation=obs)
         return name, obs.get["rows"]
 
-    # Three independent writes submitted concurrently: the scheduler interleaves their
-    # tasks and the driver-side commits overlap.
+    # Independent writes submitted concurrently: the scheduler interleaves their tasks and
+    # the driver-side commits overlap.
     try:
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            rows = dict(pool.map(build_and_write, tables))
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            jobs = [pool.submit(build_and_write, "location_metrics", gold.split_gold(measures)["location_metrics"])]
+            measures["payment"].write.parquet(scratch)
+            tables = gold.split_gold(measures | {"payment": spark.read.schema(schema).parquet(scratch)})
+            jobs += [pool.submit(build_and_write, name, tables[name]) for name in ("daily_trip_metrics", "payment_metrics")]
+            rows = dict(job.result() for job in jobs)
     finally:
         remove_folder(spark, scratch)
     return {
