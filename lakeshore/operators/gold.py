@@ -93,29 +93,44 @@ def roll_up(measures: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return _overflows_counted(measures.groupBy(*keys).agg(*totals), amounts)
 
 
-def split_gold(measures: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The three gold tables from :func:`gold_measures`, in their column order."""
-    def total(c: str):
-        return choose_sum(F.col(f"s_{c}"), F.col(f"l_{c}"), F.col(f"f_{c}"))
+def _total(c: str):
+    return choose_sum(F.col(f"s_{c}"), F.col(f"l_{c}"), F.col(f"f_{c}"))
+
 
-    def average(c: str):
-        return F.try_divide(total(c), F.col(f"n_{c}").cast("double"))
+def _average(c: str):
+    return F.try_divide(_total(c), F.col(f"n_{c}").cast("double"))
 
+
+def _daily(measures: dict[str, DataFrame]) -> DataFrame:
     passengers = F.try_divide(F.col("s_passengers").cast("double"), F.col("n_passengers").cast("double"))
-    return {
-        "daily_trip_metrics": roll_up(measures["payment"], ("pickup_date",)).select(
-            "pickup_date", "trip_count", total("total_amount").alias("total_revenue"), total("fare_amount").alias("fare_revenue"),
-            total("tip_amount").alias("total_tip"), average("trip_distance").alias("avg_trip_distance"), passengers.alias("avg_passenger_count"),
-        ),
-        "location_metrics": measures["location"].select(
-            "pickup_date", "pu_location_id", "do_location_id", "trip_count",
-            total("total_amount").alias("total_revenue"), average("trip_distance").alias("avg_trip_distance"),
-        ),
-        "payment_metrics": measures["payment"].select(
-            "pickup_date", "payment_type", "trip_count", total("total_amount").alias("total_revenue"),
-            total("fare_amount").alias("fare_revenue"), total("tip_amount").alias("total_tip"), average("tip_amount").alias("avg_tip_amount"),
-        ),
-    }
+    return roll_up(measures["payment"], ("pickup_date",)).select(
+        "pickup_date", "trip_count", _total("total_amount").alias("total_revenue"), _total("fare_amount").alias("fare_revenue"),
+        _total("tip_amount").alias("total_tip"), _average("trip_distance").alias("avg_trip_distance"), passengers.alias("avg_passenger_count"))
+
+
+def _location(measures: dict[str, DataFrame]) -> DataFrame:
+    return measures["location"].select(
+        "pickup_date", "pu_location_id", "do_location_id", "trip_count",
+        _total("total_amount").alias("total_revenue"), _average("trip_distance").alias("avg_trip_distance"))
+
+
+def _payment(measures: dict[str, DataFrame]) -> DataFrame:
+    return measures["payment"].select(
+        "pickup_date", "payment_type", "trip_count", _total("total_amount").alias("total_revenue"),
+        _total("fare_amount").alias("fare_revenue"), _total("tip_amount").alias("total_tip"), _average("tip_amount").alias("avg_tip_amount"))
+
+
+_FROM_MEASURES = {"daily_trip_metrics": _daily, "location_metrics": _location, "payment_metrics": _payment}
+
+
+def gold_table(name: str, measures: dict[str, DataFrame]) -> DataFrame:
+    """One gold table from :func:`gold_measures`, in its column order."""
+    return _FROM_MEASURES[name](measures)
+
+
+def split_gold(measures: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The three gold tables from :func:`gold_measures`."""
+    return {name: gold_table(name, measures) for name in _FROM_MEASURES}
 
 
 GOLD_TABLES = {

@@ -175,8 +175,8 @@ def silver_to_gold(
     measures = gold.gold_measures(silver_df)
     schema = measures["payment"].schema
 
-    def build_and_write(name, df):
-        obs = Observation(name)
+    def build_and_write(name, measures):
+        obs, df = Observation(name), gold.gold_table(name, measures)
         if layout == "clustered":
             write_clustered(df, uris[name], mode, observation=obs, replace_all=replace_all)
         else:
@@ -187,10 +187,10 @@ def silver_to_gold(
     # the driver-side commits overlap.
     try:
         with ThreadPoolExecutor(max_workers=3) as pool:
-            jobs = [pool.submit(build_and_write, "location_metrics", gold.split_gold(measures)["location_metrics"])]
+            jobs = [pool.submit(build_and_write, "location_metrics", measures)]
             measures["payment"].write.parquet(scratch)
-            tables = gold.split_gold(measures | {"payment": spark.read.schema(schema).parquet(scratch)})
-            jobs += [pool.submit(build_and_write, name, tables[name]) for name in ("daily_trip_metrics", "payment_metrics")]
+            stored = {"payment": spark.read.schema(schema).parquet(scratch)}
+            jobs += [pool.submit(build_and_write, name, stored) for name in ("daily_trip_metrics", "payment_metrics")]
             rows = dict(job.result() for job in jobs)
     finally:
         remove_folder(spark, scratch)

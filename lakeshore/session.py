@@ -65,10 +65,26 @@ def build_session(
     spark = builder.getOrCreate()
     for key, value in _PINNED.items():
         spark.conf.set(key, value)
-    apply_defaults(spark, _DEFAULTS, explicit=extra or {})
+    apply_defaults(spark, _DEFAULTS | _listing_defaults(spark), explicit=extra or {})
     return spark
 
 
+#: Spark's own limit of the tasks that list a table's directories, and the tasks a core.
+MOST_LISTING_TASKS, LISTING_TASKS_PER_CORE = 10_000, 4
+
+
+def _listing_defaults(spark: SparkSession) -> dict[str, str]:
+    """Directories of a partitioned table are listed by a job.  Spark gives each directory a
+    task of its own up to its limit, which costs more than the listing where there are
+    thousands of dates and few cores; a few tasks a core list many directories each."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: the server's own setting applies
+        return {}
+    tasks = min(MOST_LISTING_TASKS, LISTING_TASKS_PER_CORE * cores)
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}
+
+
 def apply_defaults(spark: SparkSession, defaults: dict[str, str], explicit: dict[str, str] | None = None) -> list[str]:
     """Set each default the cluster configuration leaves unset; returns the keys set."""
     try:
