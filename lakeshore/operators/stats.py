@@ -4,9 +4,9 @@ percentiles (A17).
 
 Percentiles are exact, with linear interpolation on rank ``(n-1)*p`` (the reference's
 rule and Spark's).  Spark's own ``percentile`` keeps all distinct values of a group in
-one aggregation buffer, i.e. one task per group; ``exact_percentiles`` computes the same
-numbers without that: a group holding a third of all rows is range-split over many
-tasks and only (group, bucket)-sized pieces are ever co-located.
+one aggregation buffer, i.e. one task per group; ``exact_percentiles`` selects the same
+ranks by radix histograms: counts by the leading digits of the value, refined level by
+level, so no task holds more than the digits below one prefix of one group.
 """
 
 from __future__ import annotations
@@ -17,89 +17,83 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshore.functions import round_half_up
-from lakeshore.session import ensure_checkpoint_dir
 
 
-def exact_percentiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    ps: Sequence[float],
-    buckets: int | None = None,
-) -> DataFrame:
+#: Bits that a value's number is shifted by at each level; digits have ``DIGIT_BITS``.
+DIGIT_BITS = 16
+LEVEL_SHIFTS = (48, 32, 16, 0)
+
+
+def ordered_bits(value: Column) -> Column:
+    """A BIGINT in the order of the doubles (NaN last): the bits of the number, those below
+    the sign turned round for negative ones."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("bigint")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+
+
+def _levels(df: DataFrame, keys: list[str], value: str) -> list[DataFrame]:
+    """Counts (``_c``) by group and by the value's leading digits (``_prefix``, ``_parent``
+    without the last of them), coarsest first; the last level has the values (``_v``)."""
+    def digits(level: DataFrame, shift: int, number: Column) -> DataFrame:
+        parent = F.shiftright(number, DIGIT_BITS) if shift < LEVEL_SHIFTS[0] else F.lit(0).cast("bigint")
+        return level.withColumn("_prefix", number).withColumn("_parent", parent)
+
+    # (group, value) -> count: partial map-side, so repeated values shrink before the shuffle,
+    # and a group with many values is spread over all tasks
+    counted = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_c")))
+    levels = [digits(counted, 0, ordered_bits(F.col("_v")))]
+    for shift in LEVEL_SHIFTS[-2::-1]:
+        finer = levels[0].groupBy(*keys, F.col("_parent").alias("_number")).agg(F.sum("_c").alias("_c"))
+        levels.insert(0, digits(finer, shift, F.col("_number")).drop("_number"))
+    return levels
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence[float]) -> DataFrame:
     """A17 at scale: one row per group of ``keys`` that has a non-NULL ``value``, with
     ``n`` (non-NULL values) and one column ``p<p>`` per requested percentile.
 
-    1. ``(keys, value) -> count``: a hash aggregate, partial map-side, so repeated values
-       (a hot group of identical durations) shrink before the shuffle;
-    2. range partitioning on ``(keys, value)`` into ``buckets`` tasks: a group with many
-       distinct values spans many buckets.  The bucketed table is checkpointed to the
-       session's checkpoint folder so bucket numbers are fixed for both uses below;
-    3. rows per (group, bucket) -> each bucket's rank offset within its group and the
-       group size (windows over at most ``buckets`` rows per group);
-    4. each wanted rank (two per percentile) is located in its bucket by a join on the
-       group keys with the bucket's rank range, then in the bucket by an equi join on
-       (keys, bucket) with a running count inside the bucket -- bucket-sized pieces only.
+    Rank selection by radix histograms: the values' order-preserving bits are four digits of
+    16 bits.  Each level counts the rows by one more digit (hash aggregates, partial
+    map-side, each from the level below); a wanted rank finds its digit by an equi join on
+    (group, digits so far) with the running count there, and goes on below it with the
+    rank that is left.  A group with a third of the rows is spread by its values; what
+    meets in one task are the at most 65,536 digits below one prefix.  All of it is one lazy
+    plan: nothing runs, and nothing is written, until the result is asked for.
     """
     for p in ps:
         if p < 0 or p > 100:
             raise ValueError("percentile must be between 0 and 100")
     keys = list(keys)
-    spark = df.sparkSession
-    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    bucketed = (
-        counted.repartitionByRange(n_buckets, *keys, "_v")
-        .withColumn("_b", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    per_bucket = bucketed.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bn"))
-    by_group = Window.partitionBy(*keys)
-    per_bucket = per_bucket.select(
-        *keys, "_b",
-        (F.sum("_bn").over(by_group.orderBy("_b")) - F.col("_bn")).alias("_off"),
-        (F.col("_bn")).alias("_bn"),
-        F.sum("_bn").over(by_group).alias("n"),
-    )
-    groups = per_bucket.select(*keys, "n").distinct()
-
-    # Two ranks per (group, percentile): floor and ceil of (n-1)*p.
-    targets = groups.select(
-        *keys, "n",
-        F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("_p"),
-    ).withColumn("_pos", (F.col("n") - 1) * (F.col("_p") / 100.0))
-    ranks = targets.select(
-        *keys, "_p", "_pos",
-        F.explode(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))).alias("_rank"),
-    ).distinct()
-    located = _null_safe_join(ranks, per_bucket.select(*keys, "_b", "_off", "_bn"), keys, "inner").where(
-        (F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_bn"))
-    ).select(*keys, "_p", "_pos", "_rank", "_b", (F.col("_rank") - F.col("_off")).alias("_local"))
-
-    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = bucketed.select(*keys, "_b", "_v", "_c", F.sum("_c").over(in_bucket).alias("_end"))
-    found = _null_safe_join(located, running, [*keys, "_b"], "inner").where(
-        (F.col("_local") >= F.col("_end") - F.col("_c")) & (F.col("_local") < F.col("_end"))
-    ).select(*keys, "_p", "_pos", "_rank", "_v")
-
-    lo, hi = F.floor("_pos"), F.ceil("_pos")
-    v_lo = F.max(F.when(F.col("_rank") == lo, F.col("_v")))
-    v_hi = F.max(F.when(F.col("_rank") == hi, F.col("_v")))
-    pos = F.first("_pos")
-    # Same arithmetic as Spark's percentile: (hi - pos) * v_lo + (pos - lo) * v_hi.
-    interp = F.when((F.first(lo) == F.first(hi)) | (v_lo == v_hi), v_lo).otherwise(
-        (F.first(hi) - pos) * v_lo + (pos - F.first(lo)) * v_hi
-    )
-    per_p = found.groupBy(*keys, "_p").agg(interp.alias("_val"))
-    wide = per_p.groupBy(*keys).pivot("_p", [float(p) for p in ps]).agg(F.first("_val"))
-    renamed = wide.select(*keys, *[F.col(f"`{float(p)}`").alias(f"p{_label(p)}") for p in ps])
-    out = _null_safe_join(groups, renamed, keys, "left")
-    return out.select(*keys, "n", *[f"p{_label(p)}" for p in ps])
+    levels = _levels(df, keys, value)
+    groups = levels[0].groupBy(*keys).agg(F.sum("_c").alias("n"))
+
+    # two ranks per (group, percentile): floor and ceil of (n-1)*p
+    wanted = groups.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("_p"), ((F.col("n") - 1) * (F.lit(float(p)) / 100.0)).alias("_pos")) for p in ps])).alias("_t"))
+    ranks = wanted.select(*keys, "_t.*").select(
+        *keys, "_p", "_pos", F.explode(F.array_distinct(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint")))).alias("_at"))
+    found = ranks.withColumn("_rank", F.col("_at")).withColumn("_parent", F.lit(0).cast("bigint"))
+    for level in levels:
+        running = Window.partitionBy(*keys, "_parent").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = level.withColumn("_end", F.sum("_c").over(running)).withColumn("_start", F.col("_end") - F.col("_c"))
+        values = ["_v"] if "_v" in level.columns else []
+        found = _null_safe_join(found, placed, [*keys, "_parent"], "inner").where(
+            (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))).select(
+            *keys, "_p", "_pos", "_at", (F.col("_rank") - F.col("_start")).alias("_rank"), F.col("_prefix").alias("_parent"), *values)
+
+    def interpolated(p: float) -> Column:
+        # the arithmetic of Spark's percentile: (hi - pos) * v_lo + (pos - lo) * v_hi
+        mine = F.col("_p") == float(p)
+        lo, hi = F.floor("_pos"), F.ceil("_pos")
+        v_lo = F.max(F.when(mine & (F.col("_at") == lo), F.col("_v")))
+        v_hi = F.max(F.when(mine & (F.col("_at") == hi), F.col("_v")))
+        pos = F.max(F.when(mine, F.col("_pos")))
+        return F.when((F.floor(pos) == F.ceil(pos)) | (v_lo == v_hi), v_lo).otherwise(
+            (F.ceil(pos) - pos) * v_lo + (pos - F.floor(pos)) * v_hi)
+
+    per_group = found.groupBy(*keys).agg(*[interpolated(p).alias(f"p{_label(p)}") for p in ps])
+    return _null_safe_join(groups, per_group, keys, "left").select(*keys, "n", *[f"p{_label(p)}" for p in ps])
 
 
 def _label(p: float) -> str:
