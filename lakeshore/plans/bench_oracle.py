@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lakeshore.operators.fingerprint import TREE_LEVELS
 from lakeshore.plans.oracle_sql import TRIP_ORACLE
 
 
@@ -114,11 +115,31 @@ def _counts() -> str:
     return "\nUNION ALL\n".join(f"SELECT '{n}' AS query_name, COUNT(*) AS rows_returned FROM ({TRIP_ORACLE[n]})" for n in names)
 
 
-_LINEITEM_TEXT = """concat_ws('|', {})""".format(", ".join(
-    f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '~')" if c in ("l_discount", "l_extendedprice", "l_quantity", "l_tax")
-    else f"coalesce(strftime({c}, '%Y-%m-%dT%H:%M:%S'), '~')" if c.endswith("date")
-    else f"coalesce(CAST({c} AS VARCHAR), '~')"
-    for c in sorted(LINEITEM_COLUMNS)))
+def _lineitem_text(*dropped: str) -> str:
+    def text(c: str) -> str:
+        if c in ("l_discount", "l_extendedprice", "l_quantity", "l_tax"):
+            return f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)"
+        return f"strftime({c}, '%Y-%m-%dT%H:%M:%S')" if c.endswith("date") else f"CAST({c} AS VARCHAR)"
+
+    columns = [text(c) for c in sorted(LINEITEM_COLUMNS) if c not in dropped]
+    return " || ".join(f"coalesce(length({c}) || ':' || {c}, '~')" for c in columns)
+
+
+def _tree() -> str:
+    level = f"""l AS (
+  SELECT key, COUNT(*) AS n, key || ':' || COUNT(*) AS item
+  FROM (SELECT sha256({_lineitem_text("l_orderkey", "l_extendedprice", "l_partkey")}) AS key FROM lineitem) GROUP BY key
+)"""
+    below, digest = "l", "sha256(string_agg(item, chr(10) ORDER BY item))"
+    for digits in TREE_LEVELS[:-1]:
+        level += f""",
+l{digits} AS (
+  SELECT substr(key, 1, {digits}) AS key, SUM(n) AS n, substr(key, 1, {digits}) || ':' || {digest} AS item
+  FROM {below} GROUP BY substr(key, 1, {digits})
+)"""
+        below = f"l{digits}"
+    return f"WITH {level}\nSELECT CAST(SUM(n) AS BIGINT) AS row_count, {digest} AS root_sha256 FROM {below}"
+
 
 BENCH_ORACLE |= {
     "run_records": f"""WITH {RUN_RECORDS.strip()}
@@ -131,6 +152,7 @@ SELECT 'events' AS run_id, phase, CAST(event_id % 3 + 1 AS BIGINT) AS iteration,
     "gold_payment_from_measures": TRIP_ORACLE["gold_payment"],
     "table_fingerprint": f"""
 SELECT COUNT(*) AS row_count,
-  CAST(SUM(CAST(('0x' || substr(sha256({_LINEITEM_TEXT}), 1, 15))::BIGINT AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS hash_sum
+  CAST(SUM(CAST(('0x' || substr(sha256({_lineitem_text()}), 1, 15))::BIGINT AS DECIMAL(38,0))) AS DECIMAL(38,0)) AS hash_sum
 FROM lineitem""",
+    "tree_fingerprint": _tree(),
 }

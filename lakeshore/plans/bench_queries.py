@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from lakeshore.operators import fingerprint, gold, stats
 from lakeshore.plans.trip_queries import QUERIES as TRIP_QUERIES
 from lakeshore.plans.trip_queries import QUERY_FILES, silver_frame
-from lakeshore.sources.records import RUN_RECORD_SCHEMA, run_records, storage_records
+from lakeshore.session import ensure_checkpoint_dir
+from lakeshore.sinks.parquet import write_json
+from lakeshore.sources.records import RUN_RECORD_SCHEMA, read_records, run_records, storage_records
 from lakeshore.sources.tables import read_table
 
 
@@ -39,10 +42,16 @@ def q_table_fingerprint(spark, sf_dir):
     return fingerprint.table_fingerprint(read_table(spark, sf_dir, "lineitem"))
 
 
+def q_tree_fingerprint(spark, sf_dir):
+    """A18 at scale: Merkle tree of lineitem without its order's number, so with equal rows."""
+    return fingerprint.tree_fingerprint(read_table(spark, sf_dir, "lineitem").drop("l_orderkey", "l_extendedprice", "l_partkey"))
+
+
 def q_run_records(spark, sf_dir):
-    """Run records written as JSON lines and read with their schema."""
-    lines = run_records(read_table(spark, sf_dir, "events")).select(F.to_json(F.struct("*")).alias("line"))
-    return lines.select(F.from_json("line", RUN_RECORD_SCHEMA).alias("r")).select("r.*")
+    """Run records written as JSON-lines files and read with their schema."""
+    uri = f"{ensure_checkpoint_dir(spark)}/run-records-{uuid.uuid4().hex}"
+    write_json(run_records(read_table(spark, sf_dir, "events")), uri)
+    return read_records(spark, uri, RUN_RECORD_SCHEMA)
 
 
 def q_query_row_counts(spark, sf_dir):
@@ -54,8 +63,8 @@ def q_query_row_counts(spark, sf_dir):
 
 def _from_measures(table):
     def run(spark, sf_dir):
-        """B2 as the job runs it: one table split off the grouping-sets measures."""
-        return gold.split_gold(gold.gold_measures(silver_frame(spark, sf_dir)))[table]
+        """B2 as the job runs it: one table from the measures of its grain."""
+        return gold.gold_table(table, gold.gold_measures(silver_frame(spark, sf_dir)))
     return run
 
 
@@ -71,4 +80,5 @@ QUERIES = {
     "percentiles": q_percentiles,
     "result_fingerprint": q_result_fingerprint,
     "table_fingerprint": q_table_fingerprint,
+    "tree_fingerprint": q_tree_fingerprint,
 }

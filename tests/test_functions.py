@@ -111,6 +111,43 @@ def test_nested_values_and_timestamps_are_normalised(spark):
         '{"a":[1.0,null],"m":{"k":0.123457},"s":{"x":"2025-01-01T10:00:00","y":2.5},"t":"2025-01-01T10:00:00.500000"}')
 
 
+def test_result_fingerprint_of_an_empty_result(spark):
+    got = fingerprint.result_fingerprint(spark.createDataFrame([], "a int")).first()
+    assert (got["rows_returned"], got["result_sha256"]) == (0, hashlib.sha256().hexdigest())
+
+
+def test_different_rows_never_share_a_fingerprint(spark):
+    def prints(rows, schema="x string, y string"):
+        df = spark.createDataFrame(rows, schema)
+        return fingerprint.tree_fingerprint(df).first(), fingerprint.table_fingerprint(df).first()
+
+    tables = [[("a|b", "c")], [("a", "b|c")], [(None, "c")], [("~", "c")], [("", "c")], [("1:a", "")], [("", "1:a")], [("a", "c")] * 2, [("a", "c")],
+              [("a", "c"), ("b", "c")], []]
+    for kind in (0, 1):
+        assert len({tuple(prints(rows)[kind]) for rows in tables}) == len(tables)
+    nested = [[([None, "a"],)], [(["a", None],)], [(None,)], [([],)], [([None],)]]
+    assert len({tuple(prints(rows, "l array<string>")[0]) for rows in nested}) == len(nested)
+
+
+def test_tree_fingerprint_is_the_tree_of_its_rows(spark):
+    rows = [(i % 700, f"t{i % 11}") for i in range(5000)] + [(0, "hot")] * 2500
+    df = spark.createDataFrame(rows, "b int, a string")
+    counts = {}
+    for b, a in rows:
+        key = hashlib.sha256(f"{len(a)}:{a}{len(str(b))}:{b}".encode()).hexdigest()
+        counts[key] = counts.get(key, 0) + 1
+    level = {key: f"{key}:{n}" for key, n in counts.items()}
+    for digits in fingerprint.TREE_LEVELS:
+        nodes = {}
+        for key, item in level.items():
+            nodes.setdefault(key[:digits], []).append(item)
+        digests = {key: hashlib.sha256("\n".join(sorted(items)).encode()).hexdigest() for key, items in nodes.items()}
+        level = {key: f"{key}:{digest}" for key, digest in digests.items()}
+    want = (len(rows), digests[""])
+    assert tuple(fingerprint.tree_fingerprint(df).first()) == want
+    assert tuple(fingerprint.tree_fingerprint(df.repartition(5).orderBy(F.rand(3))).first()) == want
+
+
 def test_table_fingerprint_ignores_order_and_partitioning(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
     a = fingerprint.table_fingerprint(li).first()
