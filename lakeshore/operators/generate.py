@@ -1,8 +1,9 @@
 """Deterministic synthetic trip records with labelled quality cases.
 
-Randomness is a pure function of (seed, record index, field): ``xxhash64`` mapped to
-[0, 1).  Every row is computed independently, so the output is identical for any
-partitioning, executor count or retry -- no driver-side RNG stream, no ordering.
+Randomness is counter-based: digits of SHA-256 over (seed, record index), four numbers of
+52 bits from a digest.  Every row is computed independently, so the output is identical for
+any partitioning, executor count or retry -- no driver-side RNG stream, no ordering -- and
+any engine with SHA-256 computes the same values.
 
 Quality cases (G2), first match wins, for index > 0:
 ``% 25`` negative_amount, ``% 40`` bad_timestamp, ``% 55`` null_passenger_count,
@@ -26,12 +27,18 @@ QUALITY_RULES = (
     (55, "null_passenger_count"),
     (70, "duplicate_candidate"),
 )
-_TWO53 = float(2**53)
+#: The random fields of a record, in the order of their numbers.
+FIELDS = ("sec", "dur", "dist", "rate", "tip", "extra", "pay", "pax", "pu", "do")
+#: Hex digits of a number, the distance of two numbers in a digest, and numbers a digest.
+NUMBER_DIGITS, NUMBER_STEP, NUMBERS = 13, 16, 4
+_RANGE = float(16**NUMBER_DIGITS)
 
 
 def _u(seed: int, idx: Column, field: str) -> Column:
-    """Uniform [0, 1) from (seed, index, field)."""
-    return F.pmod(F.xxhash64(F.lit(seed), idx, F.lit(field)), F.lit(2**53)).cast("double") / _TWO53
+    """Uniform [0, 1) from (seed, index, field): digits of sha256("seed:index:digest")."""
+    digest, place = divmod(FIELDS.index(field), NUMBERS)
+    text = F.sha2(F.concat_ws(":", F.lit(str(seed)), idx.cast("string"), F.lit(str(digest))), 256)
+    return F.conv(F.substring(text, place * NUMBER_STEP + 1, NUMBER_DIGITS), 16, 10).cast("bigint").cast("double") / _RANGE
 
 
 def _uniform(seed, idx, field, lo, hi) -> Column:
@@ -40,7 +47,12 @@ def _uniform(seed, idx, field, lo, hi) -> Column:
 
 def _randrange(seed, idx, field, lo, hi) -> Column:
     """Integer in [lo, hi)."""
-    return (F.lit(lo) + F.floor(_u(seed, idx, field) * F.lit(hi - lo))).cast("int")
+    return (F.lit(lo) + F.floor(_u(seed, idx, field) * F.lit(float(hi - lo)))).cast("int")
+
+
+def _cents(value: Column) -> Column:
+    """Rounded to cents in plain double arithmetic, which is the same everywhere."""
+    return F.floor(value * F.lit(100.0) + F.lit(0.5)).cast("double") / F.lit(100.0)
 
 
 def quality_case(idx: Column) -> Column:
@@ -63,10 +75,10 @@ def generate_from_index(index: DataFrame, days: int, seed: int, index_col: str =
         + F.make_dt_interval(src % days, F.lit(0), (src * 17) % 1440, _randrange(seed, src, "sec", 0, 60))
     )
     dropoff = pickup + F.make_dt_interval(F.lit(0), F.lit(0), _randrange(seed, src, "dur", 4, 61), F.lit(0))
-    distance = F.round(_uniform(seed, src, "dist", 0.4, 35.0), 2)
-    fare = F.round(F.lit(3.0) + distance * _uniform(seed, src, "rate", 2.1, 4.5), 2)
-    tip = F.round(fare * _uniform(seed, src, "tip", 0.0, 0.3), 2)
-    total = F.round(fare + tip + _uniform(seed, src, "extra", 0.5, 5.0), 2)
+    distance = _cents(_uniform(seed, src, "dist", 0.4, 35.0))
+    fare = _cents(F.lit(3.0) + distance * _uniform(seed, src, "rate", 2.1, 4.5))
+    tip = _cents(fare * _uniform(seed, src, "tip", 0.0, 0.3))
+    total = _cents(fare + tip + _uniform(seed, src, "extra", 0.5, 5.0))
     payment = F.element_at(F.array(*[F.lit(p) for p in PAYMENT_CHOICES]), _randrange(seed, src, "pay", 1, 6))
     neg = case == "negative_amount"
     out = index.select(
@@ -84,7 +96,7 @@ def generate_from_index(index: DataFrame, days: int, seed: int, index_col: str =
         payment.alias("payment_type"),
         F.when(neg, -F.abs(fare)).otherwise(fare).alias("fare_amount"),
         tip.alias("tip_amount"),
-        F.when(neg, F.round(-F.abs(fare) + tip, 2)).otherwise(total).alias("total_amount"),
+        F.when(neg, _cents(-F.abs(fare) + tip)).otherwise(total).alias("total_amount"),
         case.alias("quality_case"),
         i.alias("record_index"),
     )

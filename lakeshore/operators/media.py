@@ -27,9 +27,9 @@ from lakeshore.functions.text import (
 TAG_PATTERN = r"<[^>]+>"
 FILE_PAGE_BASE = "https://commons.wikimedia.org/wiki/"
 
-# A metadata value is an object with a ``value`` or a plain text; read as text, an object
-# keeps its JSON form.
-EXTMETA = T.MapType(T.StringType(), T.StringType())
+# A metadata value is an object with a ``value``, or the value itself: a variant knows which,
+# whatever a text begins with.
+EXTMETA = T.MapType(T.StringType(), T.VariantType())
 IMAGEINFO = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("thumburl", T.StringType()),
@@ -61,9 +61,13 @@ def strip_markup(s: pd.Series) -> pd.Series:
 
 
 def metadata_value(extmetadata: Column, key: str) -> Column:
-    """The text of one metadata entry, whichever of its two forms it has."""
+    """The text of one metadata entry, whichever of its two forms it has: numbers in their
+    plain text without closing zeros, truth values as ``True`` and ``False``, lists and other
+    objects as JSON."""
     raw = extmetadata[key]
-    return strip_markup(F.when(raw.startswith("{"), F.get_json_object(raw, "$.value")).otherwise(raw))
+    value = F.when(F.schema_of_variant(raw).startswith("OBJECT"), F.try_variant_get(raw, "$.value", "variant")).otherwise(raw)
+    text = F.try_variant_get(value, "$", "string")
+    return strip_markup(F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(text))
 
 
 def flatten_api_payload(df: DataFrame, payload_col: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -40,13 +40,13 @@ hits AS (
     user_id * 8 + 640 AS width,
     user_id * 6 + 480 AS height,
     CASE WHEN event_id % 4 = 0 THEN '' ELSE 'User ' || CAST(user_id AS VARCHAR) || ' café ’—A' END AS artist,
-    'Own work &amp; archive ' || CAST(event_id % 3 AS VARCHAR) AS credit,
+    CASE WHEN event_id % 10 = 0 THEN '{{PD-old}} ' ELSE '' END || 'Own work &amp; archive ' || CAST(event_id % 3 AS VARCHAR) AS credit,
     user_id
   FROM events
 ),
 accepted AS (
   SELECT pos, 0 AS page_pos, query, query_idx, title, direct_url, mime, width, height,
-    'CC BY-SA 4.0' AS license, 'https://creativecommons.org/licenses/by-sa/4.0' AS license_url,
+    CASE WHEN pos % 9 = 0 THEN '2.5' ELSE 'CC BY-SA 4.0' END AS license, 'https://creativecommons.org/licenses/by-sa/4.0' AS license_url,
     CASE WHEN artist = '' THEN credit ELSE artist END AS author
   FROM hits
   WHERE direct_url IS NOT NULL AND starts_with(mime, 'image/')

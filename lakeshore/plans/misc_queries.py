@@ -92,7 +92,49 @@ WITH up AS (
 ), l AS (SELECT job, instance, arg_max(value, ts) AS value FROM up GROUP BY ALL)
 SELECT COUNT(*) AS targets, COUNT(*) FILTER (WHERE value = 0) AS down_targets FROM l"""
 
+def _generated() -> str:
+    """The generator's definition again: SHA-256 digits, cents, cases."""
+    def u(field: str) -> str:
+        digest, place = divmod(generate.FIELDS.index(field), generate.NUMBERS)
+        return f"CAST(('0x' || substr(d{digest}, {place * generate.NUMBER_STEP + 1}, {generate.NUMBER_DIGITS}))::BIGINT AS DOUBLE) / {16**generate.NUMBER_DIGITS}.0::DOUBLE"
+
+    def uniform(field: str, lo: float, hi: float) -> str:
+        return f"({lo}::DOUBLE + {u(field)} * {hi - lo!r}::DOUBLE)"
+
+    def randrange(field: str, lo: int, hi: int) -> str:
+        return f"CAST({lo} + floor({u(field)} * {hi - lo}::DOUBLE) AS INTEGER)"
+
+    def cents(text: str) -> str:
+        return f"floor(({text}) * 100::DOUBLE + 0.5::DOUBLE) / 100::DOUBLE"
+
+    rules = " ".join(f"WHEN event_id > 0 AND event_id % {m} = 0 THEN '{name}'" for m, name in generate.QUALITY_RULES)
+    digests = ", ".join(f"sha256('{GEN_SEED}:' || src || ':{k}') AS d{k}" for k in range(-(-len(generate.FIELDS) // generate.NUMBERS)))
+    stamp = "strftime({}, '%Y-%m-%dT%H:%M:%S+00:00')"
+    return f"""
+WITH q AS (SELECT event_id, CASE {rules} ELSE 'valid' END AS quality_case FROM events),
+s AS (SELECT *, CASE quality_case WHEN 'duplicate_candidate' THEN event_id - 1 ELSE event_id END AS src FROM q),
+r AS (SELECT *, {digests} FROM s),
+t AS (
+  SELECT *, TIMESTAMP '{generate.BASE_TIMESTAMP}' + to_days(CAST(src % {GEN_DAYS} AS INTEGER)) + to_minutes((src * 17) % 1440)
+      + to_seconds({randrange("sec", 0, 60)}) AS pickup,
+    {cents(uniform("dist", 0.4, 35.0))} AS distance
+  FROM r
+),
+f AS (SELECT *, {cents("3.0::DOUBLE + distance * " + uniform("rate", 2.1, 4.5))} AS fare FROM t),
+g AS (SELECT *, {cents("fare * " + uniform("tip", 0.0, 0.3))} AS tip FROM f)
+SELECT printf('synthetic-%08d', src) AS record_id, {stamp.format("pickup")} AS pickup_datetime,
+  {stamp.format(f"CASE quality_case WHEN 'bad_timestamp' THEN pickup - INTERVAL 5 MINUTE ELSE pickup + to_minutes({randrange('dur', 4, 61)}) END")} AS dropoff_datetime,
+  CASE quality_case WHEN 'null_passenger_count' THEN '' ELSE CAST({randrange("pax", 1, 7)} AS VARCHAR) END AS passenger_count,
+  distance AS trip_distance, {randrange("pu", 1, 266)} AS pickup_location_id, {randrange("do", 1, 266)} AS dropoff_location_id,
+  {list(generate.PAYMENT_CHOICES)}[{randrange("pay", 1, 6)}] AS payment_type,
+  CASE quality_case WHEN 'negative_amount' THEN -abs(fare) ELSE fare END AS fare_amount, tip AS tip_amount,
+  CASE quality_case WHEN 'negative_amount' THEN {cents("-abs(fare) + tip")} ELSE {cents("fare + tip + " + uniform("extra", 0.5, 5.0))} END AS total_amount,
+  quality_case, event_id AS record_index
+FROM g"""
+
+
 ORACLE = {
+    "synthetic_trips": _generated(),
     "quality_counts": """
 SELECT CASE WHEN event_id > 0 AND event_id % 25 = 0 THEN 'negative_amount'
             WHEN event_id > 0 AND event_id % 40 = 0 THEN 'bad_timestamp'

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lakeshore.operators import gold, silver
 from lakeshore.operators.inventory import TRIP_DATASET, batch_descriptors, read_manifests, require_batch
 from lakeshore.plans import SQL_DIR
-from lakeshore.plans.runner import load_sql_queries, query_parameters, run_query_set
+from lakeshore.plans.runner import load_sql_queries, run_query_set, stored_parameters
 from lakeshore.sinks.parquet import remove_folder, write_clustered, write_partitioned
 from lakeshore.session import ensure_checkpoint_dir
 from lakeshore.sources.tables import read_parquet, register_views
@@ -175,8 +175,12 @@ def silver_to_gold(
     measures = gold.gold_measures(silver_df)
     schema = measures["payment"].schema
 
+    dates = Observation("gold_dates")
+
     def build_and_write(name, measures):
         obs, df = Observation(name), gold.gold_table(name, measures)
+        if name == "daily_trip_metrics":  # a row per date
+            df = df.observe(dates, F.collect_set(F.col("pickup_date").cast("string")).alias("dates"))
         if layout == "clustered":
             write_clustered(df, uris[name], mode, observation=obs, replace_all=replace_all)
         else:
@@ -201,6 +205,7 @@ def silver_to_gold(
         "daily_rows": rows["daily_trip_metrics"],
         "location_rows": rows["location_metrics"],
         "payment_rows": rows["payment_metrics"],
+        "dates": sorted(dates.get["dates"]),
         "write_mode": mode,
         "layout": layout,
         "duration_seconds": round(time.perf_counter() - started, 3),
@@ -227,8 +232,8 @@ def query_smoke(
 ) -> dict[str, Any]:
     """Run every SQL file once, recording rows, seconds and a short sample."""
     started = time.perf_counter()
-    frames = register_tables(spark, silver_uri, gold_root, year, month)
-    params = query_parameters(frames["silver_trips"], frames["daily_trip_metrics"])
+    register_tables(spark, silver_uri, gold_root, year, month)
+    params = stored_parameters(spark, silver_uri, gold_uris(gold_root, year, month)["daily_trip_metrics"])
     results = run_query_set(spark, load_sql_queries(sql_dir), params, sample_limit)
     return {
         "job_name": "query_smoke",

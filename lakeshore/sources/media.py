@@ -47,7 +47,8 @@ def search_hits(events: DataFrame) -> DataFrame:
         F.when(eid % 4 == 0, F.lit("")).otherwise(
             F.concat(F.lit('<a href="/wiki/User:U'), uid.cast("string"), F.lit('">User&nbsp;'),
                      uid.cast("string"), F.lit("</a> caf&eacute; &#8217;&mdash;&#x41;"))).alias("artist"),
-        F.concat(F.lit("Own work &amp;amp; <i>archive</i> "), (eid % 3).cast("string")).alias("credit"),
+        F.concat(F.when(eid % 10 == 0, "{{PD-old}} ").otherwise(""), F.lit("Own work &amp;amp; <i>archive</i> "),
+                 (eid % 3).cast("string")).alias("credit"),
         F.concat(F.lit("File:Second "), (uid % 25).cast("string"), F.lit(".png")).alias("second_title"),
         F.lit("CC BY-SA 4.0").alias("license"),
         F.lit("https://creativecommons.org/licenses/by-sa/4.0").alias("license_url"),
@@ -63,7 +64,8 @@ def api_payloads(events: DataFrame) -> DataFrame:
     """One API response JSON text per hit: query.pages map -> imageinfo array -> extmetadata map.
 
     A payload has two pages, whose keys do not follow their order.  Metadata values are
-    objects, but every fifth credit and all license names of the second page are plain text.
+    objects, but every fifth credit and all license names of the second page are plain text,
+    every tenth credit begins with a brace, and every ninth license name is a number.
     """
     h = search_hits(events)
 
@@ -75,9 +77,10 @@ def api_payloads(events: DataFrame) -> DataFrame:
         return F.concat(F.lit('{"title":'), _text(title), F.lit(',"imageinfo":['), F.substring(body, F.lit(1), F.length(body) - 1),
                         F.lit(',"extmetadata":{'), metadata, F.lit("}}]}"))
 
+    license_name = F.when(F.col("pos") % 9 == 0, F.lit('{"value":2.5,"source":"number"}')).otherwise(entry("license"))
     credit = F.when(F.col("pos") % 5 == 0, _text("credit")).otherwise(entry("credit"))
     first = page("title", F.struct("url", "thumburl", "mime", "width", "height"), F.concat(
-        F.lit('"Artist":'), entry("artist"), F.lit(',"Credit":'), credit, F.lit(',"LicenseShortName":'), entry("license"),
+        F.lit('"Artist":'), entry("artist"), F.lit(',"Credit":'), credit, F.lit(',"LicenseShortName":'), license_name,
         F.lit(',"LicenseUrl":'), entry("license_url")))
     second_info = F.struct(F.concat(F.lit("https://upload.example.org/second/"), F.col("pos").cast("string"), F.lit(".png")).alias("url"),
                            F.lit("image/png").alias("mime"), F.lit(10).alias("width"), F.lit(20).alias("height"))

@@ -96,6 +96,18 @@ def test_metadata_values_of_both_forms(spark):
     assert [tuple(r) for r in rows.orderBy("page_pos").collect()] == [("A", 0, "plain text", "cé", "7", "", ""), ("B", 1, "", "", "", "", "")]
 
 
+def test_metadata_values_of_any_type(spark):
+    """The form is known from the JSON, not from how a text begins."""
+    values = {"text": ('"{{PD-old}} <b>x</b>"', "{{PD-old}} x"), "json_text": ('"{\\"value\\": 1}"', '{"value": 1}'), "number": ("7", "7"),
+              "fraction": ('{"value":7.5}', "7.5"), "truth": ('{"value":true}', "True"), "null": ("null", ""), "null_value": ('{"value":null}', ""),
+              "nothing": ("{}", ""), "list": ('{"value":[1,"x"]}', '[1,"x"]'), "brace": ('{"value":"{a}"}', "{a}")}
+    entries = ",".join(f'"{k}":{v}' for k, (v, _) in values.items())
+    payload = '{"query":{"pages":{"1":{"title":"A","imageinfo":[{"url":"u","mime":"image/png","extmetadata":{%s}}]}}}}' % entries
+    flat = media.flatten_api_payload(spark.createDataFrame([(payload,)], "payload string"))
+    row = flat.select(*[media.metadata_value(F.col("extmetadata"), k).alias(k) for k in values]).first()
+    assert row.asDict() == {k: want for k, (_, want) in values.items()}
+
+
 def test_result_fingerprint_of_a_known_result(spark):
     df = spark.createDataFrame([(2, 1.123456789, "2024-01-02"), (1, None, "2024-01-01")],
                                "a int, b double, d string").withColumn("d", F.to_date("d"))

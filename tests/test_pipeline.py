@@ -139,6 +139,53 @@ def test_external_tables_read_the_clustered_layout(spark, scratch):
         "daily_trip_metrics": m["daily_rows"], "location_metrics": m["location_rows"], "payment_metrics": m["payment_rows"]}
 
 
+def _two_days(spark, scratch, day):
+    trips = [(f"{day} 10:00:0{i}", f"{day} 11:00:00", i, 1.5, 1, 2, 1, 5.0, 1.0, 7.0) for i in range(3)]
+    uri = os.path.join(scratch, f"silver-{day}")
+    silver.silver_trips([spark.createDataFrame(trips, TRIP_SCHEMA)]).write.partitionBy("pickup_date").parquet(uri)
+    return uri
+
+
+def test_a_write_registers_the_dates_that_it_observed(spark, scratch):
+    schema, gold_root = "lake_" + os.path.basename(scratch).replace("-", "_"), os.path.join(scratch, "gold")
+    for n, day in enumerate(("2025-01-01", "2025-02-01"), 1):
+        out = pipeline.silver_to_gold(spark, _two_days(spark, scratch, day), gold_root)
+        assert out["dates"] == [day]
+        tables = register_gold_tables(spark, pipeline.gold_uris(gold_root), schema, out["dates"])
+        assert {name: t.select("pickup_date").distinct().count() for name, t in tables.items()} == dict.fromkeys(tables, n)
+
+
+def test_a_changed_layout_or_place_is_an_error(spark, scratch):
+    schema = "lake_" + os.path.basename(scratch).replace("-", "_")
+    uri = _two_days(spark, scratch, "2025-01-01")
+    roots = {layout: os.path.join(scratch, layout) for layout in ("partitioned", "clustered")}
+    for layout, root in roots.items():
+        pipeline.silver_to_gold(spark, uri, root, layout=layout)
+    register_gold_tables(spark, pipeline.gold_uris(roots["partitioned"]), schema)
+    with pytest.raises(ValueError, match="is partitioned by"):
+        register_gold_tables(spark, pipeline.gold_uris(roots["clustered"]), schema)
+    pipeline.silver_to_gold(spark, uri, os.path.join(scratch, "moved"))
+    with pytest.raises(ValueError, match="lies in"):
+        register_gold_tables(spark, pipeline.gold_uris(os.path.join(scratch, "moved")), schema)
+
+
+def test_date_parameters_open_no_file(spark, scratch):
+    from lakeshore.plans.runner import query_parameters, stored_parameters
+
+    uri, gold_root = os.path.join(scratch, "silver"), os.path.join(scratch, "gold")
+    silver.silver_trips([_window(df) for df in raw_sources(spark, SF001)]).write.partitionBy("pickup_date").parquet(uri)
+    os.makedirs(os.path.join(uri, "pickup_date=2099-01-01"))  # a folder without files
+    pipeline.silver_to_gold(spark, uri, gold_root)
+    daily = pipeline.gold_uris(gold_root)["daily_trip_metrics"]
+    want = query_parameters(spark.read.parquet(uri), spark.read.parquet(daily))
+    spark.sparkContext.setJobGroup("date-parameters", "listing only")
+    assert stored_parameters(spark, uri, daily) == want
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("date-parameters") == []
+    spark.sparkContext.setJobGroup("", "")
+    pipeline.silver_to_gold(spark, uri, os.path.join(scratch, "clustered"), layout="clustered")
+    assert stored_parameters(spark, uri, pipeline.gold_uris(os.path.join(scratch, "clustered"))["daily_trip_metrics"]) == want
+
+
 @pytest.mark.parametrize("layout", ["partitioned", "clustered"])
 def test_gold_of_a_second_batch_keeps_the_first(spark, scratch, layout):
     gold_root = os.path.join(scratch, "gold")
