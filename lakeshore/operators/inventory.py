@@ -10,6 +10,10 @@ one-file batch.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,26 +193,81 @@ def require_unique(df: DataFrame, key: str) -> None:
 
 #: Files below this size are read as one binary row each; Spark's rows end at 2 GiB.
 MAX_ROW_BYTES = 2**31 - 1
+#: The byte that larger files are cut at, and the mark that the reader drops at their start.
+_CUT, _MARK = "\n", b"\xef\xbb\xbf"
+#: Names that Spark's readers would unpack.
+_PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst|xz)$"
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str = "*", row_bytes: int = MAX_ROW_BYTES) -> DataFrame:
     """Path, name, size and SHA-256 per file below ``root``.
 
-    A file of ``row_bytes`` or more does not fit a row.  SHA-256 needs its bytes in order,
-    so it is streamed in small pieces through the driver's file system client, one such file
-    at a time, and joins the others as a row.
+    A file of ``row_bytes`` or more does not fit a row: executors read it in pieces, and a
+    task of its own digests them in order (:func:`_streamed_digests`).  The driver sees the
+    names of such files, not their bytes, but for names that Spark's readers would unpack:
+    their bytes are streamed in small pieces through the driver's file system client.
     """
     found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
     rows = found.where(F.col("length") < row_bytes).select(
         F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("checksum_sha256"))
-    large = found.where(F.col("length") >= row_bytes).select("path", "length").collect()
-    if large:
-        streamed = [(r["path"], r["length"], _streamed_sha256(spark, r["path"])) for r in large]
-        rows = rows.unionByName(spark.createDataFrame(streamed, rows.schema))
+    large = found.where(F.col("length") >= row_bytes).select("path", F.col("_metadata.file_path").alias("uri"), "length")
+    named = [(r["path"], r["length"], r["packed"]) for r in large.select("path", "length", F.col("path").rlike(_PACKED).alias("packed")).collect()]
+    plain = [path for path, _, packed in named if not packed]
+    if plain:
+        streamed = large.join(_streamed_digests(spark, plain), "uri").select("path", "length", "checksum_sha256")
+        rows = rows.unionByName(streamed.toDF(*rows.columns))
+    if len(plain) < len(named):
+        digests = [(path, size, _driver_digest(spark, path)) for path, size, packed in named if packed]
+        rows = rows.unionByName(spark.createDataFrame(digests, rows.schema))
     return rows.select("file_path", F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "checksum_sha256")
 
 
-def _streamed_sha256(spark: SparkSession, uri: str) -> str:
+def _streamed_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``uri, checksum_sha256`` of large files.
+
+    The text source splits the files among tasks and cuts them at newline bytes (any bytes
+    pass as they are).  The pieces of a file are sorted by their split and place, by a sort
+    that spills, and fed to one digest each: SHA-256 has no parallel form.  A file with
+    2 GiB between two newlines is beyond a row, and an error.
+    """
+    pieces = spark.read.option("lineSep", _CUT).text(paths).select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), F.col("value").cast("binary").alias("value"))
+    ordered = pieces.repartition(len(paths), "uri").sortWithinPartitions("uri", "start", "place").select("uri", "size", "value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uri, size, fed, digests = None, 0, 0, []
+
+        def feed(data: bytes) -> None:
+            nonlocal fed
+            fed += len(data)
+            for digest in digests:
+                digest.update(data)
+
+        def close() -> pa.RecordBatch:
+            # the size tells whether the reader dropped a mark, and a closing newline, which
+            # cuts off no piece
+            marked = size - fed >= len(_MARK)
+            if size - fed - len(_MARK) * marked:
+                feed(_CUT.encode())
+            return pa.RecordBatch.from_pydict({"uri": [uri], "checksum_sha256": [digests[marked].hexdigest()]})
+
+        for batch in batches:
+            for here, whole, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if here != uri:
+                    if digests:
+                        yield close()
+                    uri, size, fed, digests = here, whole, 0, [hashlib.sha256(), hashlib.sha256(_MARK)]
+                else:
+                    feed(_CUT.encode())
+                feed(value)
+        if digests:
+            yield close()
+
+    return ordered.mapInArrow(run, "uri string, checksum_sha256 string")
+
+
+def _driver_digest(spark: SparkSession, uri: str) -> str:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(uri)
     stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)

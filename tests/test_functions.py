@@ -187,6 +187,28 @@ def test_files_too_large_for_a_row_are_streamed(spark, scratch):
     assert {r["checksum_sha256"] for r in got} == {hashlib.sha256(c * 5000).hexdigest() for c in (b"a", b"b")}
 
 
+def test_large_files_are_digested_by_executors(spark, scratch, monkeypatch):
+    import random
+    rng = random.Random(3)
+    noise = rng.randbytes(300_000)
+    files = {"noise.bin": noise, "closing.bin": noise + b"\n", "newlines.bin": b"\n" * 1000, "one.bin": b"x" * 5000, "crlf.bin": b"a\r\n\r" * 900,
+             "mark.bin": b"\xef\xbb\xbf" + noise, "marked.bin": b"\xef\xbb\xbf" + noise + b"\n", "odd name.bin": b"\n" + noise, "packed.bin.gz": noise[:2000],
+             "few.bin": b"small"}
+    for name, data in files.items():
+        with open(os.path.join(scratch, name), "wb") as out:
+            out.write(data)
+    through_driver = []
+    plain = inventory._driver_digest
+    monkeypatch.setattr(inventory, "_driver_digest", lambda s, uri: through_driver.append(uri) or plain(s, uri))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        got = {r["file_name"]: (r["size_bytes"], r["checksum_sha256"]) for r in inventory.file_inventory(spark, scratch, "*", row_bytes=900).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    assert got == {name: (len(data), hashlib.sha256(data).hexdigest()) for name, data in files.items()}
+    assert [uri.rsplit("/", 1)[1] for uri in through_driver] == ["packed.bin.gz"]
+
+
 def test_row_counts_are_per_file_path(spark, scratch):
     spark.range(1000).withColumn("part", F.col("id") % 4).coalesce(1).write.partitionBy("part").parquet(f"{scratch}/t")
     got = inventory.parquet_row_counts(spark.read.parquet(f"{scratch}/t")).collect()
