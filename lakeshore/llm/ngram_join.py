@@ -10,9 +10,13 @@ ceil(t n) of them with any partner, so
   are the only columns that need to be multiplied out, and in each only rows whose sizes
   and places in that order leave room for the overlap that the pair needs.
 
-A column's rows are not paired with each other: each is multiplied with a few leaders of
-its size only, whose links merge rows into classes; what is left are rows of different
-classes in one column, which are paired in full.  Equal sets are one row throughout.
+Rows that share such a column, directly or over others, are a cluster, and only rows of one
+cluster can be partners.  A cluster's product is cut into tiles: its rows are dealt into
+ranges by size, and a tile multiplies two ranges whose sizes are within reach of each other.
+It accumulates the overlap counts of its rows over all their shared columns in memory, drops
+the pairs below the bound that their sizes set, and gives a spanning forest of the links that
+are left; pairs are never rows of a table.  A cluster that fits a tile is one; a larger one
+is spread over as many as it needs.  Equal sets are one row throughout.
 """
 
 from __future__ import annotations
@@ -38,14 +42,14 @@ BLOCK_ENTRIES = 500_000
 BLOCKS_PER_PARTITION = 8
 #: Bits of an n-gram's hash below those that its block implies.
 REST_BITS = 40
-#: Star rounds end when the pairs left are at most so many per posting, or after so many
-#: rounds; all pairs left are then compared.
-PAIRS_PER_POSTING = 4
-STAR_ROUNDS = 1
-#: Leaders of a column's rows of one size, after the first round.
-LEADERS = 8
-#: Classes of like size per doubling of the size.
+#: Rows of a range, and their entries, that a tile takes twice at most (as averages).
+TILE_ROWS = 1024
+TILE_ENTRIES = 2_000_000
+#: Size classes per doubling of the size, and how many a partner can lie apart.
 SIZE_CLASSES = 4
+REACH = 2
+#: Rows of a column up to which its pairs are counted one by one, and beyond as a square.
+FEW_ROWS = 32
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -141,8 +145,8 @@ def _unplanes(data: bytes, width: int) -> np.ndarray:
 
 
 def _incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
-    """The matrix: ``block, docs, counts, grams``; per block and flush one row, with the
-    n-grams' low hash bytes by document."""
+    """The matrix: ``block, docs, sizes, counts, grams``; per block and flush one row, with the
+    documents' set sizes and their n-grams' low hash bytes."""
     scale = np.uint64(-(-(1 << 64) // blocks)) if blocks > 1 else None
 
     def rows(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
@@ -153,17 +157,17 @@ def _incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
         grams, owner, block = grams[order], owner[order], block[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
         names = np.array(ids, np.int64)
-        columns: list[list] = [[], [], [], []]
+        columns: list[list] = [[], [], [], [], []]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             own = owner[a:b]
             heads = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1])
-            values = (int(block[a]), names[own[heads]].tobytes(),
+            values = (int(block[a]), names[own[heads]].tobytes(), lengths[own[heads]].astype("<u4").tobytes(),
                       np.diff(np.append(heads, b - a)).astype("<u4").tobytes(), _planes(grams[a:b], REST_BITS // 8))
             for column, value in zip(columns, values, strict=True):
                 column.append(value)
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-            names=["block", "docs", "counts", "grams"])
+            names=["block", "docs", "sizes", "counts", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sets, held = [], [], 0
@@ -182,66 +186,71 @@ def _incidence(docs: DataFrame, blocks: int, words: int) -> DataFrame:
             yield rows(ids, sets)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "block long, docs binary, counts binary, grams binary")
+        run, "block long, docs binary, sizes binary, counts binary, grams binary")
 
 
-def _shared_columns(matrix: DataFrame, partitions: int) -> DataFrame:
-    """``doc_id, m, part``: of every document the n-grams that another document has too;
-    ``part`` holds, for each, a rank of its frequency and its number."""
+def _shared_columns(matrix: DataFrame, partitions: int, buckets: int) -> DataFrame:
+    """``bucket, docs, sizes, counts, grams``: by buckets of documents, the n-grams that
+    another document has too, each with a rank of its frequency and its number."""
     def shared(block: int, held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        grams = np.concatenate([_unplanes(g, REST_BITS // 8) for _, _, g in held])
-        owner = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, "<u4")) for d, c, _ in held])
-        order = np.argsort(grams, kind="stable")
-        grams, owner = grams[order], owner[order]
-        same = grams[1:] == grams[:-1]
-        many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        grams, owner = grams[many], owner[many]
-        order = np.lexsort((owner, grams))
-        grams, owner = grams[order], owner[order]
-        if len(grams):  # a repeated row of one document is no other document
-            new = np.concatenate([[True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])])
-            grams, owner = grams[new], owner[new]
-            heads = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-            sizes = np.diff(np.append(heads, len(grams)))
-            frequency = np.repeat(sizes, sizes)
-            grams, owner, frequency = grams[frequency > 1], owner[frequency > 1], frequency[frequency > 1]
-        else:
-            frequency = np.zeros(0, np.int64)
-        level = np.minimum(255, 8 * np.log2(np.maximum(frequency, 1))).astype(np.uint64)
-        return owner, (level << np.uint64(56)) | (np.uint64(block) << np.uint64(REST_BITS)) | grams
+        grams = np.concatenate([_unplanes(g, REST_BITS // 8) for *_, g in held])
+        docs, sizes = (np.concatenate([np.repeat(np.frombuffer(row[i], kind), np.frombuffer(row[2], "<u4")) for row in held])
+                       for i, kind in ((0, "<i8"), (1, "<u4")))
+        order = np.lexsort((docs, grams))
+        grams, docs, sizes = grams[order], docs[order], sizes[order]
+        new = np.ones(len(grams), bool)  # a repeated row of one document is no other document
+        new[1:] = (grams[1:] != grams[:-1]) | (docs[1:] != docs[:-1])
+        grams, docs, sizes = grams[new], docs[new], sizes[new]
+        heads = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        frequency = np.diff(np.append(heads, len(grams)))
+        frequency = np.repeat(frequency, frequency)
+        many = frequency > 1
+        level = np.minimum(255, 8 * np.log2(frequency[many])).astype(np.uint64)
+        return docs[many], sizes[many], (level << np.uint64(56)) | (np.uint64(block) << np.uint64(REST_BITS)) | grams[many]
 
     def out(found: list[tuple]) -> pa.RecordBatch:
-        owner, number = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(owner, kind="stable")
-        owner, number = owner[order], number[order]
-        heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-        ends = np.append(heads[1:], len(owner))[: len(heads)]
-        data = number.astype("<u8").tobytes()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(owner[heads], pa.int64()), pa.array(ends - heads, pa.int64()),
-             pa.array([data[8 * a: 8 * b] for a, b in zip(heads.tolist(), ends.tolist(), strict=True)], pa.binary())],
-            names=["doc_id", "m", "part"])
+        docs, sizes, numbers = (np.concatenate(x) for x in zip(*found, strict=True))
+        bucket = (_mix(docs.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((docs, bucket))
+        docs, sizes, numbers, bucket = docs[order], sizes[order], numbers[order], bucket[order]
+        heads = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(heads, len(docs)))
+        names = np.unique(bucket)
+        first, last = np.searchsorted(bucket[heads], names), np.searchsorted(bucket[heads], names, "right")
+        ends = np.append(heads, len(docs))
+        parts = [(docs[heads[i:j]].astype("<i8").tobytes(), sizes[heads[i:j]].astype("<u4").tobytes(), counts[i:j].astype("<u4").tobytes(),
+                  numbers[ends[i]: ends[j]].astype("<u8").tobytes()) for i, j in zip(first.tolist(), last.tolist(), strict=True)]
+        columns = zip(*parts, strict=True) if parts else ([],) * 4
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), *(pa.array(list(c), pa.binary()) for c in columns)],
+                                          names=["bucket", "docs", "sizes", "counts", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, found, size = None, [], [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != block and held:
-                    found.append(shared(block, held))
-                    size += len(found[-1][0])
-                    held = []
-                    if size >= BLOCK_ENTRIES:
-                        yield out(found)
-                        found, size = [], 0
-                block = row[0]
-                held.append(row[1:])
-        if held:
+        found, size = [], 0
+        for block, held in _groups(batches):
             found.append(shared(block, held))
+            size += len(found[-1][0])
+            if size >= BLOCK_ENTRIES:
+                yield out(found)
+                found, size = [], 0
         if found:
             yield out(found)
 
     dealt = matrix.repartition(partitions, "block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "doc_id long, m long, part binary")
+    return dealt.mapInArrow(run, "bucket long, docs binary, sizes binary, counts binary, grams binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each value of the first column, which come one after the other."""
+    key, held = None, []
+    for batch in batches:
+        for first, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if first != key and held:
+                yield key, held
+                held = []
+            key = first
+            held.append(row)
+    if held:
+        yield key, held
 
 
 def _least(n):
@@ -249,32 +258,26 @@ def _least(n):
     return F.expr(f"({NUMERATOR} * {n} + {DENOMINATOR - 1}) div {DENOMINATOR}")
 
 
-def _rows(parts: DataFrame, rows: DataFrame) -> DataFrame:
+def _rows(parts: DataFrame, partitions: int) -> DataFrame:
     """``row, n, m, grams``: the matrix rows (one per distinct set) that can have a partner,
     their shared n-grams from rare to frequent."""
-    whole = (parts.groupBy("doc_id").agg(F.sum("m").alias("m"), F.collect_list("part").alias("parts"))
-             .join(rows.withColumnRenamed("row", "doc_id"), "doc_id").where(F.col("m") >= _least("n")))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = [np.sort(np.frombuffer(b"".join(p), "<u8")) for p in batch.column("parts").to_pylist()]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum([len(g) for g in grams])]), pa.int32()),
-                pa.array(np.concatenate(grams).view(np.int64) if grams else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n"), batch.column("m"), lists],
-                                             names=["row", "n", "m", "grams"])
-
-    return whole.select("doc_id", "n", "m", "parts").mapInArrow(run, "row long, n long, m long, grams array<bigint>")
-
-
-def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose overlap, counted over all shared n-grams, reaches the
-    similarity."""
-    one = rows.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
-    two = rows.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
-    both = F.size(F.array_intersect("g_a", "g_b"))
-    return (pairs.join(two, "b").join(one, "a")
-            .where(DENOMINATOR * both >= NUMERATOR * (F.col("n_a") + F.col("n_b") - both)).select("a", "b"))
+        for _, held in _groups(batches):
+            docs, sizes, counts = (np.concatenate([np.frombuffer(row[i], kind) for row in held]).astype(np.int64)
+                                   for i, kind in enumerate(("<i8", "<u4", "<u4")))
+            numbers = np.concatenate([np.frombuffer(row[3], "<u8") for row in held])
+            owner, at = np.unique(docs, return_inverse=True)
+            n, m = np.zeros(len(owner), np.int64), np.bincount(at, counts, len(owner)).astype(np.int64)
+            n[at] = sizes
+            kept = DENOMINATOR * m >= NUMERATOR * n  # fewer shared n-grams leave no partner
+            entry = np.repeat(at, counts)
+            numbers, entry = numbers[kept[entry]], entry[kept[entry]]
+            order = np.lexsort((numbers, entry))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m[kept])]), pa.int32()), pa.array(numbers[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(owner[kept]), pa.array(n[kept]), pa.array(m[kept]), lists], names=["row", "n", "m", "grams"])
+
+    dealt = parts.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "row long, n long, m long, grams array<bigint>")
 
 
 def _postings(rows: DataFrame) -> DataFrame:
@@ -292,73 +295,113 @@ def _postings(rows: DataFrame) -> DataFrame:
             .where(DENOMINATOR * F.col("most") >= NUMERATOR * F.col("n")).select("row", "n", "gram", "most"))
 
 
-def _fit(n: str, most: str, other_n: str, other_most: str):
-    """Whether two rows of a column can be partners: each is within the other's reach."""
-    return (F.col(other_n) <= F.col(most)) & (F.col(n) <= F.col(other_most))
-
-
 #: A row that reaches partners of its own size; of two rows that can be partners one does.
 _LEADS = "most >= n"
 
 
-def _classes(postings: DataFrame, links: DataFrame) -> DataFrame:
-    """Postings with a label of their row: a row that links lead to.  Two rounds of minima
-    over neighbours give all rows of a star the same one."""
-    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-        links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    one = both.groupBy("u").agg(F.min("v").alias("label")).select("u", F.least("u", "label").alias("label"))
-    two = both.join(one.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("label").alias("label"))
-    return (postings.join(two.select(F.col("u").alias("row"), F.col("label").alias("l")), "row", "left")
-            .withColumn("label", F.least("row", F.coalesce("l", "row"))).drop("l"))
-
-
-def _pairs(joined: DataFrame, other: str) -> DataFrame:
-    return joined.select(F.least("row", other).alias("a"), F.greatest("row", other).alias("b")).distinct()
+def _clusters(rows: DataFrame, folder: str) -> DataFrame:
+    """``row, cluster`` of the rows that share a column in which partners can meet first."""
+    postings = saved(_postings(rows), f"{folder}/postings")
+    columns = (postings.groupBy("gram").agg(F.count("*").alias("k"), F.count_if(F.expr(_LEADS)).alias("lead"), F.min("row").alias("first"))
+               .where("k > 1 AND lead > 0").select("gram", "first"))
+    edges = postings.join(columns, "gram").where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b")).distinct()
+    found = components(edges)
+    heads = found.select(F.col("component").alias("row"), F.col("component").alias("cluster")).distinct()
+    return found.select(F.col("node").alias("row"), F.col("component").alias("cluster")).unionByName(heads)
+
+
+def _tiles(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``cluster, low, high, side, row, n, grams``: every row once for each tile that it is
+    part of.  A tile is a pair of ranges (class, place); ``side`` is 0 for the lower one's
+    rows, 1 for the higher one's, and 2 where they are the same."""
+    placed = rows.join(clusters, "row").withColumn("class", F.floor(SIZE_CLASSES * F.log2("n")).cast("int"))
+    need = F.ceil(F.greatest(F.col("rows") / TILE_ROWS, F.col("entries") / TILE_ENTRIES)).cast("int")
+    total = [F.count("*").alias("rows"), F.sum("m").alias("entries")]
+    each = placed.groupBy("cluster", "class").agg(*total).withColumn("places", need)
+    # a cluster's classes are few: four per doubling of the size
+    plan = each.groupBy("cluster").agg(F.sum("rows").alias("rows"), F.sum("entries").alias("entries"), F.collect_list(F.struct("class", "places")).alias("classes"))
+    plan = plan.select("cluster", need.alias("tiles"), "classes")
+    one = F.struct(F.lit(0).alias("class"), F.lit(0).alias("place"))
+    known = placed.join(plan, "cluster")
+    places = F.filter("classes", lambda c: c["class"] == F.col("class"))[0]["places"]
+    known = known.withColumn("own", F.when(F.col("tiles") == 1, one).otherwise(
+        F.struct(F.col("class").alias("class"), F.pmod(F.xxhash64("row"), places).cast("int").alias("place"))))
+    near = F.filter("classes", lambda c: F.abs(c["class"] - F.col("class")) <= REACH)
+    others = F.flatten(F.transform(near, lambda c: F.transform(
+        F.sequence(F.lit(0), c["places"] - 1), lambda place: F.struct(c["class"].alias("class"), place.alias("place")))))
+    dealt = known.withColumn("other", F.explode(F.when(F.col("tiles") == 1, F.array(one)).otherwise(others)))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    tile = ["cluster", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
+    return dealt.select(*tile, side.alias("side"), "row", "n", "grams")
+
+
+def overlap_counts(owner: np.ndarray, grams: np.ndarray, rows: int) -> np.ndarray:
+    """The product: shared n-grams of each two of ``rows`` rows (upper triangle), accumulated
+    column by column; columns of the same rows are added at once."""
+    order = np.lexsort((owner, grams))
+    owner, grams = owner[order], grams[order]
+    heads = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(heads, len(grams)))
+    counts = np.zeros((rows, rows), np.int32)
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        members = owner[heads[sizes == size][:, None] + np.arange(size)]
+        members, times = np.unique(members, axis=0, return_counts=True)
+        if size <= FEW_ROWS:
+            i, j = np.triu_indices(size, 1)
+            np.add.at(counts.reshape(-1), (members[:, i] * rows + members[:, j]).ravel(), np.repeat(times, len(i)).astype(np.int32))
+        else:
+            for who, weight in zip(members, times, strict=True):
+                counts[np.ix_(who, who)] += np.int32(weight)
+    return counts
+
+
+def tile_links(ids: np.ndarray, n: np.ndarray, side: np.ndarray, owner: np.ndarray, grams: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest (a, b) of a tile's links: pairs of different sides (2 is either)
+    whose overlap reaches the bound that their sizes set, t / (1 + t) of both together."""
+    counts = overlap_counts(owner, grams, len(ids))
+    linked = (NUMERATOR + DENOMINATOR) * counts.astype(np.int64) >= NUMERATOR * (n[:, None] + n[None])
+    linked &= (counts > 0) & ((side[:, None] != side[None]) | (side[:, None] == 2))
+    linked = np.triu(linked, 1)
+    linked |= linked.T
+    left, forest = linked.any(1), []
+    for start in np.flatnonzero(left).tolist():
+        todo = [start] if left[start] else []
+        left[start] = False
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(linked[at] & left)
+            left[new] = False
+            forest += [(int(ids[at]), int(ids[i])) for i in new]
+            todo += new.tolist()
+    return forest
 
 
 def link_rows(rows: DataFrame, folder: str) -> DataFrame:
     """Links (a, b) between matrix rows that connect all that the similarity connects."""
-    every = saved(_postings(rows), f"{folder}/postings-all")
-    shared = every.groupBy("gram").agg(F.count("*").alias("k"), F.count_if(F.expr(_LEADS)).alias("lead")).where("k > 1 AND lead > 0")
-    postings = saved(every.join(shared.select("gram"), "gram", "left_semi"), f"{folder}/postings")
-    total, step = postings.count(), 0
-    links, labelled = None, postings.withColumn("label", F.col("row"))
-    while True:
-        # leaders: of a column's rows of like size the first by some random orders, one order in
-        # the first round; sizes and orders change each round
-        size = F.floor(SIZE_CLASSES * F.log2("n") + step / 2)
-        orders = [F.min(F.when(F.expr(_LEADS), F.struct(F.xxhash64(F.col("row"), F.lit(step), F.lit(k)).alias("h"), "row", "n", "most", "label")))
-                  for k in range(LEADERS if step else 1)]
-        sized = labelled.withColumn("size", size)
-        columns = (sized.groupBy("gram", "size").agg(F.array_distinct(F.array(*orders)).alias("leads"),
-                                                     F.min("label").alias("low"), F.max("label").alias("high"))
-                   .where("low < high").select("gram", "size", F.explode("leads").alias("lead")).select("gram", "size", "lead.*").drop("h")
-                   .toDF("gram", "size", "leader", "n_leader", "most_leader", "label_leader"))
-        pairs = _pairs(sized.join(columns, ["gram", "size"]).where(
-            (F.col("label") != F.col("label_leader")) & _fit("n", "most", "n_leader", "most_leader")), "leader")
-        step += 1
-        new = saved(_links(pairs, rows), f"{folder}/star-{step}")
-        links = new if links is None else links.unionByName(new)
-        labelled = saved(_classes(postings, links), f"{folder}/labels-{step}")
-        left, columns = _open_columns(labelled)
-        if left <= PAIRS_PER_POSTING * total or step == STAR_ROUNDS:
-            break
-    if not left:
-        return links
-    rest = saved(labelled.join(columns, "gram", "left_semi"), f"{folder}/open")
-    other = rest.where(_LEADS).toDF(*[f"{c}_2" if c != "gram" else c for c in rest.columns])
-    cross = rest.join(other, "gram").where((F.col("label") != F.col("label_2")) & _fit("n", "most", "n_2", "most_2"))
-    return links.unionByName(saved(_links(_pairs(cross, "row_2"), rows), f"{folder}/rest"))
-
-
-def _open_columns(labelled: DataFrame) -> tuple[int, DataFrame]:
-    """A bound of the pairs of rows of different labels that can be partners, and the
-    columns that hold them."""
-    each = labelled.groupBy("gram", "label").agg(F.count("*").alias("k"), F.count_if(F.expr(_LEADS)).alias("lead"))
-    columns = each.groupBy("gram").agg(
-        (F.sum("k") * F.sum("lead") - F.sum(F.col("k") * F.col("lead"))).alias("pairs")).where("pairs > 0")
-    left = columns.agg(F.sum(F.col("pairs").cast("decimal(38,0)"))).first()[0]
-    return int(left or 0), columns.select("gram")
+    tiles = _tiles(rows, _clusters(rows, folder))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("grams")
+            offsets, values = lists.offsets.to_numpy().tolist(), lists.values.to_numpy()
+            data = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(data, pa.binary())], names=batch.schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in _groups(packed(batches)):
+            side, ids, n = (np.array([row[i] for row in held], np.int64) for i in range(3))
+            grams = [np.frombuffer(row[3], np.int64) for row in held]
+            owner = np.repeat(np.arange(len(held)), [len(g) for g in grams])
+            forest = np.array(tile_links(ids, n, side, owner, np.concatenate(grams)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(forest[:, 0]), pa.array(forest[:, 1])], schema=schema)
+
+    named = tiles.select(F.concat_ws(" ", "cluster", "low.class", "low.place", "high.class", "high.place").alias("tile"), "side", "row", "n", "grams")
+    dealt = named.repartition(parallelism(rows.sparkSession), "tile").sortWithinPartitions("tile")
+    links = saved(dealt.mapInArrow(run, "a long, b long"), f"{folder}/links")
+    for name in ("postings", "rows"):  # what the links were made from
+        drop_folder(rows.sparkSession, f"{folder}/{name}")
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -374,8 +417,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     classes = saved(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "x", "y").agg(F.min("doc_id").alias("row")),
                     f"{folder}/classes")
     partitions = parallelism(spark)
-    matrix = _incidence(docs, partitions * BLOCKS_PER_PARTITION, words)
-    rows = saved(_rows(_shared_columns(matrix, partitions), classes.select("row", "n")), f"{folder}/rows")
+    blocks = partitions * BLOCKS_PER_PARTITION
+    # of equal sets one document goes into the matrix
+    firsts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(classes.select(F.col("row").alias("doc_id")), "doc_id", "left_semi")
+    matrix = _incidence(firsts, blocks, words)
+    rows = saved(_rows(_shared_columns(matrix, partitions, blocks), partitions), f"{folder}/rows")
     found = components(link_rows(rows, folder))
     named = classes.join(found.withColumnRenamed("node", "row"), "row", "left").select(
         "n", "x", "y", F.coalesce("component", "row").alias("component_id"))

@@ -1,6 +1,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from lakeshore.llm import ngram_join
@@ -55,9 +56,9 @@ def hard_documents():
     return docs
 
 
-@pytest.mark.parametrize("pairs_per_posting", [0, 4])
-def test_classes_equal_brute_force(spark, monkeypatch, pairs_per_posting):
-    monkeypatch.setattr(ngram_join, "PAIRS_PER_POSTING", pairs_per_posting)
+@pytest.mark.parametrize("tile_rows", [3, 1024])
+def test_classes_equal_brute_force(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", tile_rows)
     docs = hard_documents()
     rows = [(i, t, "clash") for i, t in docs.items()] + [(100, docs[100], "again"), (None, docs[101], "no id")]
     out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, n string"))
@@ -69,6 +70,58 @@ def test_classes_equal_brute_force(spark, monkeypatch, pairs_per_posting):
             assert (row.n_shingles, row.component_id) == want[row.doc_id], row.doc_id
 
 
+def near_threshold(n=400, words=60):
+    """Texts of one group whose pairs lie on both sides of the similarity, of several sizes."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(words)]
+    docs = {}
+    for i in range(n):
+        text = base[: rng.choice([words, words, words - 8, words - 14])]
+        for _ in range(rng.randrange(1, 3)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        docs[i] = " ".join(text)
+    return docs
+
+
+@pytest.mark.parametrize("tile_rows", [50, 1024])
+def test_group_around_the_threshold(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", tile_rows)
+    docs = near_threshold()
+    want = brute(docs)
+    assert 1 < len({c for _, c in want.values()}) < len(docs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_tile_product_equals_sets():
+    rng = np.random.default_rng(4)
+    sets = [set(rng.integers(0, 90, rng.integers(20, 60)).tolist()) for _ in range(70)]
+    owner = np.repeat(np.arange(70), [len(s) for s in sets])
+    grams = np.array([g for s in sets for g in sorted(s)], np.int64)
+    n = np.array([len(s) for s in sets])
+    counts = ngram_join.overlap_counts(owner, grams, 70)
+    assert all(counts[i, j] == len(sets[i] & sets[j]) for i, j in combinations(range(70), 2))
+    side = rng.integers(0, 2, 70)
+    for sides in (side, np.full(70, 2)):
+        forest = ngram_join.tile_links(np.arange(70) * 10, n, sides, owner, grams)
+        links = {(i, j) for i, j in combinations(range(70), 2) if 7 * counts[i, j] >= 3 * (n[i] + n[j]) and (sides[i] == 2 or sides[i] != sides[j])}
+        assert {(min(a, b) // 10, max(a, b) // 10) for a, b in forest} <= links
+        assert len(forest) == len({j for pair in links for j in pair}) - len(groups(links))
+
+
+def groups(links):
+    lead = {}
+
+    def find(i):
+        while lead.setdefault(i, i) != i:
+            i = lead[i]
+        return i
+
+    for i, j in links:
+        lead[find(i)] = find(j)
+    return {find(i) for i in list(lead)}
+
+
 def test_empty_and_unrelated_tables(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).count() == 0
