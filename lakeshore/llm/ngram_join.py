@@ -38,8 +38,8 @@ NUMERATOR, DENOMINATOR = 3, 4
 #: Text bytes hashed at once, and matrix entries held before a block is cut.
 HASH_BYTES = 1_000_000
 BLOCK_ENTRIES = 500_000
-#: Blocks of columns per shuffle partition.
-BLOCKS_PER_PARTITION = 8
+#: Matrix entries below which a block is not split for the sake of more tasks.
+LEAST_BLOCK_ENTRIES = 50_000
 #: Bits of an n-gram's hash below those that its block implies.
 REST_BITS = 40
 #: Rows of a range, and their entries, that a tile takes twice at most (as averages).
@@ -235,7 +235,7 @@ def _shared_columns(matrix: DataFrame, partitions: int, buckets: int) -> DataFra
         if found:
             yield out(found)
 
-    dealt = matrix.repartition(partitions, "block").sortWithinPartitions("block")
+    dealt = matrix.repartitionById(partitions, F.col("block").cast("int")).sortWithinPartitions("block")
     return dealt.mapInArrow(run, "bucket long, docs binary, sizes binary, counts binary, grams binary")
 
 
@@ -276,7 +276,7 @@ def _rows(parts: DataFrame, partitions: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m[kept])]), pa.int32()), pa.array(numbers[order].view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(owner[kept]), pa.array(n[kept]), pa.array(m[kept]), lists], names=["row", "n", "m", "grams"])
 
-    dealt = parts.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    dealt = parts.repartitionById(partitions, F.col("bucket").cast("int")).sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "row long, n long, m long, grams array<bigint>")
 
 
@@ -416,8 +416,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     sets = saved(document_sets(docs, words), f"{folder}/sets")
     classes = saved(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "x", "y").agg(F.min("doc_id").alias("row")),
                     f"{folder}/classes")
-    partitions = parallelism(spark)
-    blocks = partitions * BLOCKS_PER_PARTITION
+    # blocks follow the entries, so each fits a task and none is a splinter
+    entries = int(classes.agg(F.sum("n")).first()[0] or 0)
+    partitions = min(parallelism(spark), max(1, -(-entries // LEAST_BLOCK_ENTRIES)))
+    blocks = max(partitions, -(-entries // BLOCK_ENTRIES))
     # of equal sets one document goes into the matrix
     firsts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(classes.select(F.col("row").alias("doc_id")), "doc_id", "left_semi")
     matrix = _incidence(firsts, blocks, words)
