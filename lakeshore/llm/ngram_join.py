@@ -40,8 +40,10 @@ HASH_BYTES = 1_000_000
 BLOCK_ENTRIES = 500_000
 #: Matrix entries below which a block is not split for the sake of more tasks.
 LEAST_BLOCK_ENTRIES = 50_000
-#: Bits of an n-gram's hash below those that its block implies.
-REST_BITS = 40
+#: Low bits of an n-gram's hash that the matrix keeps; its number has those and as many bits
+#: of its block (the hash's high bits) as fit below the rank.
+REST_BITS = 48
+RANK_SHIFT = 56
 #: Rows of a range, and their entries, that a tile takes twice at most (as averages).
 TILE_ROWS = 1024
 TILE_ENTRIES = 2_000_000
@@ -206,7 +208,8 @@ def _shared_columns(matrix: DataFrame, partitions: int, buckets: int) -> DataFra
         frequency = np.repeat(frequency, frequency)
         many = frequency > 1
         level = np.minimum(255, 8 * np.log2(frequency[many])).astype(np.uint64)
-        return docs[many], sizes[many], (level << np.uint64(56)) | (np.uint64(block) << np.uint64(REST_BITS)) | grams[many]
+        known = np.uint64((block << REST_BITS) & ((1 << RANK_SHIFT) - 1))
+        return docs[many], sizes[many], (level << np.uint64(RANK_SHIFT)) | known | grams[many]
 
     def out(found: list[tuple]) -> pa.RecordBatch:
         docs, sizes, numbers = (np.concatenate(x) for x in zip(*found, strict=True))
