@@ -2,8 +2,12 @@
 
 A page's text blocks are grouped by their root-to-leaf tag path.  A path's text length and
 punctuation per block are smoothed over neighbouring paths, fused with what the path's
-elements stand for, and compared with a threshold; the blocks on paths that pass are the
-content, widened to the container that covers them, less boilerplate parts.
+elements stand for and, outside articles, with the share of its text that is no link, and
+compared with a threshold; the blocks on paths that pass are the content, widened to the
+container that covers them, less boilerplate parts.
+
+Time and memory are linear in the page at any depth: a path is the number of its parent's
+path and a step, open elements are found by name, and no walk to the root is made twice.
 """
 
 from __future__ import annotations
@@ -47,7 +51,7 @@ DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promoted banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login nav navbar "
     "navigation menu breadcrumb breadcrumbs sidebar widget widgets related recommended share sharing social comment "
-    "comments disqus reply replies respond footer copyright toolbar pagination pager paywall".split())
+    "comments disqus reply replies respond footer copyright legal disclaimer toolbar pagination pager paywall".split())
 #: A class or id with one of these words tells about the element's surroundings, as in
 #: "no-sidebar" or "comments-open", and does not mark it.
 STATES = frozenset("no not with without has have is hide hides show shows open opened closed enabled disabled".split())
@@ -65,14 +69,16 @@ SMOOTHING = (0.25, 0.5, 0.25)
 THRESHOLD = 0.15
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
 class Node:
     name: str
-    label: str
+    path: int
     parent: Node | None
+    depth: int
     dropped: bool
     main: float
     in_article: bool
+    in_link: bool = False
     marked: bool = False
 
     @property
@@ -80,11 +86,13 @@ class Node:
         return self.main * (MARKED_WEIGHT if self.marked else 1.0)
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
 class Block:
     node: Node
     pieces: list[str] = field(default_factory=list)
     text: str = ""
+    letters: int = 0  # characters that are no white space, and those of them inside links
+    linked: int = 0
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -106,15 +114,15 @@ def _marks(tokens: list[list[str]], outside: bool) -> tuple[bool, bool]:
     return whole, part
 
 
-def _open(name: str, rest: str, parent: Node | None) -> Node:
+def _open(name: str, rest: str, parent: Node, paths: dict[tuple[int, str], int]) -> Node:
     marks = _attributes(rest) if rest.strip(" /\n\t") else {}
     tokens = [_NAME.findall(t) for t in f"{marks.get('class', '')} {marks.get('id', '')}".lower().split()]
     words = [w for t in tokens for w in t]
-    in_article = bool(parent and parent.in_article)
+    in_article = parent.in_article
     outside = not in_article and name != "article"
     role = marks.get("role", "").lower()
-    dropped = bool(parent and parent.dropped) or name in DROPPED
-    marked = bool(parent and parent.marked)
+    dropped = parent.dropped or name in DROPPED
+    marked = parent.marked
     if name not in ("html", "body", "main") and not dropped:
         dropped = (role in DROPPED_ROLES or "hidden" in marks or marks.get("aria-hidden", "").lower() == "true"
                    or "display:none" in marks.get("style", "").replace(" ", "").lower() or (outside and name == "header"))
@@ -126,38 +134,62 @@ def _open(name: str, rest: str, parent: Node | None) -> Node:
         marked = marked or part
     in_article = in_article or name in ("article", "main") or role == "main"
     main = MAIN_WEIGHT if in_article or not MAIN_WORDS.isdisjoint(words) else OTHER_WEIGHT
-    label = f"{parent.label if parent else ''}/{name}{''.join('.' + w for w in words)}"
-    return Node(name, label, parent, dropped, max(main, parent.main if parent else 0.0), in_article, marked)
+    step = name + "".join("." + w for w in words)
+    path = paths.setdefault((parent.path, step), len(paths) + 1)
+    return Node(name, path, parent, parent.depth + 1, dropped, max(main, parent.main), in_article,
+                parent.in_link or name == "a", marked)
+
+
+class _Open:
+    """The open elements: the innermost one, and by name the depths at which they stand."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("", 0, None, 0, False, OTHER_WEIGHT, False)]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.places: dict[str, list[int]] = {}
+        self.scopes = [0]
+        self.owners = [self.nodes[0]]  # of each open element, the innermost that is not inline
+
+    def enter(self, name: str, rest: str) -> None:
+        node = _open(name, rest, self.nodes[-1], self.paths)
+        self.nodes.append(node)
+        self.places.setdefault(name, []).append(node.depth)
+        self.owners.append(self.owners[-1] if name in INLINE else node)
+        if name in SCOPE:
+            self.scopes.append(node.depth)
+
+    def leave(self, names: tuple[str, ...], scope: bool) -> None:
+        """Close up to the innermost element of ``names``; with ``scope`` only if no element
+        that bounds a scope is open inside it."""
+        depth = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+        if not depth or scope and self.scopes[-1] > depth:
+            return
+        for node in self.nodes[depth:]:
+            self.places[node.name].pop()
+        del self.nodes[depth:], self.owners[depth:]
+        while self.scopes[-1] >= depth:
+            self.scopes.pop()
 
 
 def text_blocks(page: str) -> list[Block]:
     """The page's text blocks, in order: text between two block boundaries."""
-    node = Node("", "", None, False, OTHER_WEIGHT, False)
+    tree = _Open()
     blocks: list[Block] = []
     current: Block | None = None
 
     def add(text: str) -> None:
         nonlocal current
+        node = tree.nodes[-1]
         if node.dropped or not text:
             return
         if current is None:
-            owner = node
-            while owner.parent is not None and owner.name in INLINE:
-                owner = owner.parent
-            current = Block(owner)
+            current = Block(tree.owners[-1])
             blocks.append(current)
         current.pieces.append(text)
-
-    def leave(names: tuple[str, ...], scope: bool) -> None:
-        nonlocal node
-        at = node
-        while at.parent is not None:
-            if at.name in names:
-                node = at.parent
-                return
-            if scope and at.name in SCOPE:
-                return
-            at = at.parent
+        letters = sum(map(len, text.split()))
+        current.letters += letters
+        if node.in_link:
+            current.linked += letters
 
     at = 0
     while (m := _TAG.search(page, at)) is not None:
@@ -169,17 +201,17 @@ def text_blocks(page: str) -> list[Block]:
         if name not in INLINE:
             current = None
         if m["close"]:
-            leave((name,), scope=False)
+            tree.leave((name,), scope=False)
             continue
         if name in ENDS_PARAGRAPH:
-            leave(("p",), scope=True)
+            tree.leave(("p",), scope=True)
         if name in SIBLINGS:
-            leave(SIBLINGS[name], scope=True)
+            tree.leave(SIBLINGS[name], scope=True)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
         elif name not in VOID and not m["rest"].endswith("/"):
-            node = _open(name, m["rest"], node)
+            tree.enter(name, m["rest"])
     add(page[at:])
     for block in blocks:
         block.text = " ".join(html.unescape("".join(block.pieces)).split())
@@ -188,42 +220,45 @@ def text_blocks(page: str) -> list[Block]:
 
 def content_blocks(blocks: list[Block]) -> list[Block]:
     """The blocks on tag paths whose fused ratio passes the threshold."""
-    paths: dict[tuple[str, float], list[float]] = {}
+    paths: dict[tuple[int, float, bool], list[float]] = {}
     for b in blocks:
-        row = paths.setdefault((b.node.label, b.node.weight), [0, 0, 0, b.node.weight])
+        row = paths.setdefault(_path(b), [0, 0, 0, b.node.weight, 0, 0])
         row[0] += len(b.text)
         row[1] += len(_PUNCTUATION.findall(b.text))
         row[2] += 1
+        row[4] += 0 if b.node.in_article else b.linked
+        row[5] += b.letters
     table = np.array(list(paths.values()), float)
     text, marks = table[:, 0] / table[:, 2], (table[:, 1] + 1) / table[:, 2]
     smooth = [np.convolve(np.pad(x, 1, "edge"), SMOOTHING, "valid") for x in (text, marks)]
-    fused = np.sqrt(smooth[0] * smooth[1]) * table[:, 3]
+    fused = np.sqrt(smooth[0] * smooth[1]) * table[:, 3] * (1 - table[:, 4] / np.maximum(table[:, 5], 1))
     passing = {path for path, x in zip(paths, fused, strict=True) if x >= THRESHOLD * fused.max()}
-    return [b for b in blocks if (b.node.label, b.node.weight) in passing]
+    return [b for b in blocks if _path(b) in passing]
 
 
-def _chain(node: Node) -> list[Node]:
-    """The nodes from the page to ``node`` that are no paragraphs or the like."""
-    chain = []
-    at: Node | None = node
-    while at is not None:
-        if at.name not in PARAGRAPHS:
-            chain.append(at)
-        at = at.parent
-    return chain[::-1]
+def _path(block: Block) -> tuple[int, float, bool]:
+    return block.node.path, block.node.weight, block.node.in_article
 
 
-def _common(nodes: list[Node]) -> Node:
-    """The deepest node that covers all ``nodes`` and is no paragraph or the like."""
-    chain = _chain(nodes[0])
-    depth = {id(n): i for i, n in enumerate(chain)}
-    least = len(chain) - 1
+def _common(nodes: list[Node], top: Node | None = None) -> Node:
+    """The deepest node that covers all ``nodes``, which lie below ``top``, and is no
+    paragraph or the like."""
+    seen = set()
+    at: Node | None = nodes[0]
+    while at is not None:  # the first node's way up
+        seen.add(id(at))
+        at = None if at is top else at.parent
+    way, least = set(seen), nodes[0]
     for node in nodes[1:]:
-        at: Node | None = node
-        while id(at) not in depth:
+        at = node
+        while id(at) not in seen:
+            seen.add(id(at))
             at = at.parent
-        least = min(least, depth[id(at)])
-    return chain[least]
+        if id(at) in way and at.depth < least.depth:
+            least = at
+    while least.name in PARAGRAPHS:
+        least = least.parent
+    return least
 
 
 def containers(chosen: list[Block]) -> list[Node]:
@@ -233,12 +268,16 @@ def containers(chosen: list[Block]) -> list[Node]:
     if keep.name not in WHOLE:
         return [keep]
     parts: dict[int, list[Node]] = {}
+    part_of: dict[int, int] = {}
     for b in chosen:
-        at = b.node
-        while at is not keep and at.parent is not keep:
+        at, seen = b.node, []
+        while id(at) not in part_of and at is not keep and at.parent is not keep:
+            seen.append(id(at))
             at = at.parent
-        parts.setdefault(id(at), []).append(b.node)
-    return [node for nodes in parts.values() if (node := _common(nodes)).name not in WHOLE]
+        part = part_of.setdefault(id(at), id(at))
+        part_of.update(dict.fromkeys(seen, part))
+        parts.setdefault(part, []).append(b.node)
+    return [node for nodes in parts.values() if (node := _common(nodes, keep)).name not in WHOLE]
 
 
 def main_text(page: str | None) -> str:

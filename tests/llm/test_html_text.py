@@ -1,9 +1,13 @@
 import html
+import math
+import random
 import re
+import time
+import tracemalloc
 
 import pytest
 
-from lakeshore.llm.html_text import extract, main_text, op10_html_extraction
+from lakeshore.llm.html_text import content_blocks, extract, main_text, op10_html_extraction, text_blocks
 from tests.conftest import SF01
 
 CASES = {
@@ -63,6 +67,65 @@ def test_deep_and_long_pages():
     assert main_text("<article><p>x</p>" + '<a title="unclosed' * 2000).startswith("x")
 
 
+N = 30_000
+HOSTILE = {"nested": ("<div>" * N + "deep" + "</div>" * N, 4), "items": ("<ul><li>x, " * N, 3 * N - 1), "inline": ("<b>" * N + "x<br>" * N, 2 * N - 1),
+           "unmatched ends": ("<div>" * N + "</p></span>" * N + "deep", 4), "siblings": ("<div>" * N + "<li>x" * N, 2 * N - 1),
+           "bodies": ("<body>" * N + "<div>x, y.</div>" * N, 6 * N - 1)}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_depth_costs_no_more_than_length(name):
+    page, size = HOSTILE[name]
+    tracemalloc.start()
+    started = time.perf_counter()
+    assert len(main_text(page)) == size
+    seconds, (_, most) = time.perf_counter() - started, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert seconds < 60 and most < 150 << 20  # walks to the root took minutes, paths as text gigabytes
+
+
+def test_links_and_notices_outside_the_text():
+    text = " ".join(["The page's own text, whole. And some more of it, too."] * 3)
+    for other in ("<div><a href=/>Home</a> <a href=/n>News</a></div>", "<ul><li><a href=/>Home page, of all</a><li><a href=/n>News</a></ul>",
+                  "<div class=legal-disclaimer>No advice, of any kind. Ask a lawyer.</div>"):
+        assert main_text(f"<html><body>{other}<div id=content><p>{text}</p></div>{other}</body></html>") == text
+    linked = f"<article><p>{text}</p><p><a href=/more>More of it.</a></p></article>"
+    assert main_text(linked) == f"{text} More of it."  # a link of the article stays
+    assert main_text("<div><a href=/>Only a link.</a></div>") == "Only a link."
+
+
+def plain_content(blocks):
+    """Blocks on passing paths, each path written out by walking up."""
+    def path(b):
+        steps, at = [], b.node
+        while at is not None:
+            steps.append((at.path, at.name))
+            at = at.parent
+        return tuple(steps), b.node.weight, b.node.in_article
+
+    order = list(dict.fromkeys(map(path, blocks)))
+    rows = [[b for b in blocks if path(b) == k] for k in order]
+    text = [sum(len(b.text) for b in r) / len(r) for r in rows]
+    marks = [(sum(c in ".,;:!?" for b in r for c in b.text) + 1) / len(r) for r in rows]
+    free = [1 - (0 if r[0].node.in_article else sum(b.linked for b in r) / max(1, sum(b.letters for b in r))) for r in rows]
+
+    def smooth(x, i):
+        return 0.25 * x[max(0, i - 1)] + 0.5 * x[i] + 0.25 * x[min(len(x) - 1, i + 1)]
+
+    value = [math.sqrt(smooth(text, i) * smooth(marks, i)) * order[i][1] * free[i] for i in range(len(rows))]
+    return [b for b in blocks if value[order.index(path(b))] >= 0.15 * max(value)]
+
+
+def test_path_table_equals_brute_force():
+    rng = random.Random(5)
+    bits = ["<div>", "</div>", "<p>", "<ul><li>", "</ul>", "<b>", "</b>", "<a href=x>", "</a>", "<article>", "</article>", "text, here. ", "more words ",
+            "<div class=note>", "<section class='side comments'>", "</section>", "a long text, with marks; and more: of it. "]
+    for _ in range(1500):
+        blocks = text_blocks("".join(rng.choice(bits) for _ in range(rng.randrange(1, 40))))
+        if blocks:
+            assert list(map(id, content_blocks(blocks))) == list(map(id, plain_content(blocks)))
+
+
 def test_rows(spark):
     pages = [(1, "u", "<p>x y", "clash"), (1, "u", "<p>x y", "clash"), (2, None, None, None), (None, "v", "", None)]
     out = extract(spark.createDataFrame(pages, "page_id long, url string, html string, text string")).collect()
