@@ -5,6 +5,10 @@ and the pairs of codes form a grid of cells.  A vector is stored in its nearest
 searches the cells in the order of their distance (the sum over halves, the multi-sequence
 order) as far as a margin that is set on simulated neighbours for a target recall.  Pairs
 found are verified exactly.  Equal vectors are one stored vector with a multiplicity.
+
+The codebooks have the commonest length of the sample; vectors of another length are put in
+cells by their first components, or with zeros added, which brings no two of them further
+apart, and are compared whole with those of their own length.
 """
 
 from __future__ import annotations
@@ -109,13 +113,22 @@ def fit(sample: np.ndarray, rows: int, labels: int, least: float = LEAST_COSINE,
     return Index(index.books, float(np.quantile(gaps, recall)) + 1e-9)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+def _matrix(column: pa.Array, length: int = 0) -> np.ndarray:
+    """Vectors as rows of ``length`` components (0: the commonest length, the least of equals)."""
+    rows = [np.frombuffer(x, np.float64) for x in column.to_pylist()]
+    if not length:
+        sizes, counts = np.unique([len(x) for x in rows], return_counts=True)
+        length = int(sizes[counts.argmax()])
+    out = np.zeros((len(rows), length))
+    for i, x in enumerate(rows):
+        out[i, : len(x)] = x[:length]
+    return out
 
 
 def unit_vectors(table: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """``vec_id, label, unit`` (bytes of doubles) of the vectors that can link: those with a
-    label, of finite components, not null, empty or zero."""
+    """``vec_id, label, unit``: the label with the vector's length before it, and the scaled
+    vector (bytes of doubles), null unless it can link: it has finite components and is not
+    null, empty or zero."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units = []
@@ -132,22 +145,25 @@ def unit_vectors(table: DataFrame, key: str, vector: str, label: str) -> DataFra
 
     source = table.select(table[key].cast("long").alias("vec_id"), table[label].cast("string").alias("label"),
                           table[vector].alias("vector"))
-    return source.mapInArrow(run, "vec_id long, label string, unit binary")
+    units = source.mapInArrow(run, "vec_id long, label string, unit binary")
+    return units.withColumn("label", F.concat(F.length("unit") / 8, F.lit(":"), "label"))
 
 
 def _searches(stored: DataFrame, index: Index) -> DataFrame:
-    """``id, label, unit, copies, home, cells``: each stored vector's cell and search."""
+    """``node, label, unit, copies, home, cells``: each stored vector's cell and search."""
+    length = sum(b.shape[1] for b in index.books)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = _matrix(batch.column("unit"))
+            vectors = _matrix(batch.column("unit"), length)
             rows, cells = index.cells(vectors)
             lists = np.split(cells, np.flatnonzero(np.diff(rows)) + 1) if len(rows) else []
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("id", "label", "unit", "copies")), pa.array(index.home(vectors) if len(vectors) else [], pa.int64()),
+                [*(batch.column(c) for c in ("node", "label", "unit", "copies")), pa.array(index.home(vectors) if len(vectors) else [], pa.int64()),
                  pa.array([c.tolist() for c in lists], pa.list_(pa.int64()))],
-                names=["id", "label", "unit", "copies", "home", "cells"])
+                names=["node", "label", "unit", "copies", "home", "cells"])
 
-    return stored.mapInArrow(run, "id long, label string, unit binary, copies long, home long, cells array<bigint>")
+    return stored.mapInArrow(run, "node long, label string, unit binary, copies long, home long, cells array<bigint>")
 
 
 def _compare(blocks: DataFrame, least: float) -> DataFrame:
@@ -161,7 +177,7 @@ def _compare(blocks: DataFrame, least: float) -> DataFrame:
             return none, none, none, none
         x, y = (np.frombuffer(b"".join(r["unit"] for r in part), np.float64).reshape(len(part), -1) for part in (asking, kept))
         i, j = np.nonzero(x @ y.T >= least - 1e-9)
-        q, s = (np.array([r["id"] for r in part], np.int64) for part in (asking, kept))
+        q, s = (np.array([r["node"] for r in part], np.int64) for part in (asking, kept))
         exact = (x[i] * y[j]).sum(1) >= least
         i, j = i[exact], j[exact]
         other = q[i] != s[j]
@@ -215,45 +231,50 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
                     least: float = LEAST_COSINE, recall: float = TARGET_RECALL) -> DataFrame:
     """``key, n_links, component_id, kept`` of every row of ``table``.
 
-    Vectors of equal label link from cosine ``least`` on.  Null, zero and non-finite
-    vectors and null labels link with nothing; a row without key has no component.  Rows
-    that repeat are copies, linked with each other; vectors must be of one length.
+    Vectors of equal label and length link from cosine ``least`` on.  Null, empty, zero and
+    non-finite vectors and null labels link with nothing; a row without key has no
+    component.  Rows that repeat are copies, linked with each other.  Rows that share a key
+    with different vectors or labels are vectors of their own: each counts as one link of
+    those it is linked with, and has its own class.
     """
     spark = table.sparkSession
     folder = work_folder(spark, "inverted-index")
     units = saved(unit_vectors(table, key, vector, label), f"{folder}/units")
     usable = units.where("unit IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL")
-    stored = saved(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), f"{folder}/stored")
+    stored = saved(usable.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+                   .withColumn("node", F.monotonically_increasing_id()), f"{folder}/stored")
     rows, labels = stored.agg(F.count("*"), F.count_distinct("label")).first()
     if not rows:
         return units.select(F.col("vec_id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.lit(True).alias("kept"))
-    some = stored.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("unit").toArrow()  # bounded
+    some = stored.orderBy(F.xxhash64("id"), "id", "label", "unit").limit(SAMPLE_ROWS).select("unit").toArrow()  # bounded
     index = fit(_matrix(some.column("unit").combine_chunks()), rows, labels, least, recall)
     searches = saved(_searches(stored, index), f"{folder}/searches")
 
     # blocks of a cell: its vectors and the searches into it, in tiles of bounded size
-    own = searches.select("label", F.col("home").alias("cell"), "id", "unit", "copies", "home", "cells")
-    asked = searches.select("label", F.explode("cells").alias("cell"), "id", "unit", "copies", "home")
+    own = searches.select("label", F.col("home").alias("cell"), "node", "unit", "copies", "home", "cells")
+    asked = searches.select("label", F.explode("cells").alias("cell"), "node", "unit", "copies", "home")
     sizes = (own.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("stored_tiles"))
              .join(asked.groupBy("label", "cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("asked_tiles")), ["label", "cell"]))
-    spread = F.pmod(F.xxhash64("id"), F.lit(2**31)).cast("long")
+    spread = F.pmod(F.xxhash64("node"), F.lit(2**31)).cast("long")
 
     def tiles(rows: DataFrame, mine: str, theirs: str, first: bool) -> DataFrame:
         tiled = rows.join(sizes, ["label", "cell"]).withColumn("mine", spread % F.col(mine)).withColumn(
             "theirs", F.explode(F.sequence(F.lit(0).cast("long"), F.col(theirs) - 1)))
         tile = ("mine", "theirs") if first else ("theirs", "mine")
         return tiled.select(F.concat_ws("|", "label", "cell", *tile).alias("block"), F.lit(first).alias("stored"),
-                            "id", "unit", "copies", "home", F.col("cells") if first else F.lit(None).cast("array<bigint>").alias("cells"))
+                            "node", "unit", "copies", "home", F.col("cells") if first else F.lit(None).cast("array<bigint>").alias("cells"))
 
     blocks = tiles(own, "stored_tiles", "asked_tiles", True).unionByName(tiles(asked, "asked_tiles", "stored_tiles", False))
     dealt = blocks.repartition(parallelism(spark), "block").sortWithinPartitions("block")
     found = saved(_compare(dealt, least), f"{folder}/links")
-    counts = found.where("kind = 1").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("linked"))
-    classes = components(found.where("kind = 0").select("a", "b")).withColumnRenamed("node", "id")
-    named = (stored.join(counts, "id", "left").join(classes, "id", "left")
+    counts = found.where("kind = 1").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("linked"))
+    others = components(found.where("kind = 0").select("a", "b"))
+    classes = others.unionByName(others.select(F.col("component").alias("node"), "component").distinct())
+    least_ids = classes.join(stored, "node").groupBy("component").agg(F.min("id").alias("least_id"))
+    named = (stored.join(counts, "node", "left").join(classes, "node", "left").join(least_ids, "component", "left")
              .select("label", "unit", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
-                     F.coalesce("component", "id").alias("component_id")))
+                     F.coalesce("least_id", "id").alias("component_id")))
     joined = units.withColumn("usable", F.when(F.col("vec_id").isNotNull(), F.col("unit"))).join(
         named.withColumnRenamed("unit", "usable"), ["label", "usable"], "left")
     component = F.coalesce("component_id", "vec_id")

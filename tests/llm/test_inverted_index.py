@@ -74,6 +74,25 @@ def test_empty_and_unusable_tables(spark):
     assert sorted((r.vec_id or 0, r.n_links) for r in out) == [(0, 0), (1, 0)]
 
 
+def test_lengths_and_repeated_ids(spark):
+    """Vectors link with those of their length only; rows that share an id are vectors of their own."""
+    rng = np.random.default_rng(9)
+    rows, links = [], {}
+    for dims in (1, 5, 16, 16, 16, 40):
+        base = rng.standard_normal(dims)
+        start = len(rows)
+        for k in range(4):
+            v = base if k < 2 else base + 0.02 * rng.standard_normal(dims)
+            rows.append([len(rows), v.tolist(), dims % 2, None])
+        links.update({i: start for i in range(start, len(rows))})
+    rows += [[900, [1.0, 0.0, 0.0], 7, None], [900, [0.99, 0.01, 0.0], 7, None], [900, [0.0, 1.0, 0.0], 7, None], [3000, [0.98, 0.02, 0.0], 7, None],
+             [901, [1.0, 0.0, 0.0], 7, None], [902, [1.0, 0.0, 0.0], 8, None]]
+    got = [tuple(r) for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(r[:3] for r in got if r[0] < 900) == [(i, 3, links[i]) for i in sorted(links)]
+    assert sorted(r for r in got if r[0] >= 900) == [(900, 0, 900, True), (900, 3, 900, True), (900, 3, 900, True), (901, 3, 900, False),
+                                                     (902, 0, 902, True), (3000, 3, 900, False)]
+
+
 def test_recall_of_the_query(spark):
     from lakeshore.llm.inverted_index import op3_embedding_near_dedup
 
