@@ -42,6 +42,7 @@ MIN_EXCEPTION = 3
 RIDGE = 0.05
 
 _HIDDEN = re.compile(r"[\xad\u200b-\u200d\u2060\ufeff]")
+_WORD = re.compile(r"\S+")
 _INSIDE = re.compile(r"(?<=[A-Za-z0-9])[$@](?=[A-Za-z0-9])")
 
 
@@ -115,7 +116,14 @@ class Matcher:
                 void.append((start, end))
             elif start not in found or size > found[start][0]:
                 found[start] = (size, weight)
-        return [(s, w) for s, (_, w) in sorted(found.items()) if not any(a <= s < b for a, b in void)]
+        out, void, at, reach = [], sorted(void), 0, -1
+        for start, (_, weight) in sorted(found.items()):
+            while at < len(void) and void[at][0] <= start:
+                reach = max(reach, void[at][1])
+                at += 1
+            if start >= reach:
+                out.append((start, weight))
+        return out
 
     def features(self, text: str) -> tuple[float, float]:
         """Matched weight, and matched weight per hundred words, both as log(1 + x)."""
@@ -182,15 +190,18 @@ def _lexicon(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
 
 
 def _contexts(model: Model):
+    """The phrases around a text's matches: the word, with the one before, with the one after."""
     def build():
         matcher = model.matcher()
 
         def find(folded: str) -> set[str]:
             out = set()
-            for start, _ in matcher.hits(folded):
-                before = folded[max(0, start - 60): start].split()[-1:]
-                after = folded[start: start + 120].split()[:2]
-                out |= {f" {' '.join(p)} " for p in (after[:1], before + after[:1], after) if p}
+            if hits := matcher.hits(folded):
+                words = folded.split()
+                place = {m.start(): k for k, m in enumerate(_WORD.finditer(folded))}
+                for start, _ in hits:
+                    k = place[start + 1]  # an entry begins with the blank before its word
+                    out |= {f" {' '.join(words[a:b])} " for a, b in ((k, k + 1), (max(0, k - 1), k + 1), (k, k + 2))}
             return out
         return find
     return build
@@ -242,7 +253,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with a ``score`` of its text (0 to 1); a null text scores as an empty one.
-    A column ``score`` of ``docs`` is replaced."""
+    Texts that fold alike have equal scores.  A column ``score`` of ``docs`` is replaced."""
     kept = [f for f in docs.schema if f.name != "score"]
     names = [f.name for f in kept]
 

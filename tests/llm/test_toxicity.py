@@ -1,7 +1,8 @@
+import random
 import zlib
 
 from lakeshore.llm import toxicity
-from lakeshore.llm.toxicity import Matcher, Model, fold, score, train
+from lakeshore.llm.toxicity import Matcher, Model, _contexts, fold, score, train
 from tests.conftest import SF01
 
 
@@ -77,3 +78,38 @@ def test_held_out_accuracy_of_the_query(spark):
     assert sum(p == y for p, y in judged) >= 0.9 * len(judged)
     clean = [p for p, y in judged if y == 0]
     assert sum(clean) <= 0.05 * len(clean)
+
+
+def plain_hits(model, folded):
+    """Every entry looked for at every place, every match compared with every exception."""
+    void = [(i, i + len(p) - 1) for p in model.exceptions for i in range(len(folded)) if folded.startswith(p, i)]
+    out = []
+    for i in range(len(folded)):
+        fits = [p for p in model.weights if folded.startswith(p, i)]
+        if fits and not any(a <= i < b for a, b in void):
+            out.append((i, model.weights[max(fits, key=len)]))
+    return out
+
+
+def test_matches_equal_plain_search():
+    rng = random.Random(4)
+    words = ["ab", "abc", "abcd", "b", "ba", "cab", "dd"]
+    for _ in range(300):
+        entries = {f" {w}" + rng.choice(["", " "]): rng.random() for w in rng.sample(words, 3)}
+        phrases = tuple({f" {' '.join(rng.choices(words, k=rng.randrange(1, 4)))} " for _ in range(3)})
+        model = Model(entries, phrases)
+        text = fold(" ".join(rng.choices(words, k=rng.randrange(0, 30))))
+        assert model.matcher().hits(text) == plain_hits(model, text)
+
+
+def test_many_matches_and_exceptions():
+    model = Model({" bad ": 1.0}, (" bad dog ",))
+    assert len(model.matcher().hits(fold("bad dog, bad man " * 100_000))) == 100_000
+
+
+def test_neighbours_are_whole_words():
+    model = Model({" bad ": 1.0})
+    long = "x" * 500
+    assert _contexts(model)()(fold(f"{long} bad {long} y")) == {" bad ", f" {long} bad ", f" bad {long} "}
+    assert _contexts(model)()(fold("bad")) == {" bad "}
+    assert _contexts(model)()(fold("good")) == set()
