@@ -91,7 +91,7 @@ class Block:
     node: Node
     pieces: list[str] = field(default_factory=list)
     text: str = ""
-    letters: int = 0  # characters that are no white space, and those of them inside links
+    letters: int = 0  # characters of the pieces, less white space at their ends, and those inside links
     linked: int = 0
 
 
@@ -115,28 +115,32 @@ def _marks(tokens: list[list[str]], outside: bool) -> tuple[bool, bool]:
 
 
 def _open(name: str, rest: str, parent: Node, paths: dict[tuple[int, str], int]) -> Node:
-    marks = _attributes(rest) if rest.strip(" /\n\t") else {}
-    tokens = [_NAME.findall(t) for t in f"{marks.get('class', '')} {marks.get('id', '')}".lower().split()]
-    words = [w for t in tokens for w in t]
     in_article = parent.in_article
     outside = not in_article and name != "article"
-    role = marks.get("role", "").lower()
-    dropped = parent.dropped or name in DROPPED
-    marked = parent.marked
-    if name not in ("html", "body", "main") and not dropped:
-        dropped = (role in DROPPED_ROLES or "hidden" in marks or marks.get("aria-hidden", "").lower() == "true"
-                   or "display:none" in marks.get("style", "").replace(" ", "").lower() or (outside and name == "header"))
-        whole, part = _marks(tokens, outside)
-        # a container of main text is not dropped for its class; an article in an article may be a comment
-        holds = any(len(t) == 1 and t[0] in MAIN_WORDS for t in tokens) or role == "main"
-        if whole and not holds and (in_article or name != "article"):
-            dropped = True
-        marked = marked or part
+    dropped = parent.dropped or name in DROPPED or (outside and name == "header")
+    marked, role, step, main = parent.marked, "", name, parent.main
+    if rest and not rest.isspace():
+        marks = _attributes(rest)
+        tokens = [_NAME.findall(t) for t in f"{marks.get('class', '')} {marks.get('id', '')}".lower().split()]
+        role = marks.get("role", "").lower()
+        if name not in ("html", "body", "main") and not dropped:
+            dropped = (role in DROPPED_ROLES or "hidden" in marks or marks.get("aria-hidden", "").lower() == "true"
+                       or "display:none" in marks.get("style", "").replace(" ", "").lower())
+            whole, part = _marks(tokens, outside)
+            # a container of main text is not dropped for its class; an article in an article may be a comment
+            holds = any(len(t) == 1 and t[0] in MAIN_WORDS for t in tokens) or role == "main"
+            if whole and not holds and (in_article or name != "article"):
+                dropped = True
+            marked = marked or part
+        for word in (w for t in tokens for w in t):
+            step += f".{word}"
+            if word in MAIN_WORDS:
+                main = MAIN_WEIGHT
     in_article = in_article or name in ("article", "main") or role == "main"
-    main = MAIN_WEIGHT if in_article or not MAIN_WORDS.isdisjoint(words) else OTHER_WEIGHT
-    step = name + "".join("." + w for w in words)
+    if in_article:
+        main = MAIN_WEIGHT
     path = paths.setdefault((parent.path, step), len(paths) + 1)
-    return Node(name, path, parent, parent.depth + 1, dropped, max(main, parent.main), in_article,
+    return Node(name, path, parent, parent.depth + 1, dropped, main, in_article,
                 parent.in_link or name == "a", marked)
 
 
@@ -161,12 +165,15 @@ class _Open:
     def leave(self, names: tuple[str, ...], scope: bool) -> None:
         """Close up to the innermost element of ``names``; with ``scope`` only if no element
         that bounds a scope is open inside it."""
-        depth = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+        depth = 0
+        for name in names:
+            if (places := self.places.get(name)) and places[-1] > depth:
+                depth = places[-1]
         if not depth or scope and self.scopes[-1] > depth:
             return
-        for node in self.nodes[depth:]:
-            self.places[node.name].pop()
-        del self.nodes[depth:], self.owners[depth:]
+        while len(self.nodes) > depth:
+            self.places[self.nodes.pop().name].pop()
+            self.owners.pop()
         while self.scopes[-1] >= depth:
             self.scopes.pop()
 
@@ -186,7 +193,7 @@ def text_blocks(page: str) -> list[Block]:
             current = Block(tree.owners[-1])
             blocks.append(current)
         current.pieces.append(text)
-        letters = sum(map(len, text.split()))
+        letters = len(text.strip())
         current.letters += letters
         if node.in_link:
             current.linked += letters
