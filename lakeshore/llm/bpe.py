@@ -76,6 +76,16 @@ class PerfectHash:
         return place if self.keys[place] == key else -1
 
 
+def _slices(values: pa.LargeBinaryArray, ends: np.ndarray) -> list[memoryview]:
+    """The values between consecutive ends, joined: they stand one after the other."""
+    if values.null_count:
+        raise KeyError("an id without a token")
+    _, offsets, data = values.buffers()
+    places = np.frombuffer(offsets, np.int64)[np.concatenate([[0], ends])].tolist()
+    joined = memoryview(data if data is not None else b"")
+    return [joined[a:b] for a, b in zip(places, places[1:])]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary of ranks."""
 
@@ -85,6 +95,9 @@ class Codec:
         self.hash = PerfectHash(list(ranks))
         self.id_at = [ranks.get(key, -1) for key in self.hash.keys]
         self.token = {i: token for token, i in ranks.items()}
+        known = range(max(self.token, default=-1) + 1)
+        self._tokens = pa.array([self.token.get(i) for i in known], pa.large_binary())
+        self._decimals = pa.array([b"%d," % i for i in known], pa.large_binary())
         self._memo: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
@@ -127,6 +140,14 @@ class Codec:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
+    def decode_block(self, ids: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        """The bytes of every text of a block, given all ids and where each text's end."""
+        return _slices(self._tokens.take(pa.array(ids)), ends)
+
+    def decimal_block(self, ids: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+        """The decimal ids of every text of a block, joined by commas."""
+        return [text[:-1] for text in _slices(self._decimals.take(pa.array(ids)), ends)]
+
     def _word(self, word: str) -> bytes:
         ids = self._memo.get(word)
         if ids is None:
@@ -191,17 +212,17 @@ def encode_column(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        decimal = [str(i) for i in range(max(coder.token) + 1)]
         for batch in batches:
             counts, encoded, decoded, lists = [], [], [], []
             for block in blocks([t or "" for t in batch.column(1).to_pylist()]):
-                for found in coder.encode_block(block):
-                    numbers = found.tolist()
-                    counts.append(len(numbers))
-                    encoded.append(hashlib.sha256(",".join(map(decimal.__getitem__, numbers)).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(coder.decode(numbers)).hexdigest())
-                    if ids:
-                        lists.append(numbers)
+                found = coder.encode_block(block)
+                lengths = list(map(len, found))
+                together, ends = np.concatenate(found), np.cumsum(lengths)
+                counts += lengths
+                encoded += [hashlib.sha256(text).hexdigest() for text in coder.decimal_block(together, ends)]
+                decoded += [hashlib.sha256(text).hexdigest() for text in coder.decode_block(together, ends)]
+                if ids:
+                    lists += [numbers.tolist() for numbers in found]
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
             if ids:
                 columns.append(pa.array(lists, pa.list_(pa.int32())))

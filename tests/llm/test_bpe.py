@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -72,3 +73,15 @@ def test_query(spark, reference):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_a_block_is_digested_from_joined_bytes():
+    coder = codec(PATH)
+    for texts in ([""], ["", ""], ["", *TEXTS, ""]):
+        found = coder.encode_block(texts)
+        together, ends = np.concatenate(found), np.cumsum([len(ids) for ids in found])
+        assert [bytes(b) for b in coder.decode_block(together, ends)] == [t.encode() for t in texts]
+        assert [bytes(b) for b in coder.decimal_block(together, ends)] == [",".join(map(str, ids.tolist())).encode() for ids in found]
+    small = Codec({b"a": 0, b"b": 2}, ".")
+    with pytest.raises(KeyError):
+        small.decode_block(np.array([0, 1], "<u4"), np.array([2]))
