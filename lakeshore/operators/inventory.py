@@ -10,16 +10,26 @@ one-file batch.
 
 from __future__ import annotations
 
+import base64
+import ctypes
+import functools
 import hashlib
+import itertools
+import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshore.functions.text import object_uri
 
+# Tasks get this module's functions whole: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MANIFEST_FILE = T.StructType([
     T.StructField("role", T.StringType()),
     T.StructField("format", T.StringType()),
@@ -191,80 +201,185 @@ def require_unique(df: DataFrame, key: str) -> None:
     _refuse(duplicate_keys(df, key), key, "Duplicate values")
 
 
-#: Files below this size are read as one binary row each; Spark's rows end at 2 GiB.
+#: Packed files below this size are read as one binary row each; Spark's rows end at 2 GiB.
 MAX_ROW_BYTES = 2**31 - 1
+#: What one task reads of a file, about; smaller files are read as one binary row each.
+TASK_BYTES = 128 << 20
+#: A split's pieces are joined to blocks of about this size before they are shuffled.
+_BLOCK_BYTES = 1 << 20
 #: The byte that larger files are cut at, and the mark that the reader drops at their start.
-_CUT, _MARK = "\n", b"\xef\xbb\xbf"
+_CUT, _MARK = b"\n", b"\xef\xbb\xbf"
 #: Names that Spark's readers would unpack.
 _PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst|xz)$"
 
 
-def file_inventory(spark: SparkSession, root: str, glob: str = "*", row_bytes: int = MAX_ROW_BYTES) -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, glob: str = "*", row_bytes: int = MAX_ROW_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Path, name, size and SHA-256 per file below ``root``.
 
-    A file of ``row_bytes`` or more does not fit a row: executors read it in pieces, and a
-    task of its own digests them in order (:func:`_streamed_digests`).  The driver sees the
-    names of such files, not their bytes, but for names that Spark's readers would unpack:
-    their bytes are streamed in small pieces through the driver's file system client.
+    A file of ``task_bytes`` or more (or ``row_bytes``, if less) is read by many tasks, which
+    hand its digest on from one to the next (:func:`_streamed_digests`).  The driver sees the
+    names and digests of such files, not their bytes.  Names that Spark's readers would unpack
+    cannot be read in part: below ``row_bytes`` they are a row each, and the bytes of larger
+    ones are streamed in small pieces through the driver's file system client.
     """
+    whole = min(row_bytes, task_bytes) if _sha256_calls() else row_bytes
     found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-    rows = found.where(F.col("length") < row_bytes).select(
-        F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("checksum_sha256"))
-    large = found.where(F.col("length") >= row_bytes).select("path", F.col("_metadata.file_path").alias("uri"), "length")
-    named = [(r["path"], r["length"], r["packed"]) for r in large.select("path", "length", F.col("path").rlike(_PACKED).alias("packed")).collect()]
-    plain = [path for path, _, packed in named if not packed]
+
+    def digested(files: DataFrame) -> DataFrame:
+        return files.select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("checksum_sha256"))
+
+    rows = digested(found.where(F.col("length") < whole))
+    large = found.where(F.col("length") >= whole).select("path", F.col("_metadata.file_path").alias("uri"), "length", F.col("path").rlike(_PACKED).alias("packed")).collect()
+    one_row = [_literal(r["path"]) for r in large if r["packed"] and r["length"] < row_bytes]
+    if one_row:
+        rows = rows.unionByName(digested(spark.read.format("binaryFile").load(one_row)))
+    digests = [(r["path"], r["length"], _driver_digest(spark, r["path"])) for r in large if r["packed"] and r["length"] >= row_bytes]
+    plain = [r for r in large if not r["packed"]]
     if plain:
-        streamed = large.join(_streamed_digests(spark, plain), "uri").select("path", "length", "checksum_sha256")
-        rows = rows.unionByName(streamed.toDF(*rows.columns))
-    if len(plain) < len(named):
-        digests = [(path, size, _driver_digest(spark, path)) for path, size, packed in named if packed]
+        streamed = _streamed_digests(spark, [(r["path"], r["uri"], r["length"]) for r in plain], task_bytes)
+        digests += [(r["path"], r["length"], streamed[r["uri"]]) for r in plain]
+    if digests:
         rows = rows.unionByName(spark.createDataFrame(digests, rows.schema))
     return rows.select("file_path", F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "checksum_sha256")
 
 
-def _streamed_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``uri, checksum_sha256`` of large files.
+def _literal(path: str) -> str:
+    """``path`` for a reader that takes patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _sha256_calls() -> ctypes.CDLL | None:
+    """The OpenSSL that ``hashlib`` is linked with, if a digest's state can be taken from it."""
+    try:
+        import _hashlib
+
+        calls = ctypes.CDLL(_hashlib.__file__)
+        calls.SHA256_Update.argtypes = [ctypes.c_void_p, ctypes.c_char_p, ctypes.c_size_t]
+        first = _Sha256(calls)
+        first.update(b"ab")
+        second = _Sha256(calls, first.state())
+        second.update(b"c")
+        return calls if second.hexdigest() == hashlib.sha256(b"abc").hexdigest() else None
+    except (ImportError, AttributeError, OSError):
+        return None
+
+
+class _Sha256:
+    """A SHA-256 digest that another process can go on with from its ``state``; those of
+    ``hashlib`` cannot leave theirs."""
+
+    def __init__(self, calls: ctypes.CDLL, state: bytes | None = None):
+        self._calls = calls
+        self._held = ctypes.create_string_buffer(state or b"", 256)  # OpenSSL's SHA256_CTX has 112 bytes
+        if state is None:
+            calls.SHA256_Init(self._held)
+
+    def update(self, data: bytes) -> None:
+        self._calls.SHA256_Update(self._held, data, len(data))
+
+    def state(self) -> bytes:
+        return self._held.raw
+
+    def copy(self) -> _Sha256:
+        return _Sha256(self._calls, self.state())
+
+    def hexdigest(self) -> str:
+        out = ctypes.create_string_buffer(32)
+        self._calls.SHA256_Final(out, self.copy()._held)
+        return out.raw.hex()
+
+
+def _streamed_digests(spark: SparkSession, files: list[tuple[str, str, int]], task_bytes: int) -> dict[str, str]:
+    """SHA-256 by uri of large files, given by path, uri and size.
 
     The text source splits the files among tasks and cuts them at newline bytes (any bytes
-    pass as they are).  The pieces of a file are sorted by their split and place, by a sort
-    that spills, and fed to one digest each: SHA-256 has no parallel form.  A file with
-    2 GiB between two newlines is beyond a row, and an error.
+    pass as they are).  One shuffle sorts the pieces into steps of about ``task_bytes``, a
+    partition each.  SHA-256 has no parallel form, so the steps of a file are digested by one
+    task after the other, each from the state that the last one left; the files go side by
+    side.  A file with 2 GiB between two newlines is beyond a row, and an error.  Where
+    OpenSSL cannot be reached from Python (:func:`_sha256_calls`), a file is one step.
     """
-    pieces = spark.read.option("lineSep", _CUT).text(paths).select(
-        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"), F.col("value").cast("binary").alias("value"))
-    ordered = pieces.repartition(len(paths), "uri").sortWithinPartitions("uri", "start", "place").select("uri", "size", "value")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uri, size, fed, digests = None, 0, 0, []
-
-        def feed(data: bytes) -> None:
-            nonlocal fed
-            fed += len(data)
-            for digest in digests:
-                digest.update(data)
-
-        def close() -> pa.RecordBatch:
-            # the size tells whether the reader dropped a mark, and a closing newline, which
-            # cuts off no piece
-            marked = size - fed >= len(_MARK)
-            if size - fed - len(_MARK) * marked:
-                feed(_CUT.encode())
-            return pa.RecordBatch.from_pydict({"uri": [uri], "checksum_sha256": [digests[marked].hexdigest()]})
+    steps = {uri: -(-size // task_bytes) if _sha256_calls() else 1 for _, uri, size in files}
+    firsts = dict(zip(steps, itertools.accumulate(steps.values(), initial=0)))
+    pieces = spark.read.option("lineSep", _CUT.decode()).text([_literal(path) for path, _, _ in files]).select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, part, at, begin, held, lines = None, None, 0, 0, 0, []
+
+        def joined() -> Iterator[pa.RecordBatch]:
+            uri, start = split
+            data = (_CUT if begin else b"") + _CUT.join(lines)
+            for low in range(0, len(data), _BLOCK_BYTES):
+                columns = [part], [uri], [start], [begin + low], [data[low:low + _BLOCK_BYTES]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "uri", "start", "begin", "block"])
 
         for batch in batches:
-            for here, whole, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if here != uri:
-                    if digests:
-                        yield close()
-                    uri, size, fed, digests = here, whole, 0, [hashlib.sha256(), hashlib.sha256(_MARK)]
-                else:
-                    feed(_CUT.encode())
-                feed(value)
-        if digests:
-            yield close()
-
-    return ordered.mapInArrow(run, "uri string, checksum_sha256 string")
+            for uri, start, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (uri, start) != split:
+                    if lines:
+                        yield from joined()
+                    split, part, at, lines = (uri, start), None, start, []
+                # a split's first piece begins a little after its start, so no piece is put into
+                # a later step than one that follows it
+                here = firsts[uri] + min(at // task_bytes, steps[uri] - 1)
+                if here != part or held + len(value) > _BLOCK_BYTES:
+                    if lines:
+                        yield from joined()
+                    part, begin, held, lines = here, at, 0, []
+                lines.append(value)
+                held += len(value) + 1
+                at += len(value) + 1
+        if lines:
+            yield from joined()
+
+    types = pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.binary()
+    blocks = pieces.mapInArrow(join, "part int, uri string, start long, begin long, block binary")
+    # text, because Spark pickles binary values of an RDD's rows slowly
+    parted = blocks.repartitionById(sum(steps.values()), "part").sortWithinPartitions("uri", "start", "begin").select("uri", F.base64("block")).rdd
+
+    def digest(uris: list[str], head: bytes) -> dict[str, tuple[int, bytes | None, dict[int, str]]]:
+        left = dict.fromkeys(uris, _left(0, _begun(head)))
+        for step in range(max((steps[uri] for uri in uris), default=0)):
+            before = {uri: left[uri] for uri in uris if steps[uri] > step}
+            left.update(spark.sparkContext.runJob(parted, functools.partial(_feed, before, head), [firsts[uri] + step for uri in before]))
+        return left
+
+    sizes = {uri: size for _, uri, size in files}
+    left = digest(list(sizes), b"")
+    # the size tells whether the reader dropped a mark; such files, which are rare, go again
+    marked = [uri for uri, (fed, _, _) in left.items() if sizes[uri] - fed >= len(_MARK)]
+    left.update({uri: (fed + len(_MARK), state, ends) for uri, (fed, state, ends) in digest(marked, _MARK).items()})
+    # and whether a newline closes the file, which cuts off no piece
+    return {uri: ends[sizes[uri] - fed] for uri, (fed, _, ends) in left.items()}
+
+
+def _begun(head: bytes) -> _Sha256 | hashlib._Hash:
+    digest = _Sha256(_sha256_calls()) if _sha256_calls() else hashlib.sha256()
+    digest.update(head)
+    return digest
+
+
+def _left(fed: int, digest: _Sha256 | hashlib._Hash) -> tuple[int, bytes | None, dict[int, str]]:
+    """What a step hands on: the bytes fed, the state, and the digests of all bytes so far
+    and of these and a newline, by the bytes added."""
+    closed = digest.copy()
+    closed.update(_CUT)
+    return fed, digest.state() if isinstance(digest, _Sha256) else None, {0: digest.hexdigest(), len(_CUT): closed.hexdigest()}
+
+
+def _feed(before: dict, head: bytes, rows: Iterator) -> Iterator[tuple]:
+    """Feeds one step of a file to its digest, which begins with ``head``."""
+    uri = None
+    for here, block in rows:
+        if uri is None:
+            uri, (fed, state, _) = here, before[here]
+            digest = _Sha256(_sha256_calls(), state) if state else _begun(head)
+        data = base64.b64decode(block)
+        fed += len(data)
+        digest.update(data)
+    if uri is not None:
+        yield uri, _left(fed, digest)
 
 
 def _driver_digest(spark: SparkSession, uri: str) -> str:
